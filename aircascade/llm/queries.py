@@ -7,26 +7,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_codes
+from . import bpe, mixing, quality, token_codes
 from .common import table
 
 #: Where the public tokenizer files lie.
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = token_codes.encoded_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", 2)
     return docs.select("doc_id", "start", "n_tokens", token_codes.crc32(docs.ids).alias("ids_crc32"))
 
 
+def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    rows = quality.judged(docs, keep=["doc_id", "source"])
+    return rows.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{TOKENIZERS}/byte_bpe_50k.json"
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_source_mix": op2_source_mix,
     "op3_token_codes": op3_token_codes,
+    "op6_host_quality": op6_host_quality,
     "op9_bpe_tree": op9_bpe_tree,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_source_mix": mixing.SQL,
+    "op6_host_quality": quality.sql(),
+}
