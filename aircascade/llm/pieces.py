@@ -9,12 +9,15 @@ handed to the library as it is.
 from __future__ import annotations
 
 import json
+import string
 from functools import lru_cache
 
 import numpy as np
 
 #: Pieces a worker remembers; further ones are encoded each time they occur.  Pieces put together from others take at most a third of the places.
 REMEMBERED, PUT_TOGETHER = 600_000, 200_000
+#: ASCII punctuation: no letters, digits or white space, so a tokenizer cuts between it and a letter, but for an apostrophe before one.
+MARKS = string.punctuation
 #: Longer pieces are never remembered.
 LONGEST = 64
 
@@ -37,6 +40,13 @@ class _Pieces(dict):
         return out
 
 
+def _byte_of() -> dict[str, int]:
+    """The printable stand-ins of byte-level vocabularies: bytes that print stand for themselves, the others follow from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """``ids(text)`` equals ``encode(text, add_special_tokens=False)`` of the library."""
 
@@ -58,6 +68,8 @@ class Encoder:
         drops = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert") and r"\s" in str(steps[0]["pattern"])
         keeps = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not kinds
         self.mode = "drop" if drops and plain and not spaced else "keep" if keeps and plain and not spaced else "whole"
+        stand_in = {b: c for c, b in _byte_of().items()}
+        self.stand_in, self.model = {b: stand_in[b] for b in range(256)}, self.lib.model
         self.special = tuple(t["content"][:2] for t in spec["added_tokens"])
         self.bare, self.spaced = _Pieces(self, ""), _Pieces(self, " ")
 
@@ -71,14 +83,22 @@ class Encoder:
                 return b"", True
         elif not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Cannot
+        if piece.isalpha() and max(piece) < "\u0100":
+            # A word of Latin letters is one pre-token that no normalizer but lower-casing changes, so the model takes it directly.
+            word = where.before + (piece.lower() if self.lower else piece)
+            return np.array([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.stand_in))], "<u4").tobytes(), True
         if any(s in piece for s in self.special):
             return self.library(where.before + piece), True
         if self.mode == "keep" and "\n" in piece:
             lines = piece.split("\n")
             if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
                 return where[lines[0]] + b"".join(self.newline + self.bare[x] for x in lines[1:]), False
-        if len(piece) > 1 and piece[-1] in ".," and piece[-2].isascii() and piece[-2].isalpha():
-            return where[piece[:-1]] + self.bare[piece[-1]], False
+        core = piece.rstrip(MARKS)
+        if len(core) < len(piece) and core and core[-1].isascii() and core[-1].isalpha():
+            return where[core] + self.bare[piece[len(core) :]], False
+        core = piece.lstrip(MARKS)
+        if len(core) < len(piece) and core and core[0].isascii() and core[0].isalpha() and (head := piece[: len(piece) - len(core)])[-1] != "'":
+            return where[head] + self.bare[core], False
         if self.lower and piece.isascii() and piece != (low := piece.lower()):
             return where[low], False
         return self.library(where.before + piece), True
@@ -107,13 +127,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _byte_of() -> dict[str, int]:
-    """The printable stand-ins of byte-level vocabularies: bytes that print stand for themselves, the others follow from 256 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Decoder:
     """``text(ids)`` equals ``decode(ids, skip_special_tokens=False)`` of a byte-level tokenizer."""
 

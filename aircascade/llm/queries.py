@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, token_codes
+from . import bpe, minhash, mixing, quality, token_codes
 from .common import table
 
 #: Where the public tokenizer files lie.
@@ -19,8 +20,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = token_codes.encoded_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", 2)
-    return docs.select("doc_id", "start", "n_tokens", token_codes.crc32(docs.ids).alias("ids_crc32"))
+    return token_codes.encoded_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", 2, ids_crc32=F.crc32)
 
 
 def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{TOKENIZERS}/byte_bpe_50k.json"
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_token_codes": op3_token_codes,
     "op6_host_quality": op6_host_quality,
+    "op7_minmax_near_dedup": op7_minmax_near_dedup,
     "op9_bpe_tree": op9_bpe_tree,
 }
 

@@ -21,7 +21,7 @@ names.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -123,8 +123,13 @@ def starts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path).select("part", "seq", "n_tokens").withColumn("base", F.coalesce(F.sum("n_tokens").over(w), F.lit(0)))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Read the files back: doc_id, start, n_tokens, ids (little-endian unsigned 32-bit integers)."""
+def read_documents(spark: SparkSession, path: str, **columns: Callable[[Column], Column]) -> DataFrame:
+    """Read the files back: doc_id, start, n_tokens and ``columns`` of the ids.
+
+    Each of ``columns`` makes a column from the ids (little-endian unsigned 32-bit
+    integers); without any, the ids themselves come.  They are made before the
+    rows meet the segments' places, so what is moved there is as narrow as they are.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -141,8 +146,10 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     tune(spark)
     rows = spark.read.schema(SCHEMA).parquet(path).mapInArrow(run, "part int, seq int, doc_id long, at long, n_tokens long, ids binary")
+    made = [f(F.col("ids")).alias(name) for name, f in (columns or {"ids": lambda ids: ids}).items()]
     base = starts(spark, path).select("part", "seq", "base")
-    return rows.join(base, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids")
+    rows = rows.select("part", "seq", "doc_id", "at", "n_tokens", *made)
+    return rows.join(base, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", *(columns or ["ids"]))
 
 
 def read_tokens(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
@@ -170,14 +177,9 @@ def read_tokens(spark: SparkSession, path: str, positions: DataFrame) -> DataFra
     return positions.select("position").join(tokens, "position", "left")
 
 
-def encoded_documents(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
+def encoded_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, **columns: Callable[[Column], Column]) -> DataFrame:
     """Write the ids of all documents to a new place in the shared folder and read them back from there."""
     spark = docs.sparkSession
     path = fresh_path(spark, "tokens")
     write_tokens(docs, path, tokenizer, end_id)
-    return read_documents(spark, path)
-
-
-def crc32(ids: Column) -> Column:
-    """Unsigned crc32 of binary ids, inside the JVM."""
-    return F.crc32(ids)
+    return read_documents(spark, path, **columns)
