@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, mixing, quality, token_codes
+from . import bpe, minhash, mixing, pii, quality, token_codes
 from .common import table
 
 #: Where the public tokenizer files lie.
@@ -33,6 +33,11 @@ def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", *(f"n_{t}" for t in pii.TYPES))
+
+
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{TOKENIZERS}/byte_bpe_50k.json"
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -43,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_codes": op3_token_codes,
     "op6_host_quality": op6_host_quality,
     "op7_minmax_near_dedup": op7_minmax_near_dedup,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_bpe_tree": op9_bpe_tree,
 }
 
