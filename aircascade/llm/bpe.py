@@ -117,11 +117,12 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded string")
 
 
-def digests(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of ``encoded`` (doc_id, ids)."""
+def digests(encoded: DataFrame, tokenizer: str, ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and with ``ids`` the ids) of ``encoded`` (doc_id, ids)."""
     return decode(encoded, tokenizer).select(
         "doc_id",
         F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"),
+        *["ids"] * ids,
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
