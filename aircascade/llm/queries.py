@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, mixing, pii, quality, token_codes
+from . import bpe, chat, minhash, mixing, pii, quality, token_codes, warc
 from .common import table
 
 #: Where the public tokenizer files lie.
@@ -23,6 +23,10 @@ def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.encoded_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", 2, ids_crc32=F.crc32)
 
 
+def op5_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_captures(table(spark, sf_dir, "pages"))
+
+
 def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     rows = quality.judged(docs, keep=["doc_id", "source"])
@@ -43,16 +47,26 @@ def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
 
 
+def op10_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    return chat.round_trip(rows.unionByName(more))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_token_codes": op3_token_codes,
+    "op5_warc_captures": op5_warc_captures,
     "op6_host_quality": op6_host_quality,
     "op7_minmax_near_dedup": op7_minmax_near_dedup,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_bpe_tree": op9_bpe_tree,
+    "op10_chat_events": op10_chat_events,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_source_mix": mixing.SQL,
+    "op5_warc_captures": warc.SQL,
     "op6_host_quality": quality.sql(),
 }

@@ -113,7 +113,7 @@ def _segments(tokenizer: str, end_id: int, size: int):
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int = SEGMENT) -> None:
     """Encode ``docs`` (doc_id, text) and write them at ``path`` in ascending doc_id order."""
     tune(docs.sparkSession)
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_segments(tokenizer, end_id, segment), SCHEMA).write.option("compression", "none").parquet(path)
 
 
