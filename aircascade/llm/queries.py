@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, minhash, mixing, pii, quality, token_codes, warc
+from . import bpe, chat, minhash, mixing, pii, quality, token_codes, topk, warc
 from .common import table
 
 #: Where the public tokenizer files lie.
@@ -23,6 +23,10 @@ def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.encoded_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", 2, ids_crc32=F.crc32)
 
 
+def op4_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op5_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(table(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ def op10_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_token_codes": op3_token_codes,
+    "op4_voronoi_topk": op4_voronoi_topk,
     "op5_warc_captures": op5_warc_captures,
     "op6_host_quality": op6_host_quality,
     "op7_minmax_near_dedup": op7_minmax_near_dedup,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_source_mix": mixing.SQL,
+    "op4_voronoi_topk": topk.SQL,
     "op5_warc_captures": warc.SQL,
     "op6_host_quality": quality.sql(),
 }
