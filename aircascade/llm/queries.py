@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, minhash, mixing, pii, quality, token_codes, topk, warc
+from . import bpe, chat, minhash, mixing, pii, quality, suffix_dedup, token_codes, topk, warc
 from .common import table
 
 #: Where the public tokenizer files lie.
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_source_mix": op2_source_mix,
     "op3_token_codes": op3_token_codes,
     "op4_voronoi_topk": op4_voronoi_topk,
