@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Generalized Gumbel parameters by hadronic model; for each power of lgE - 19 the coefficients of 1, ln A, (ln A)^2.
 GUMBEL = {
@@ -40,7 +41,7 @@ def gumbel_parameters(log10e: Column, mass: Column, model: str = DEFAULT_MODEL)
     return in_energy(p["mu"]), in_energy(p["sigma"]), in_energy(p["lambda"])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _log_gamma_draw(shape: pd.Series, seed: pd.Series) -> pd.Series:
     """ln of a Gamma(shape, 1/shape) number, drawn from each row's own seed."""
     draw = lambda k, s: np.log(np.random.default_rng(int(s) & 0x7FFFFFFFFFFFFFFF).gamma(k, 1 / k))
