@@ -7,10 +7,9 @@ evaluations.  A band holds both values of two permutations; at a similarity of
 
 Documents with the same shingle set are one vertex.  In each bucket (band and
 value) all members are compared with the bucket's pivot, a number of comparisons
-linear in the bucket.  Buckets whose members are then still in more than one
-component are taken up again with twice as many pivots in each round, until
-every pair across components has been compared.  Comparisons count the
-intersection of the full sets.
+linear in the bucket, and the links make components.  Where members of a bucket
+are then still in several components, all pairs across those are compared too,
+in blocks of bounded size.  Comparisons count the intersection of the full sets.
 
 Defined results: a text without words has an empty set and is linked with
 nothing; so is a null text.  Rows with a null doc_id take part, but a component's
@@ -26,7 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, tune
@@ -35,6 +34,8 @@ from .graph import components
 SHINGLE, BANDS, PER_BAND = 5, 40, 2
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
+#: Sets and hashes of a block that is compared in one task.
+BLOCK_SETS, BLOCK_HASHES = 1500, 250_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -136,40 +137,97 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
+def _cross_links(sets: DataFrame, label: DataFrame, families: DataFrame) -> DataFrame:
+    """Pairs (a, b) of components that some pair of their members links.
+
+    ``label`` has set_key, c of the members, ``families`` c, f of the components
+    that share a bucket with another one, directly or through others.  All pairs
+    of members across the components of a family are compared, in pairs of blocks
+    of bounded size; a block pair gives at most a spanning forest of its
+    components.  Blocks inside one component are never paired.
+    """
+    rows = sets.join(label, "set_key").join(families, "c").select("f", "c", "set_key", "hashes")
+    sizes = rows.groupBy("f", "c").agg(F.count("*").alias("n"), F.sum(F.size("hashes")).alias("h"))
+    blocks = lambda n, h: F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(h / BLOCK_HASHES)).cast("int")
+    sizes = sizes.withColumn("own", blocks(F.col("n"), F.col("h"))).withColumn("part", F.when(F.col("own") > 1, F.col("c")).otherwise(F.lit(b"")))
+    parts = sizes.groupBy("f", "part").agg(blocks(F.sum("n"), F.sum("h")).alias("k"))
+    rows = rows.join(sizes.select("c", "part"), "c").join(parts, ["f", "part"])
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("k")).cast("int"))
+    each = parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("f", F.struct("part", "block").alias("x"))
+    pairs = each.join(each.withColumnRenamed("x", "y"), "f").where((F.col("x") <= F.col("y")) & ((F.col("x.part") != F.col("y.part")) | (F.col("x.part") == F.lit(b""))))
+    sides = F.array_distinct(F.array(F.struct(F.col("x").alias("at"), F.lit(0).alias("side")), F.struct(F.col("y").alias("at"), F.when(F.col("x") == F.col("y"), 0).otherwise(1).alias("side"))))
+    pairs = pairs.select("f", F.sha2(F.concat_ws("|", F.hex("f"), F.hex("x.part"), "x.block", F.hex("y.part"), "y.block"), 256).alias("pair"), F.explode(sides).alias("s"))
+    pairs = pairs.select("f", "pair", F.col("s.side").alias("side"), F.col("s.at.part").alias("part"), F.col("s.at.block").alias("block"))
+    dealt = rows.join(pairs, ["f", "part", "block"]).select("pair", "side", "c", "hashes")
+
+    def compare(t):
+        side, comps = t["side"].to_numpy(), t["c"].to_pylist()
+        flat = t["hashes"].combine_chunks().flatten().to_numpy()
+        size = np.array([len(x) for x in t["hashes"]])
+        row = np.repeat(np.arange(len(size)), size)
+        # Columns are the hashes of more than one set; the others meet nothing.
+        _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+        on = count[column] > 1
+        order = np.argsort(column[on], kind="stable")
+        column, row = column[on][order], row[on][order]
+        column = np.cumsum(np.append(0, column[1:] != column[:-1])) if len(column) else column
+        left, right = (np.flatnonzero(side == 0),) * 2 if not side.any() else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        both = np.zeros((len(left), len(right)), np.float32)
+        for a in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+            i, z = np.searchsorted(column, [a, a + 2048])
+            m = np.zeros((len(size), 2048), np.float32)
+            m[row[i:z], column[i:z] - a] = 1
+            both += m[left] @ m[right].T
+        near = 100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)
+        root = {c: c for c in comps}
+
+        def top(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        out = []
+        name = {c: i for i, c in enumerate(root)}
+        code = np.array([name[c] for c in comps])
+        i, j = np.nonzero(near & (code[left][:, None] != code[right][None, :]))
+        for x, y in np.unique(np.stack([code[left[i]], code[right[j]]], 1), axis=0).tolist() if len(i) else []:
+            x, y = top(comps[int(np.argmax(code == x))]), top(comps[int(np.argmax(code == y))])
+            if x != y:
+                root[x] = y
+                out.append((x, y))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
+
+    return dealt.groupBy("pair").applyInArrow(compare, "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     tune(docs.sparkSession)
     sig = stored(signed(docs), "signatures")
     classes = sig.where("n_shingles > 0").groupBy("set_key").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key"))
     rows = classes.select("set_key", "text_key", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("set_key").alias("pivot")).where("n > 1")
+    buckets = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("set_key").alias("pivot")).where("n > 1").select("key", "pivot")
     members = stored(rows.join(buckets, "key"), "buckets")
     sets = stored(_full_sets(docs, members.select("text_key")), "sets")
 
     pairs = members.where("set_key <> pivot").select(F.col("set_key").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = stored(_linked(pairs, sets), "links")
-    classes_of, pivots = components(links), 1
-    members = members.select("key", "set_key")
-    while True:
-        label = members.join(classes_of, F.col("set_key") == F.col("v"), "left").select("key", "set_key", F.coalesce("c", "set_key").alias("c"))
-        split = label.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where((F.col("low") != F.col("high")) & (F.col("n") > pivots)).select("key")
-        label = label.join(split, "key")
-        members = stored(label.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("set_key"))), "split")
-        if members.isEmpty():
-            break
-        p = members.where((F.col("place") > pivots) & (F.col("place") <= 2 * pivots)).select("key", F.col("set_key").alias("b"), F.col("c").alias("c_b"), F.col("place").alias("place_b"))
-        pairs = members.join(p, "key").where((F.col("c") != F.col("c_b")) & (F.col("place") > F.col("place_b")))
-        more = stored(_linked(pairs.select(F.col("set_key").alias("a"), "b").distinct(), sets), "links")
-        pivots *= 2
-        members = members.select("key", "set_key")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            classes_of = components(links)
-
-    label = sig.select("doc_id", "n_shingles", "set_key").join(classes_of, F.col("set_key") == F.col("v"), "left").withColumn("c", F.coalesce("c", "set_key"))
-    label = stored(label.select("doc_id", "n_shingles", "c"), "labelled")
-    first = label.where("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("first"))
-    out = label.join(first, "c", "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.col("doc_id")))
+    label = components(stored(_linked(pairs, sets), "links"))
+    ends = members.select("set_key").distinct()
+    label = stored(ends.join(label, F.col("set_key") == F.col("v"), "left").select("set_key", F.coalesce("c", "set_key").alias("c")), "labels")
+
+    # Components that meet in a bucket: each is tied to the bucket's smallest.
+    meet = members.select("key", "set_key").join(label, "set_key").groupBy("key", "c").agg(F.lit(1).alias("_"))
+    low = meet.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key", "low")
+    ties = meet.join(low, "key").where("c <> low").select(F.col("c").alias("a"), F.col("low").alias("b")).distinct()
+    families = components(ties).select(F.col("v").alias("c"), F.col("c").alias("f"))
+    more = components(stored(_cross_links(sets, label, families), "cross")).withColumnRenamed("c", "to")
+    label = label.join(more, F.col("c") == F.col("v"), "left").select("set_key", F.coalesce("to", "c").alias("c"))
+
+    out = sig.select("doc_id", "n_shingles", "set_key").join(label, "set_key", "left").withColumn("c", F.coalesce("c", "set_key"))
+    out = stored(out.select("doc_id", "n_shingles", "c"), "labelled")
+    first = out.where("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("first"))
+    out = out.join(first, "c", "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
