@@ -17,7 +17,7 @@ Defined results: vectors that are null or hold a null or non-finite component
 take no part; shorter vectors count as padded with zeros; a null vec_id takes no
 part.  Repeated vec_ids are candidates row by row, but never of the query with
 their id; a query that occurs in several rows is asked once, with its smallest
-vector.  Ties go to the smaller vec_id.  An empty table gives no rows.  Other
+vector.  Ties go to the smaller vec_id.  A score beyond 64 bits is an error.  An empty table gives no rows.  Other
 columns are ignored.
 """
 
