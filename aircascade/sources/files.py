@@ -13,7 +13,7 @@ from ..functions import names
 def manifest(spark: SparkSession, dirs: str | list[str], globs: str | list[str] = "*", keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """path, name, dir of the files below ``dirs`` that match one of ``globs`` (lists or comma strings), each once.
 
-    Only paths are read, no content.  A missing directory is an error.  ``keep``
+    Only paths are read, no content; empty files are left out.  A missing directory is an error.  ``keep``
     is a hook that filters the manifest.
     """
     as_list = lambda x: [p.strip() for p in x.split(",") if p.strip()] if isinstance(x, str) else list(x)
