@@ -10,12 +10,14 @@ the sort is done.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 #: Bytes of queued positions held in memory.
 HELD = 64 << 20
+#: Positions taken from a queue at once.
+TAKEN = 1 << 18
 #: Largest alphabet that gets a queue for each character; reduced texts with more names are ranked by doubling.
 QUEUES = 4096
 
@@ -32,11 +34,21 @@ class Queues:
         if not len(at):
             return
         order = np.argsort(chars, kind="stable")
-        chars, at = chars[order], at[order]
-        cuts = [0, *(np.flatnonzero(np.diff(chars)) + 1).tolist(), len(at)]
-        for a, z in zip(cuts, cuts[1:]):
-            self.parts[chars[a]].append(at[a:z])
-        self.held += at.nbytes
+        at, counts = at[order], np.bincount(chars)
+        here = np.flatnonzero(counts)
+        end = 0
+        for c, n in zip(here.tolist(), counts[here].tolist()):
+            self.parts[c].append(at[end : end + n])
+            end += n
+        self._add(at.nbytes)
+
+    def put(self, char: int, at: np.ndarray) -> None:
+        """Append positions to one queue."""
+        self.parts[char].append(at)
+        self._add(at.nbytes)
+
+    def _add(self, size: int) -> None:
+        self.held += size
         if self.held > self.bound:
             self._spill()
 
@@ -59,20 +71,35 @@ class Queues:
         return np.frombuffer(self.file.read(n * kind.itemsize), kind)
 
     def pop(self, char: int) -> np.ndarray | None:
-        """The next array of a queue."""
-        if not self.parts[char]:
+        """What waits in a queue, up to a bound, in one array."""
+        queue, some, size = self.parts[char], [], 0
+        if not queue:
             return None
-        x = self.parts[char].pop(0)
-        out = self._read(x)
-        if isinstance(x, np.ndarray):
-            self.held -= x.nbytes
-        return out
+        while len(some) < len(queue) and size < TAKEN:
+            x = queue[len(some)]
+            some.append(self._read(x))
+            size += len(some[-1])
+            if isinstance(x, np.ndarray):
+                self.held -= x.nbytes
+        del queue[: len(some)]
+        return some[0] if len(some) == 1 else np.concatenate(some)
+
+    def _gathered(self, parts: Iterable) -> Iterator[np.ndarray]:
+        some, size = [], 0
+        for x in parts:
+            some.append(x)
+            size += len(x)
+            if size >= TAKEN:
+                yield np.concatenate(some)
+                some, size = [], 0
+        if some:
+            yield np.concatenate(some)
 
     def __getitem__(self, char: int) -> Iterator[np.ndarray]:
-        return map(self._read, self.parts[char])
+        return self._gathered(map(self._read, self.parts[char]))
 
     def backwards(self, char: int) -> Iterator[np.ndarray]:
-        return (self._read(x)[::-1] for x in reversed(self.parts[char]))
+        return self._gathered(self._read(x)[::-1] for x in reversed(self.parts[char]))
 
     def close(self) -> None:
         if self.file:
@@ -86,7 +113,7 @@ def _induce(t: np.ndarray, lms: np.ndarray, size: int, held: int) -> Iterator[np
     try:
         for c in range(size):  # L suffixes, smallest first
             while (at := todo.pop(c)) is not None:
-                large.push(np.full(len(at), c), at)
+                large.put(c, at)
                 before = at[at > 0] - 1
                 chars = t[before]
                 on = chars >= c
@@ -96,7 +123,7 @@ def _induce(t: np.ndarray, lms: np.ndarray, size: int, held: int) -> Iterator[np
             todo.push(t[before], before)
         for c in range(size - 1, -1, -1):  # S suffixes, largest first
             while (at := todo.pop(c)) is not None:
-                small.push(np.full(len(at), c), at)
+                small.put(c, at)
                 before = at[at > 0] - 1
                 chars = t[before]
                 on = chars <= c

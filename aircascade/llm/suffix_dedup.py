@@ -33,7 +33,7 @@ from .induced import suffixes
 
 LENGTH, GRAM = 100, 24
 #: Bytes of text hashed at once, and of contexts in a shard (a single anchor's contexts may make it larger).
-CHUNK, SHARD = 1 << 20, 4 << 20
+CHUNK, SHARD = 1 << 20, 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -135,6 +135,18 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, copy int, packed binary")
 
 
+def _in_batches(arrays: Iterable[np.ndarray], size: int = 1 << 16) -> Iterator[np.ndarray]:
+    some, n = [], 0
+    for x in arrays:
+        some.append(x)
+        n += len(x)
+        if n >= size:
+            yield np.concatenate(some)
+            some, n = [], 0
+    if n:
+        yield np.concatenate(some)
+
+
 def shard_copies(rows: list[tuple], length: int, held: int | None = None) -> list[tuple[int, int, int]]:
     """(row, first, last): strings of the rows that also start earlier; ``rows`` are (order key, context bytes)."""
     sizes = np.array([len(r[1]) for r in rows])
@@ -145,15 +157,16 @@ def shard_copies(rows: list[tuple], length: int, held: int | None = None) -> lis
         t[begin[i] : begin[i] + len(raw)] = np.frombuffer(raw, "u1")
         t[begin[i] : begin[i] + len(raw)] += 2
     t[-1] = 0
-    word = np.zeros(len(t), np.uint64)
-    for k in range(4):
-        word[: len(t) - k] |= t[k:].astype(np.uint64) << np.uint64(16 * k)
+    # Eight bytes from each position on; what follows a context's end is never compared.
+    word, byte = np.zeros(len(t), np.uint64), (t - 2).astype("u1").astype(np.uint64)
+    for k in range(8):
+        word[: len(t) - k] |= byte[k:] << np.uint64(8 * k)
     valid = np.zeros(len(t), bool)
     left = np.append(np.repeat(begin + sizes, sizes + 1), 0)
     valid[:-1] = np.arange(len(t) - 1) + length <= left[:-1]
     rank = np.empty(len(rows), "i8")
     rank[sorted(range(len(rows)), key=lambda i: rows[i][0])] = np.arange(len(rows))
-    steps = [*range(0, length - 3, 4), max(length - 4, 0)]
+    steps = [*range(0, length - 7, 8), length - 8]
 
     def same(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Whether the strings at x and y have ``length`` characters in common; longer agreement is tested on what agrees so far."""
@@ -166,10 +179,7 @@ def shard_copies(rows: list[tuple], length: int, held: int | None = None) -> lis
         return out
 
     again, last, best = [], None, None
-    for at in suffixes(t, length, *([held] if held else [])):
-        at = at[valid[at]]
-        if not len(at):
-            continue
+    for at in _in_batches(x[valid[x]] for x in suffixes(t, length, *([held] if held else []))):
         order = rank[row_of[at]] * (1 << 32) + (at - begin[row_of[at]])
         if last is not None:  # the group may go on from the array before
             at, order = np.append(last, at), np.append(best, order)
