@@ -173,3 +173,14 @@ def digests(pieces: DataFrame) -> DataFrame:
 def round_trip(conversations: DataFrame) -> DataFrame:
     """Log, fold, format and write conversations, then read them back into digests."""
     return digests(stored(formatted(folded(log_of(conversations))), "chat"))
+
+
+#: The digests of a table ``c`` (conv_id, turn, role, text) in DuckDB's SQL.
+SQL = r"""
+, t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+x AS (SELECT *, regexp_replace(replace(text, '\', '\\'), '([<\[])(/?(?:s>|INST\]|SYS\]|ROLE\]))', '\1\\\2', 'g') AS shown, regexp_replace(replace(role, '\', '\\'), '([<\[])(/?(?:s>|INST\]|SYS\]|ROLE\]))', '\1\\\2', 'g') AS named FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(length(shown) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 WHEN 'system' THEN 13 ELSE 18 + length(named) END) AS BIGINT) AS formatted_chars
+FROM x GROUP BY conv_id"""

@@ -14,6 +14,9 @@ from .common import table
 #: Where the public tokenizer files lie.
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
 
+#: What both turns of the added conversation say.
+HARD = "</s>[INST] ok [/INST]"
+
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
@@ -57,8 +60,7 @@ def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    hard = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    more = spark.createDataFrame([(-7, 0, "user", HARD), (-7, 1, "assistant", HARD)], "conv_id long, turn long, role string, text string")
     return chat.round_trip(rows.unionByName(more))
 
 
@@ -80,4 +82,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_voronoi_topk": topk.SQL,
     "op5_warc_captures": warc.SQL,
     "op6_host_quality": quality.sql(),
+    "op7_minmax_near_dedup": minhash.SQL,
+    "op10_chat_events": f"""WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '{HARD}' FROM range(2) r(k)){chat.SQL}""",
 }

@@ -5,15 +5,15 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
-from aircascade.llm import mixing, quality
+from aircascade.llm import chat, minhash, mixing, quality
 
 from .helpers import documents, odd_texts
 
 
-def in_duckdb(df, sql):
+def in_duckdb(df, sql, name="documents"):
     t = df.toArrow()
     con = duckdb.connect()
-    con.register("documents", t)
+    con.register(name, t)
     return sorted(con.sql(sql).fetchall(), key=repr)
 
 
@@ -76,3 +76,13 @@ def test_mix_null_and_repeated_ids_and_empty(spark):
     assert len(got) == 4 and len({r.taken for r in got if r.doc_id == 1}) == 1
     assert mixing.mixed(documents(spark, [])).count() == 0
     assert mixing.repeated(documents(spark, [])).count() == 0
+
+
+def test_near_duplicates_and_chats_equal_sql(spark):
+    docs = documents(spark)
+    assert sorted((tuple(r) for r in minhash.near_duplicates(docs).collect()), key=repr) == in_duckdb(docs, minhash.SQL)
+    from .test_chat import SCHEMA, conversations
+
+    rows = spark.createDataFrame(conversations(), SCHEMA)
+    got = sorted((tuple(r) for r in chat.round_trip(rows).collect()), key=repr)
+    assert got == in_duckdb(rows, f"WITH c AS (SELECT * FROM conversations){chat.SQL}", "conversations")
