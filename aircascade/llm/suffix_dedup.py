@@ -7,8 +7,9 @@ The strings around one anchor occurrence are its context.
 
 1. Anchors of all texts are dealt by hash; those that occur once are done.
 2. Of equal contexts all but the first go as a whole, without moving a byte.
-3. Contexts that share an anchor but differ are fetched once each, dealt by
-   anchor into shards, and each shard is suffix-sorted by external induced
+3. Contexts that share an anchor but differ are fetched once each.  An anchor with
+   very many (a common line) is set aside, and its contexts get other anchors,
+   so no anchor gathers them all.  They are dealt by anchor into shards, and each shard is suffix-sorted by external induced
    sorting; neighbours in the suffix order that agree on ``length`` bytes are
    copies, and all but the first go.
 4. The removed ranges meet their documents again.
@@ -34,6 +35,8 @@ from .induced import suffixes
 LENGTH, GRAM = 100, 24
 #: Bytes of text hashed at once, and of contexts in a shard (a single anchor's contexts may make it larger).
 CHUNK, SHARD = 1 << 20, 2 << 20
+#: An anchor with more contexts is anchored anew by rarer grams; at most FREQUENT such anchors are listed at a time.
+HOT, FREQUENT = 4096, 100_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -52,8 +55,10 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 class Anchors:
     """Anchors of all strings of ``length`` bytes in a run of documents."""
 
-    def __init__(self, length: int, gram: int):
+    def __init__(self, length: int, gram: int, frequent: np.ndarray | None = None):
+        """``frequent``: sorted gram hashes that are anchors only of strings that have no other gram."""
         self.length, self.gram, self.wide = length, gram, length - gram + 1
+        self.frequent = frequent if frequent is not None and len(frequent) else None
         n = CHUNK + length + 1
         self.up, self.down = _powers(_BASE, n), _powers(_BACK, n)
 
@@ -66,7 +71,11 @@ class Anchors:
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=total[1:])
         n = len(data) - self.gram + 1
         h = _mixed((total[self.gram :] - total[:n]) * self.down[:n])
-        low = (h & ~np.uint64(0x1FFFFF)) | np.arange(n, dtype=np.uint64)  # the leftmost of equal hashes
+        key = h >> np.uint64(1)
+        if self.frequent is not None:
+            at = np.minimum(np.searchsorted(self.frequent, h), len(self.frequent) - 1)
+            key |= (self.frequent[at] == h).astype(np.uint64) << np.uint64(63)
+        low = (key & ~np.uint64(0x1FFFFF)) | np.arange(n, dtype=np.uint64)  # the leftmost of equal hashes
         width = 1
         while 2 * width <= self.wide:
             low = np.minimum(low[:-width], low[width:])
@@ -199,6 +208,47 @@ def shard_copies(rows: list[tuple], length: int, held: int | None = None) -> lis
     return [(int(r), int(a), int(z)) for r, a, z in zip(row_of[gone[cut]], gone[cut] - begin[row_of[gone[cut]]], gone[end] - begin[row_of[gone[cut]]])]
 
 
+def _level(seen: DataFrame, length: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """Of context occurrences: the first of each context among anchors that occur again, and the ranges that go in any case."""
+    w = Window.partitionBy("h").orderBy("context", "doc_id", "copy", "pos")
+    seen = seen.withColumns({"before": F.lag("context").over(w), "after": F.lead("context").over(w)})
+    seen = seen.withColumn("head", F.col("before").isNull() | (F.col("before") != F.col("context")))
+    seen = stored(seen.where("before is not null or after is not null or times > 1").drop("before", "after", "context"), "anchors")
+    skip = F.when(F.col("head"), F.col("strings")).otherwise(0)
+    whole = seen.where("not head or times > 1").select("doc_id", "copy", (F.col("pos") + skip).alias("start"), (F.col("pos") + F.col("strings") * F.col("times") + (length - 1)).alias("stop"))
+    return seen.where("head").drop("head", "times"), whole, np.zeros(0, np.uint64)
+
+
+def _most(contexts: DataFrame, known: np.ndarray | None) -> np.ndarray | None:
+    """Anchors with more than HOT contexts, the most frequent FREQUENT of them at most (the rest are smaller than any of these)."""
+    rows = contexts.where(F.col("count") > HOT).select("h", "count").distinct().orderBy(F.desc("count")).limit(FREQUENT).select("h").toArrow()
+    return np.sort(rows["h"].to_numpy().astype("i8").view(np.uint64)) if rows.num_rows else None
+
+
+def _anchored_again(contexts: DataFrame, length: int, frequent: np.ndarray) -> DataFrame:
+    """Context occurrences of ``contexts`` (doc_id, copy, pos, raw) with other anchors than the frequent ones, where there are any."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = Anchors(length, GRAM, frequent)
+        for b in batches:
+            raw = b.column("raw").cast(pa.large_binary())
+            offsets = np.frombuffer(raw.buffers()[1], "i8")[raw.offset : raw.offset + len(raw) + 1]
+            if not len(raw):
+                continue
+            data, begin = np.frombuffer(raw.buffers()[2], "u1"), b.column("pos").to_numpy()
+            for row, pos, strings, times, h, context in find.batch(data, offsets):
+                at = pa.array(row)
+                n = strings * times
+                pieces = [data[a : a + m + length - 1].tobytes() for a, m in zip(offsets[row] + pos, n)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").take(at), b.column("copy").take(at), pa.array(begin[row] + pos), pa.array(n.astype("i4")), pa.array(np.ones(len(n), "i4")), pa.array(h.view("i8")), pa.array((context + times.astype("u8")).view("i8")), pa.array(pieces, pa.binary())],
+                    ["doc_id", "copy", "pos", "strings", "times", "h", "context", "raw"],
+                )
+
+    rows = contexts.select("doc_id", "copy", "pos", "raw")
+    return rows.mapInArrow(run, "doc_id long, copy int, pos long, strings int, times int, h long, context long, raw binary")
+
+
 def removed_ranges(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """``docs`` with its copy column, and doc_id, copy, start, stop of the byte ranges that go (they may overlap)."""
     tune(docs.sparkSession)
@@ -209,33 +259,38 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) ->
     else:
         w = Window.partitionBy("doc_id").orderBy("text")
         docs = stored(docs.withColumn("copy", F.row_number().over(w) - 1).select("doc_id", "copy", "text"), "copies")
-    w = Window.partitionBy("h").orderBy("context", "doc_id", "copy", "pos")
-    seen = anchored(docs, length).withColumns({"before": F.lag("context").over(w), "after": F.lead("context").over(w)})
-    seen = seen.withColumn("head", F.col("before").isNull() | (F.col("before") != F.col("context")))
-    seen = stored(seen.where("before is not null or after is not null or times > 1").drop("before", "after", "context"), "anchors")
-
-    # Heads are the first occurrences of their contexts; anchors with one context need no sorting.
-    heads = seen.where("head").select("h", "doc_id", "copy", "pos", "strings")
-    several = heads.groupBy("h").count().where("count > 1").select("h")
-    wanted = heads.join(several, "h").groupBy("doc_id", "copy").agg(F.collect_list(F.struct("h", "pos", "strings")).alias("wanted"))
+    # Level 0 anchors whole texts; a further level anchors anew the contexts of anchors that have too many.
+    heads, ranges, frequent = _level(anchored(docs, length), length)
+    counts = heads.groupBy("h").count().where("count > 1")
+    shared = stored(heads.join(counts, "h"), "contexts")
+    wanted = shared.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("h", "pos", "strings", "count")).alias("wanted"))
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         z = zstandard.ZstdDecompressor()
-        names = ["h", "doc_id", "copy", "pos", "raw"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+        names = ["h", "doc_id", "copy", "pos", "count", "raw"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         for b in batches:
             for r in b.to_pylist():
                 raw = z.decompress(r["packed"])
-                rows = [(x["h"], r["doc_id"], r["copy"], x["pos"], raw[x["pos"] : x["pos"] + x["strings"] + length - 1]) for x in r["wanted"]]
+                rows = [(x["h"], r["doc_id"], r["copy"], x["pos"], x["count"], raw[x["pos"] : x["pos"] + x["strings"] + length - 1]) for x in r["wanted"]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    def key(name: str):
-        return (F.col(f"l.{name}")).eqNullSafe(F.col(f"r.{name}"))
-
-    both = key("doc_id") & key("copy")
-    contexts = wanted.alias("l").join(_packed(docs).alias("r"), both).select("l.doc_id", "l.copy", "wanted", "packed").mapInArrow(fetch, "h long, doc_id long, copy int, pos long, raw binary")
+    both = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("l.copy").eqNullSafe(F.col("r.copy"))
+    contexts = wanted.alias("l").join(_packed(docs).alias("r"), both).select("l.doc_id", "l.copy", "wanted", "packed").mapInArrow(fetch, "h long, doc_id long, copy int, pos long, count long, raw binary")
+    hot = _most(shared, None)
+    while hot is not None:
+        contexts = stored(contexts, "raw")
+        frequent = np.unique(np.concatenate([frequent, hot]))
+        heads, more, _ = _level(_anchored_again(contexts.where(F.col("count") > HOT), length, frequent), length)
+        counts = heads.groupBy("h").count().where("count > 1")
+        again = stored(heads.join(counts, "h").select("h", "doc_id", "copy", "pos", "count", "raw"), "again")
+        contexts, ranges = contexts.where(F.col("count") <= HOT).unionByName(again), ranges.unionByName(more)
+        hot = _most(again, frequent)
+        if hot is None or not len(np.setdiff1d(hot, frequent)):
+            break  # what is left has no other gram to go by
+    contexts = contexts.select("h", "doc_id", "copy", "pos", "raw")
 
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, last = [], 0, None
@@ -257,9 +312,7 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) ->
             yield solve()
 
     sorted_ = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(sort, "doc_id long, copy int, start long, stop long")
-    whole = seen.withColumn("skip", F.when(F.col("head"), F.col("strings")).otherwise(0)).where("not head or times > 1")
-    whole = whole.select("doc_id", "copy", (F.col("pos") + F.col("skip")).alias("start"), (F.col("pos") + F.col("strings") * F.col("times") + (length - 1)).alias("stop"))
-    return docs, whole.unionByName(sorted_)
+    return docs, ranges.unionByName(sorted_)
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, texts: bool = False) -> DataFrame:

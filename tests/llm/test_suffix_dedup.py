@@ -58,3 +58,15 @@ def test_null_and_repeated_ids(spark):
 
 def test_empty(spark):
     assert suffix_dedup.deduplicated(documents(spark, [])).count() == 0
+
+
+def test_common_line_gets_other_anchors(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", 5)
+    rng = random.Random(6)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(60))
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [word(70) for _ in range(4)]
+    texts = [word(rng.randrange(40, 90)) + rng.choice(shared) + line + rng.choice(shared) + word(rng.randrange(90)) for _ in range(60)]
+    texts += [word(120) + line + word(120) for _ in range(40)] + ["q" * 500, "xy" * 300, "q" * 200]
+    got = sorted((tuple(r) for r in suffix_dedup.deduplicated(documents(spark, texts)).collect()), key=repr)
+    assert got == brute(list(enumerate(texts)), 100)
