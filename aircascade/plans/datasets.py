@@ -87,11 +87,21 @@ def ragged_dataset(dumps: Dumps, options: EventOptions = EventOptions(combined_f
     return Ragged(event_columns(keep(dumps.events), options), ragged.hit_features(hits), ragged.trace_rows(hits, waveforms), broken)
 
 
+def store(dumps: Dumps, path: str) -> Dumps:
+    """Write the tables below ``path``, sorted by event within files, and read them back: later jobs don't parse text again."""
+    spark, out = dumps.events.sparkSession, {}
+    for name in ("events", "hits", "waveforms", "bad_detectors", "quarantine"):
+        df = getattr(dumps, name)
+        (df.sortWithinPartitions(*EVENT) if "event_idx" in df.columns else df).write.parquet(f"{path}/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{path}/{name}")
+    return Dumps(**out)
+
+
 def export(spark: SparkSession, paths: list[str], out: str, detectors: DataFrame | None = None, tile: TileOptions | None = None) -> dict[str, int]:
     """Convert dumps to Parquet below ``out`` in one job a table; gives the rows of each, counted back."""
     from ..sources.tables import write_table
 
-    dumps = read_dumps(spark, paths)
+    dumps = store(read_dumps(spark, paths), f"{out}/parsed")
     if tile:
         return {"tiles": write_table(as_floats(tile_dataset(dumps, detectors, tile)), f"{out}/tiles")}
     r = ragged_dataset(dumps)

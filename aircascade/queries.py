@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions import names, physics, shower_depth, traces
 from .operators import checks, profile, ragged, sampling, sparse, tiles, views
 from .operators import hits as H
+from .plans import datasets
 from .schema import EVENT, RAW_HIT
 from .sources import dumps, files, tables
 
@@ -311,6 +312,30 @@ def tile_signals(spark, d):
     return tiles.readings(cell, h, "mean").select(*EVENT, "i", "j", "arrival_times", "total_signals", "nfold")
 
 
+def whole_dump(spark: SparkSession, d: str) -> DataFrame:
+    """Dump lines of all events with their hits and bad detectors, section by section; lines of waveforms are empty."""
+    key = events(spark, d).select(*EVENT)
+    b = bad(spark, d).groupBy(*EVENT).agg(dumps.text_of(F.flatten(F.transform(F.collect_list("xxyy"), lambda x: F.array(x, F.lit(1))))).alias("line"))
+    w = Window.partitionBy("file_name").orderBy("event_idx")
+    out = None
+    for k, (marker, lines) in enumerate((("EVENT DATA", event_lines(spark, d)), ("SD meta DATA", hit_lines(spark, d)), ("SD waveform DATA", key.withColumn("line", F.lit(""))), ("badsdinfo", b))):
+        rows = key.join(lines, EVENT, "left").withColumn("line", F.coalesce("line", F.lit("")))
+        body = rows.select("file_name", (F.row_number().over(w) + k * 100_000_000).cast("long").alias("line_no"), "line")
+        head = key.select("file_name").distinct().select("file_name", F.lit(k * 100_000_000).cast("long").alias("line_no"), F.lit(marker).alias("line"))
+        out = body.unionByName(head) if out is None else out.unionByName(body).unionByName(head)
+    return out
+
+
+@query(f"""WITH {EVENTS}, {HITS}, {DETECTORS}, {TILE}, n AS (SELECT event_idx, row_number() OVER (PARTITION BY file_name ORDER BY event_idx) - 1 AS k FROM events)
+SELECT g.file_name, CAST(k AS INTEGER) AS event_idx, g.i, g.j, CASE WHEN exists_ AND good AND f.xxyy IS NOT NULL THEN (f.reltime_low + f.reltime_up) / 2 * 4000 ELSE 0 END AS arrival_times,
+coalesce((f.pulsa_low + f.pulsa_up) / 2, 0) AS total_signals, exists_ AND good AS state FROM geo g JOIN n ON g.event_idx = n.event_idx LEFT JOIN first f ON g.event_idx = f.event_idx AND g.xxyy = f.xxyy""")
+def dump_to_tiles(spark, d):
+    """The whole way from dump lines to tiles."""
+    parsed = dumps.parse(whole_dump(spark, d))
+    cell = datasets.tile_cells(parsed, detectors(spark, d), datasets.TileOptions(ntile=3, layers="mean", traces=False, layout=LAYOUT))
+    return cell.select(*EVENT, "i", "j", "arrival_times", "total_signals", "state")
+
+
 @query(f"""WITH {HITS}, {DETECTORS}, {TILE} SELECT g.file_name, g.event_idx, g.i, g.j, CASE WHEN exists_ AND good AND f.xxyy IS NOT NULL THEN f.reltime_low * 4000 ELSE 0 END AS arrival_times_low,
 CASE WHEN exists_ AND good AND f.xxyy IS NOT NULL THEN f.reltime_up * 4000 ELSE 0 END AS arrival_times_up, coalesce(f.pulsa_low, 0) AS total_signals_low, coalesce(f.pulsa_up, 0) AS total_signals_up
 FROM geo g LEFT JOIN first f ON g.event_idx = f.event_idx AND g.xxyy = f.xxyy""")
@@ -675,9 +700,14 @@ def column_sizes(spark, d):
     return profile.sizes(table(spark, d, "lineitem").select("l_quantity", "l_returnflag"), "KB")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
+_TYPE = "CASE WHEN {m} < 127 THEN 'tinyint' WHEN {m} < 32767 THEN 'smallint' WHEN {m} < 2147483647 THEN 'int' ELSE 'bigint' END"
+
+
+@query(f"""WITH m AS (SELECT max(l_orderkey) AS o, max(l_linenumber) AS l FROM lineitem)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {_TYPE.format(m='o')} AS order_type, {_TYPE.format(m='l')} AS line_type FROM lineitem, m""")
 def narrow_ints(spark, d):
-    return tables.narrowed(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"))
+    out = tables.narrowed(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+    return out.select(F.col("l_orderkey").cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("long").alias("l_linenumber"), F.typeof("l_orderkey").alias("order_type"), F.typeof("l_linenumber").alias("line_type"))
 
 
 @query(f"""WITH {EVENTS}, {HITS}, n AS (SELECT event_idx, count(*) AS c FROM hits GROUP BY event_idx), e AS (SELECT file_name, e.event_idx, cust % 7 AS nhits, coalesce(c, 0) AS found FROM events e LEFT JOIN n ON e.event_idx = n.event_idx)

@@ -88,16 +88,32 @@ def misshapen(rows: DataFrame, size: int, what: str) -> DataFrame:
     return v.where(~traces.whole_records(F.col("v"), size)).select("file_name", F.format_string(f"event %d: {what} line is no whole number of records", "event_idx").alias("reason"))
 
 
+def faulty_files(rows: DataFrame) -> DataFrame:
+    """file_name, reason of files that can't be used, in one pass over their tagged lines."""
+    sizes = {"event": len(RAW_EVENT), "hit": len(RAW_HIT), "waveform": WAVEFORM_SIZE, "bad": 2}
+    text = F.trim("line")
+    n = F.when(text == "", 0).otherwise(F.size(F.split(text, r"\s+")))
+    size = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("section"))
+    odd = F.when(F.col("section") == "event", n != size).otherwise(n % size != 0)
+    first = F.min(F.when(odd, F.struct("event_idx", "section")))
+    per = rows.groupBy("file_name").agg(*[F.count_if(F.col("section") == s).alias(s) for s in sizes], first.alias("odd"))
+    differ = (F.col("hit") != F.col("event")) | (F.col("waveform") != F.col("event")) | (F.col("bad") > F.col("event"))
+    lengths = F.format_string("section lengths differ: event %d, hit %d, waveform %d, bad %d", *sizes)
+    shape = F.format_string("event %d: %s line is no whole number of records", "odd.event_idx", "odd.section")
+    return per.where(differ | F.col("odd").isNotNull()).select("file_name", F.when(differ, lengths).otherwise(shape).alias("reason"))
+
+
 def parse(lines: DataFrame, strict: bool = False) -> Dumps:
-    """Lines (file_name, line_no, line) to tables; ``strict`` raises on the first bad file instead of leaving it out."""
+    """Lines (file_name, line_no, line) to tables; ``strict`` raises on the first bad file instead of leaving it out.
+
+    Each table is a plan of its own over the lines, so jobs that need several of
+    them write them first (``plans.datasets.store``) or persist the lines.
+    """
     rows = tagged(lines)
-    wrong = disagreeing(rows)
-    section = lambda s: rows.where(F.col("section") == s)
-    for s, size in (("event", len(RAW_EVENT)), ("hit", len(RAW_HIT)), ("waveform", WAVEFORM_SIZE), ("bad", 2)):
-        wrong = wrong.unionByName(misshapen(section(s), size, s))
+    wrong = faulty_files(rows)
     if strict and (first := wrong.first()):
         raise ValueError(f"{first.file_name}: {first.reason}")
-    good = rows.join(wrong.select("file_name").distinct(), "file_name", "left_anti")
+    good = rows.join(wrong.select("file_name"), "file_name", "left_anti")
     pick = lambda s: good.where(F.col("section") == s)
     return Dumps(event_rows(pick("event")), hit_rows(pick("hit")), waveform_rows(pick("waveform")), bad_rows(pick("bad")), wrong)
 

@@ -21,8 +21,10 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, glob: st
     files = files.select(F.col("_metadata.file_path").alias("file_name"), "value")
 
     def write(batch: DataFrame, number: int) -> None:
-        tables = parse(lines_of(batch))
+        lines = lines_of(batch).persist()  # five tables come from the same lines
+        tables = parse(lines)
         for name in TABLES:
             getattr(tables, name).write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        lines.unpersist()
 
     files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
