@@ -124,8 +124,9 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = [shingles(x.as_py()) for x in b.column(0).slice(k, 200)]
                 yield pa.RecordBatch.from_arrays([pa.array([_set_key(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["set_key", "hashes"])
 
-    texts = docs.select("text", F.xxhash64("text").alias("text_key")).join(wanted.distinct(), "text_key", "left_semi")
-    one = texts.groupBy("text_key").agg(F.min("text").alias("text"))
+    # Copies are put together before they are moved, so the texts of a large group don't meet in one task.
+    one = docs.select("text", F.xxhash64("text").alias("text_key")).groupBy("text_key").agg(F.min("text").alias("text"))
+    one = one.join(wanted.distinct(), "text_key", "left_semi")
     return one.select("text").mapInArrow(run, "set_key binary, hashes array<long>").dropDuplicates(["set_key"])
 
 

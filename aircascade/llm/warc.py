@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, tune
+from .common import fresh_path, stored, tune
 
 #: Shorter payloads are never revisits.
 LEAST_BYTES = 100
@@ -193,16 +193,31 @@ def captures(records: DataFrame) -> DataFrame:
     return out.select("capture_id", F.col("type").alias("record_type"), "target_uri", "date", "refers_to", "payload", "payload_bytes", "payload_digest", pick("request").alias("requests"), F.coalesce(fields, F.expr("map()").cast("map<string,string>")).alias("metadata"))
 
 
+def resolved(captures: DataFrame, columns: list[str], salts: int = 16) -> DataFrame:
+    """Captures (capture_id, record_type, refers_to, ...) with ``columns`` of the response that each revisit refers to, as <column>_of.
+
+    Many revisits may refer to one response: they are dealt by a salt too, and the
+    responses that are referred to are repeated for each salt.
+    """
+    asked = captures.where("record_type = 'revisit'").select(F.col("refers_to").alias("_id")).distinct()
+    full = captures.where("record_type = 'response'").select(F.col("capture_id").alias("_id"), *[F.col(c).alias(f"{c}_of") for c in columns])
+    full = full.join(asked, "_id").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = captures.withColumn("_mine", F.pmod(F.xxhash64("capture_id"), F.lit(salts)))
+    # Only revisits look for a partner; other rows have ids of their own there, so they are spread as well.
+    rows = rows.withColumn("_to", F.when(F.col("record_type") == "revisit", F.col("refers_to")).otherwise(F.concat(F.lit("-"), "capture_id")))
+    return rows.join(full, (F.col("_to") == F.col("_id")) & (F.col("_mine") == F.col("_salt")), "left").drop("_id", "_salt", "_mine", "_to")
+
+
 def page_captures(pages: DataFrame) -> DataFrame:
     """Write ``pages`` to new archives, read them back, and give page_id, payload_bytes, payload_digest, record_type, refers_to, n_requests."""
     spark = pages.sparkSession
     path = fresh_path(spark, "warc")
     write_pages(pages, path)
     c = captures(read_records(spark, path))
-    c = c.select("capture_id", "record_type", "refers_to", "payload_bytes", "payload_digest", F.element_at("metadata", "pageId").cast("long").alias("page_id"), F.size("requests").alias("n_requests"))
-    full = c.where("record_type = 'response'").select(F.col("capture_id").alias("_id"), F.col("page_id").alias("_page"), F.col("payload_bytes").alias("_bytes"))
-    out = c.join(full, (F.col("record_type") == "revisit") & (F.col("refers_to") == F.col("_id")), "left")
-    return out.select("page_id", F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("_page").alias("refers_to"), "n_requests")
+    page = F.element_at("metadata", "pageId").cast("long").alias("page_id")
+    c = stored(c.select("capture_id", "record_type", "refers_to", "payload_bytes", "payload_digest", page, F.size("requests").alias("n_requests")), "captures")
+    out = resolved(c, ["page_id", "payload_bytes"])
+    return out.select("page_id", F.coalesce("payload_bytes", "payload_bytes_of").alias("payload_bytes"), "payload_digest", "record_type", F.col("page_id_of").alias("refers_to"), "n_requests")
 
 
 #: The pages' captures in DuckDB's SQL.
