@@ -208,7 +208,7 @@ def shard_copies(rows: list[tuple], length: int, held: int | None = None) -> lis
     return [(int(r), int(a), int(z)) for r, a, z in zip(row_of[gone[cut]], gone[cut] - begin[row_of[gone[cut]]], gone[end] - begin[row_of[gone[cut]]])]
 
 
-def _level(seen: DataFrame, length: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+def _level(seen: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Of context occurrences: the first of each context among anchors that occur again, and the ranges that go in any case."""
     w = Window.partitionBy("h").orderBy("context", "doc_id", "copy", "pos")
     seen = seen.withColumns({"before": F.lag("context").over(w), "after": F.lead("context").over(w)})
@@ -216,13 +216,13 @@ def _level(seen: DataFrame, length: int) -> tuple[DataFrame, DataFrame, np.ndarr
     seen = stored(seen.where("before is not null or after is not null or times > 1").drop("before", "after", "context"), "anchors")
     skip = F.when(F.col("head"), F.col("strings")).otherwise(0)
     whole = seen.where("not head or times > 1").select("doc_id", "copy", (F.col("pos") + skip).alias("start"), (F.col("pos") + F.col("strings") * F.col("times") + (length - 1)).alias("stop"))
-    return seen.where("head").drop("head", "times"), whole, np.zeros(0, np.uint64)
+    return seen.where("head").drop("head", "times"), whole
 
 
-def _most(contexts: DataFrame, known: np.ndarray | None) -> np.ndarray | None:
+def _hottest(contexts: DataFrame) -> np.ndarray:
     """Anchors with more than HOT contexts, the most frequent FREQUENT of them at most (the rest are smaller than any of these)."""
     rows = contexts.where(F.col("count") > HOT).select("h", "count").distinct().orderBy(F.desc("count")).limit(FREQUENT).select("h").toArrow()
-    return np.sort(rows["h"].to_numpy().astype("i8").view(np.uint64)) if rows.num_rows else None
+    return np.sort(rows["h"].to_numpy().astype("i8").view(np.uint64))
 
 
 def _anchored_again(contexts: DataFrame, length: int, frequent: np.ndarray) -> DataFrame:
@@ -260,7 +260,7 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) ->
         w = Window.partitionBy("doc_id").orderBy("text")
         docs = stored(docs.withColumn("copy", F.row_number().over(w) - 1).select("doc_id", "copy", "text"), "copies")
     # Level 0 anchors whole texts; a further level anchors anew the contexts of anchors that have too many.
-    heads, ranges, frequent = _level(anchored(docs, length), length)
+    heads, ranges = _level(anchored(docs, length), length)
     counts = heads.groupBy("h").count().where("count > 1")
     shared = stored(heads.join(counts, "h"), "contexts")
     wanted = shared.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("h", "pos", "strings", "count")).alias("wanted"))
@@ -279,17 +279,15 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) ->
 
     both = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("l.copy").eqNullSafe(F.col("r.copy"))
     contexts = wanted.alias("l").join(_packed(docs).alias("r"), both).select("l.doc_id", "l.copy", "wanted", "packed").mapInArrow(fetch, "h long, doc_id long, copy int, pos long, count long, raw binary")
-    hot = _most(shared, None)
-    while hot is not None:
-        contexts = stored(contexts, "raw")
-        frequent = np.unique(np.concatenate([frequent, hot]))
-        heads, more, _ = _level(_anchored_again(contexts.where(F.col("count") > HOT), length, frequent), length)
+    frequent, hot = np.zeros(0, np.uint64), _hottest(shared)
+    # It ends when no anchor has too many contexts, or those that have were passed over already: their strings have no other gram.
+    while len(np.setdiff1d(hot, frequent)):
+        contexts, frequent = stored(contexts, "raw"), np.union1d(frequent, hot)
+        heads, more = _level(_anchored_again(contexts.where(F.col("count") > HOT), length, frequent), length)
         counts = heads.groupBy("h").count().where("count > 1")
         again = stored(heads.join(counts, "h").select("h", "doc_id", "copy", "pos", "count", "raw"), "again")
         contexts, ranges = contexts.where(F.col("count") <= HOT).unionByName(again), ranges.unionByName(more)
-        hot = _most(again, frequent)
-        if hot is None or not len(np.setdiff1d(hot, frequent)):
-            break  # what is left has no other gram to go by
+        hot = _hottest(again)
     contexts = contexts.select("h", "doc_id", "copy", "pos", "raw")
 
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
