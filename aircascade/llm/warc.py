@@ -216,6 +216,7 @@ def page_captures(pages: DataFrame) -> DataFrame:
     c = captures(read_records(spark, path))
     page = F.element_at("metadata", "pageId").cast("long").alias("page_id")
     c = stored(c.select("capture_id", "record_type", "refers_to", "payload_bytes", "payload_digest", page, F.size("requests").alias("n_requests")), "captures")
+    tune(spark)  # the small batches were for whole files
     out = resolved(c, ["page_id", "payload_bytes"])
     return out.select("page_id", F.coalesce("payload_bytes", "payload_bytes_of").alias("payload_bytes"), "payload_digest", "record_type", F.col("page_id_of").alias("refers_to"), "n_requests")
 
