@@ -94,7 +94,8 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """The documents of the mix: each row as often as it is taken, with its own columns."""
-    t = thresholds(sized(docs))
+    # Written, so that Spark knows its size: one row a source is broadcast as a rule, and no text moves.
+    t = stored(thresholds(sized(docs)), "mix-thresholds")
     names = docs.columns
     rows = docs.select([F.col(c) for c in names]).withColumn("place", place(F.col("doc_id")))
     return copies(rows, t).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).where("copies > 0").select(names)

@@ -74,7 +74,8 @@ def judged(docs: DataFrame, reject_rate: float = 0.5, keep: list[str] | None = N
     """
     rows = counted(docs)
     rows = stored(rows.select(*keep, *COUNTS, "base_failed") if keep else rows, "quality")
-    bad = rejected_hosts(rows, reject_rate)
+    # Written, so that Spark knows its size: a short list is broadcast and no text moves, a long one is joined by shuffle.
+    bad = stored(rejected_hosts(rows, reject_rate), "hosts")
     at = rows.drop("_rejected").join(bad.withColumnRenamed("source", "_host"), F.col("source").eqNullSafe(F.col("_host")), "left").drop("_host")
     return at.withColumn("kept", ~F.col("base_failed") & F.col("_rejected").isNull()).drop("_rejected")
 
