@@ -16,12 +16,18 @@ document.  ``collisions`` checks that on the data.
 Defined results: a null text stays null with zero counts; rows with a null or
 repeated doc_id are treated one by one; an empty table gives no rows.  Input
 columns that clash with the counts are replaced.
+
+Entities go to their natural end, however long: a keyed secret to white space or
+a quote, a hexadecimal run to its last digit, a name over all capitalised words,
+initials and particles behind its title.  Keyed secrets of under 12 characters,
+hexadecimal runs of under 32 and names without a title are not detected.
 """
 
 from __future__ import annotations
 
 import ipaddress
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -39,15 +45,20 @@ MALE = "Adam Albert Anton Bruno Carl Daniel David Emil Felix Hugo Ivan James Jea
 FEMALE = "Ada Alice Anna Carla Clara Diana Elena Elsa Emma Eva Flora Hanna Helena Ida Ines Jane Julia Laura Lucia Maria Marta Mary Nina Olga Paula Rosa Sara Sofia Teresa Vera".split()
 MALE_CYRILLIC = "Андрей Борис Виктор Иван Игорь Михаил Николай Олег Павел Сергей".split()
 FEMALE_CYRILLIC = "Анна Вера Галина Елена Ирина Мария Наталья Ольга Светлана Татьяна".split()
-TITLES = ["Mr", "Mrs", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Señora", "Sr", "Sra"]
+TITLES = ["Mr", "Mrs", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Señora", "Sr", "Sra", "Dr", "Dra", "Prof", "Professor"]
+#: Words in lower case that may stand between the parts of a name.
+PARTICLES = frozenset("af al bin da das de del della den der di do dos du el ibn la las le los ter ten van vom von y zu zum zur".split())
 #: Letters that a letter may become: one of its own row.
 ROWS = ["aeiouy", "bcdfghjklmnpqrstvwxz", "áâàäãåæéêèëíîìïóôòöõøúûùüýÿ", "çñßðþ", "αεηιουω", "βγδζθκλμνξπρστφχψς", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь", "0123456789"]
 ROW = {c: row for row in ROWS for c in row}
+#: Longer entities are permuted in parts of so many characters, as one number takes time with the square of its length.
+PART = 256
 
 
 def _round(key: bytes, tweak: str, r: int, half: int, bits: int) -> int:
-    h = blake2b(f"{tweak}|{r}|{half}".encode(), key=key, digest_size=32).digest()
-    return int.from_bytes(h * (-(-bits // 256)), "big") & ((1 << bits) - 1)
+    said = f"{tweak}|{r}|{half}"
+    h = b"".join(blake2b((f"{said}|{i}" if i else said).encode(), key=key, digest_size=32).digest() for i in range(-(-bits // 256)))
+    return int.from_bytes(h, "big") & ((1 << bits) - 1)
 
 
 def _feistel(n: int, size: int, key: bytes, tweak: str, back: bool) -> int:
@@ -71,9 +82,17 @@ def permuted(n: int, size: int, key: bytes, tweak: str) -> int:
     return _feistel((_feistel(n, size, key, tweak, False) + 1) % size, size, key, tweak, True)
 
 
-def _letters(text: str, key: bytes, kind: str) -> str:
-    """Letters and digits of ``text`` (canonical: lower case) become others of their rows; all else stays."""
-    rows = [ROW.get(c, c) for c in text]
+def _parts(text: str, key: bytes, kind: str) -> Iterator[tuple[str, str]]:
+    """Parts of a text and their tweaks.  A tweak depends on all parts before its own, so the whole stays a permutation."""
+    before = blake2b(key=key, digest_size=16)
+    for k in range(0, len(text), PART):
+        part = text[k : k + PART]
+        yield part, f"{kind}{k}|{before.hexdigest()}" if k else kind
+        before.update(part.encode())
+
+
+def _turned(text: str, rows: list[str], key: bytes, kind: str) -> str:
+    """Each character of ``text`` becomes another of its row."""
     n, size = 0, 1
     for c, row in zip(text, rows):
         n, size = n * len(row) + row.index(c), size * len(row)
@@ -85,6 +104,11 @@ def _letters(text: str, key: bytes, kind: str) -> str:
     return "".join(reversed(out))
 
 
+def _letters(text: str, key: bytes, kind: str) -> str:
+    """Letters and digits of ``text`` (canonical: lower case) become others of their rows; all else stays."""
+    return "".join(_turned(part, [ROW.get(c, c) for c in part], key, tweak) for part, tweak in _parts(text, key, kind))
+
+
 def _cased(like: str, low: str) -> str:
     """``low`` in the case of ``like``, letter by letter."""
     return "".join(c.upper() if a != a.lower() and len(c.upper()) == 1 else c for a, c in zip(like, low))
@@ -116,7 +140,8 @@ def surrogate(kind: str, entity: str, key: bytes) -> str:
         low = _letters(_lower(f"{local}@{name}"), key, f"email|{_lower(rest)}")
         return _cased(f"{local}@{name}", low) + dot + rest
     if kind == "ip":
-        return str(ipaddress.IPv4Address(permuted(int(ipaddress.IPv4Address(entity)), 1 << 32, key, "ip")))
+        n = int.from_bytes(bytes(map(int, entity.split("."))), "big")  # parts may have leading zeros
+        return str(ipaddress.IPv4Address(permuted(n, 1 << 32, key, "ip")))
     if kind in ("phone", "ssn"):
         d = "".join(c for c in entity if c.isdigit())
         tail = d[-10:] if kind == "phone" else d
@@ -125,7 +150,7 @@ def surrogate(kind: str, entity: str, key: bytes) -> str:
         d = "".join(c for c in entity if c.isdigit())
         body = d[0] + _letters(d[1:-1], key, f"card{d[0]}")
         return _digits(entity, body + str((_luhn(body) + int(d[-1]) - _luhn(d[:-1])) % 10))
-    if kind == "secret" and not entity.isdigit():
+    if kind == "secret":
         return _cased_secret(entity, key)
     if kind == "name":
         for pool in (MALE, FEMALE, MALE_CYRILLIC, FEMALE_CYRILLIC):
@@ -135,18 +160,26 @@ def surrogate(kind: str, entity: str, key: bytes) -> str:
     return _cased(entity, _letters(_lower(entity), key, kind))
 
 
+@lru_cache(10_000)
+def _secret_row(c: str, hexa: bool) -> str:
+    """What a character of a secret may become: letters and digits one of their kind and case, all else only itself."""
+    for row, few in (("0123456789", 10), ("abcdefghijklmnopqrstuvwxyz", 6), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 6)):
+        if c in row:
+            return row[:few] if hexa else row
+    kind = unicodedata.category(c)
+    if c.isascii() or kind[0] not in "LMN":
+        return c
+    block = ord(c) & ~127
+    return "".join(x for x in map(chr, range(block, block + 128)) if unicodedata.category(x) == kind)
+
+
 def _cased_secret(entity: str, key: bytes) -> str:
-    """Secrets differ by case, and hexadecimal ones stay hexadecimal."""
-    hexa = all(c in "0123456789abcdefABCDEF" for c in entity)
-    rows = ["0123456789" if c.isdigit() else ("abcdef" if hexa else "abcdefghijklmnopqrstuvwxyz") if "a" <= c <= "z" else ("ABCDEF" if hexa else "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if "A" <= c <= "Z" else c for c in entity]
-    n, size = 0, 1
-    for c, row in zip(entity, rows):
-        n, size = n * len(row) + row.index(c), size * len(row)
-    n, out = permuted(n, size, key, f"secret|{'|'.join(rows)}"), []
-    for row in reversed(rows):
-        n, k = divmod(n, len(row))
-        out.append(row[k])
-    return "".join(reversed(out))
+    """Secrets differ by case, and hexadecimal ones (of long ones, each part) stay hexadecimal."""
+    out = []
+    for part, tweak in _parts(entity, key, "secret"):
+        hexa = all(c in "0123456789abcdefABCDEF" for c in part)
+        out.append(_turned(part, [_secret_row(c, hexa) for c in part], key, tweak))
+    return "".join(out)
 
 
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
@@ -159,19 +192,45 @@ _NUMBER = re.compile(
     )""",
     re.X,
 )
-_HEX = re.compile(r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]{0,39}[0-9])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])")
-_KEYED = re.compile(r"\b(?:token|secret|password|passwd|api[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_\-]{12,200})", re.I)
-_NAME = re.compile(rf"\b(?:{'|'.join(TITLES)})\b\.?\s((?:[^\W\d_][\w'’-]{{1,30}}\s)?[^\W\d_][\w'’-]{{1,30}})")
+_HEX = re.compile(r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])")
+#: A secret behind its key ends before white space, a quote, or the punctuation of the sentence.
+_KEYED = re.compile(r"\b(?:token|secret|password|passwd|api[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"'`]?([^\s\"'`]{11,}[^\s\"'`.,;:!?)\]}>])", re.I)
+_TITLE = re.compile(rf"\b(?:{'|'.join(TITLES)})\b\.?(?=\s)")
+#: A word behind white space with at most one line break.
+_WORD = re.compile(r"((?:[^\S\n]+|[^\S\n]*\n[^\S\n]*)?)([^\W\d_][\w'’̀-ͯ-]*)")
 _LOCAL = frozenset("._%+-")
 
 
+def _names(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of each capitalised word or initial behind a title, as far as the name goes."""
+    at = 0
+    for m in _TITLE.finditer(text):
+        if m.start() < at:
+            continue
+        at, first, tight = m.end(), True, False
+        while (w := _WORD.match(text, at)) and (w[1] or tight):
+            word, tight = w[2], False
+            dot = text[w.end() : w.end() + 1] == "."
+            if word in TITLES:
+                at = w.end() + dot
+            elif word[0].isupper():
+                yield w.span(2)
+                # The full stop of an initial doesn't end the name.
+                tight, first = dot and len(word) == 1, False
+                at = w.end() + tight
+            elif first or word in PARTICLES:
+                at, first = w.end(), False
+            else:
+                break
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
     """start, end, type of the entities of a text, in order and apart."""
     found = []
     at = text.find("@")
     while at >= 0:
         a = at
-        while a > 0 and at - a < 64 and (text[a - 1].isalnum() or text[a - 1] in _LOCAL):
+        while a > 0 and (text[a - 1].isalnum() or text[a - 1] in _LOCAL):
             a -= 1
         while a < at and text[a] in _LOCAL:
             a += 1
@@ -185,12 +244,11 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     if re.search("(?i)token|secret|passw|api", text):
         found += [(*m.span(1), "secret") for m in _KEYED.finditer(text)]
     if any(t in text for t in TITLES):
-        for m in _NAME.finditer(text):
-            for w in re.finditer(r"\S+", m[1]):
-                if w[0][0].isupper():
-                    found.append((m.start(1) + w.start(), m.start(1) + w.end(), "name"))
+        found += [(a, z, "name") for a, z in _names(text)]
     out, end = [], 0
     for a, z, kind in sorted(found, key=lambda x: (x[0], -x[1])):
+        if kind == "secret" and a < end < z:
+            a = end  # what another entity leaves of a secret is secret still
         if a >= end:
             out.append((a, z, kind))
             end = z
@@ -201,7 +259,8 @@ def replaced(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
     """The text with surrogates, and (type, entity, surrogate) of each mention."""
     out, at, said = [], 0, []
     for a, z, kind in entities(text):
-        new = surrogate(kind, text[a:z], key)
+        # Long ones would fill the memory of the cache.
+        new = (surrogate if z - a <= PART else surrogate.__wrapped__)(kind, text[a:z], key)
         said.append((kind, text[a:z], new))
         out += [text[at:a], new]
         at = z

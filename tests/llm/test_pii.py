@@ -57,3 +57,30 @@ def test_distinct_entities_stay_distinct(spark):
     assert pii.collisions(docs).count() == 0
     said = [m for r in pii.with_surrogates(docs, mentions=True).collect() for m in r.mentions]
     assert len({m.surrogate for m in said}) == len({m.entity for m in said})
+
+
+def test_entities_are_replaced_to_their_end():
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiI0MiJ9.c2ln/bmF0+dXJl_w=="
+    long_, hexa = "aZ3-" * 75, "0a1B" * 64
+    for before, secret, after in (('token="', long_, '" x'), ("token=", jwt, ", x"), ("key ", hexa, " x"), ("password: ", "p4ss.w0rd(ключ)9", "\n"), ("api_key=", "q" * 20000, "")):
+        new, said = pii.replaced(before + secret + after, KEY)
+        assert [m[:2] for m in said] == [("secret", secret)] and new == before + said[0][2] + after
+        assert len(said[0][2]) == len(secret) and not any(secret[i : i + 12] in new for i in range(len(secret) - 11)) and "ключ" not in new
+    for name in ("Juan Carlos Perez", "John Q. Public", "J.R.R. Tolkien", "Vincent van Gogh", "Ana María de la Cruz Lopez"):
+        for title in ("Mr.", "Dr", "Herr Prof. Dr."):
+            new, said = pii.replaced(f"See {title} {name}. He left", KEY)
+            left = [w for w in name.replace(".", " ").split() if w[0].isupper()]
+            assert [m[1] for m in said] == left and new.startswith(f"See {title} ") and new.endswith(". He left")
+            assert not any(len(w) > 1 and w in new for w in left)
+    assert pii.replaced("Mr. Smith left. Ms. Jones\n\nNext", KEY)[0].endswith("\n\nNext")
+    assert [m[0] for m in pii.replaced("at 10.02.03.04", KEY)[1]] == ["ip"]
+
+
+def test_long_entities_are_permuted():
+    texts = {f"{a}{'x' * 254}{b}{'7' * 300}{c}" for a in "abc" for b in "abc" for c in "abc"}
+    new = {pii.surrogate("secret", t, KEY) for t in texts}
+    assert len(new) == len(texts) and not new & texts
+    # No part of a wide number is permuted as another part of it.
+    n = pii.permuted(0, 1 << 1536, KEY, "t")
+    left = n >> 768
+    assert len({left >> k & ((1 << 256) - 1) for k in (0, 256, 512)}) == 3
