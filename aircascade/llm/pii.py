@@ -11,7 +11,10 @@ As each is a permutation, two entities of one format never share a surrogate, at
 any scale and without a table of all entities; as it has no fixed point, none
 stays as it is; and as it works on the entity's canonical form, all its mentions
 (in other case or with other separators) get the same surrogate in every
-document.  ``collisions`` checks that on the data.
+document.  Where two permutations serve one format (given names of the fixed
+lists and other names, hexadecimal and other secrets), neither gives what the
+other may give.  ``checked_surrogates`` checks all entities of the documents first
+and fails if two share a surrogate.
 
 Defined results: a null text stays null with zero counts; rows with a null or
 repeated doc_id are treated one by one; an empty table gives no rows.  Input
@@ -27,8 +30,9 @@ from __future__ import annotations
 
 import ipaddress
 import re
+import struct
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -48,8 +52,9 @@ FEMALE_CYRILLIC = "Анна Вера Галина Елена Ирина Мари
 TITLES = ["Mr", "Mrs", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Señora", "Sr", "Sra", "Dr", "Dra", "Prof", "Professor"]
 #: Words in lower case that may stand between the parts of a name.
 PARTICLES = frozenset("af al bin da das de del della den der di do dos du el ibn la las le los ter ten van vom von y zu zum zur".split())
+POOLS = {name.lower(): pool for pool in (MALE, FEMALE, MALE_CYRILLIC, FEMALE_CYRILLIC) for name in pool}
 #: Letters that a letter may become: one of its own row.
-ROWS = ["aeiouy", "bcdfghjklmnpqrstvwxz", "áâàäãåæéêèëíîìïóôòöõøúûùüýÿ", "çñßðþ", "αεηιουω", "βγδζθκλμνξπρστφχψς", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь", "0123456789"]
+ROWS = ["aeiouy", "bcdfghjklmnpqrstvwxz", "áâàäãåæéêèëíîìïóôòöõøúûùüýÿ", "çñßðþ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь", "0123456789"]
 ROW = {c: row for row in ROWS for c in row}
 #: Longer entities are permuted in parts of so many characters, as one number takes time with the square of its length.
 PART = 256
@@ -91,22 +96,25 @@ def _parts(text: str, key: bytes, kind: str) -> Iterator[tuple[str, str]]:
         before.update(part.encode())
 
 
-def _turned(text: str, rows: list[str], key: bytes, kind: str) -> str:
-    """Each character of ``text`` becomes another of its row."""
+def _turned(text: str, rows: list[str], key: bytes, kind: str, barred: Callable[[str], bool]) -> str:
+    """Each character of ``text``, which isn't barred, becomes another of its row: the next text in a keyed order that isn't barred."""
     n, size = 0, 1
     for c, row in zip(text, rows):
         n, size = n * len(row) + row.index(c), size * len(row)
-    n = permuted(n, size, key, f"{kind}|{'|'.join(rows)}")
-    out = []
-    for row in reversed(rows):
-        n, k = divmod(n, len(row))
-        out.append(row[k])
-    return "".join(reversed(out))
+    while True:
+        k = n = permuted(n, size, key, f"{kind}|{'|'.join(rows)}")
+        out = []
+        for row in reversed(rows):
+            k, i = divmod(k, len(row))
+            out.append(row[i])
+        if not barred(new := "".join(reversed(out))):
+            return new
 
 
 def _letters(text: str, key: bytes, kind: str) -> str:
     """Letters and digits of ``text`` (canonical: lower case) become others of their rows; all else stays."""
-    return "".join(_turned(part, [ROW.get(c, c) for c in part], key, tweak) for part, tweak in _parts(text, key, kind))
+    barred = POOLS.__contains__ if kind == "name" and len(text) <= PART else lambda new: False
+    return "".join(_turned(part, [ROW.get(c, c) for c in part], key, tweak, barred) for part, tweak in _parts(text, key, kind))
 
 
 def _cased(like: str, low: str) -> str:
@@ -115,8 +123,8 @@ def _cased(like: str, low: str) -> str:
 
 
 def _lower(text: str) -> str:
-    """Lower case, but for letters that lower case would lengthen."""
-    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    """Lower case, but for letters that lower case would lengthen; both lower case sigmas are one letter."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text).replace("ς", "σ")
 
 
 def _digits(entity: str, changed: str) -> str:
@@ -152,11 +160,9 @@ def surrogate(kind: str, entity: str, key: bytes) -> str:
         return _digits(entity, body + str((_luhn(body) + int(d[-1]) - _luhn(d[:-1])) % 10))
     if kind == "secret":
         return _cased_secret(entity, key)
-    if kind == "name":
-        for pool in (MALE, FEMALE, MALE_CYRILLIC, FEMALE_CYRILLIC):
-            if entity.capitalize() in pool:
-                other = pool[permuted(pool.index(entity.capitalize()), len(pool), key, f"name|{pool[0]}")]
-                return other.upper() if entity.isupper() and len(entity) > 1 else other
+    if kind == "name" and (pool := POOLS.get(_lower(entity))):
+        other = pool[permuted(pool.index(_lower(entity).capitalize()), len(pool), key, f"name|{pool[0]}")]
+        return other.upper() if entity.isupper() and len(entity) > 1 else other
     return _cased(entity, _letters(_lower(entity), key, kind))
 
 
@@ -173,12 +179,16 @@ def _secret_row(c: str, hexa: bool) -> str:
     return "".join(x for x in map(chr, range(block, block + 128)) if unicodedata.category(x) == kind)
 
 
+def _hexa(text: str) -> bool:
+    return all(c in "0123456789abcdefABCDEF" for c in text)
+
+
 def _cased_secret(entity: str, key: bytes) -> str:
     """Secrets differ by case, and hexadecimal ones (of long ones, each part) stay hexadecimal."""
     out = []
     for part, tweak in _parts(entity, key, "secret"):
-        hexa = all(c in "0123456789abcdefABCDEF" for c in part)
-        out.append(_turned(part, [_secret_row(c, hexa) for c in part], key, tweak))
+        hexa = _hexa(part)
+        out.append(_turned(part, [_secret_row(c, hexa) for c in part], key, tweak, lambda new: not hexa and _hexa(new)))  # noqa: B023
     return "".join(out)
 
 
@@ -295,10 +305,41 @@ def with_surrogates(docs: DataFrame, key: str = "public test key", mentions: boo
     return rows.mapInArrow(run, schema)
 
 
+def canonical(kind: str, entity: str) -> str:
+    """What all mentions of one entity have in common."""
+    if kind == "ip":
+        return ".".join(str(int(x)) for x in entity.split("."))
+    if kind in ("phone", "ssn", "card"):
+        return "".join(c for c in entity if c.isdigit())
+    return entity if kind == "secret" else _lower(entity)
+
+
+def _pairs(docs: DataFrame, key: str) -> DataFrame:
+    """type and 128-bit hashes of entity (e1, e2) and surrogate (s1, s2), in canonical form, of the mentions of each batch."""
+    tune(docs.sparkSession)
+    secret = blake2b(key.encode(), digest_size=32).digest()
+    names = ["type", "e1", "e2", "s1", "s2"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        half = lambda kind, x: struct.unpack("<qq", blake2b(canonical(kind, x).encode(), key=secret, digest_size=16).digest())
+        for b in batches:
+            seen = {m for x in b.column(0) if (text := x.as_py()) for m in replaced(text, secret)[1]}
+            rows = [(kind, *half(kind, old), *half(kind, new)) for kind, old, new in seen]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, [pa.string()] + [pa.int64()] * 4)], names)
+
+    return docs.select("text").mapInArrow(run, "type string, e1 long, e2 long, s1 long, s2 long")
+
+
 def collisions(docs: DataFrame, key: str = "public test key") -> DataFrame:
-    """type, surrogate, n of surrogates that stand for more than one entity (in canonical form); none, if all is well."""
-    m = with_surrogates(docs, key, mentions=True).select(F.explode("mentions").alias("m")).select("m.*")
-    low = F.when(F.col("type") == "secret", F.col("entity")).otherwise(F.lower("entity"))
-    low = F.when(F.col("type").isin("phone", "ssn", "card"), F.regexp_replace("entity", "[^0-9]", "")).otherwise(low)
-    out = F.when(F.col("type") == "secret", F.col("surrogate")).otherwise(F.lower("surrogate"))
-    return m.groupBy("type", low.alias("entity"), out.alias("surrogate")).count().groupBy("type", "surrogate").agg(F.count("*").alias("n")).where("n > 1")
+    """type and hash (s1, s2) of surrogates that stand for more than one entity (in canonical form); none, if all is well."""
+    ends = [f(e).alias(f"{f.__name__}_{e}") for e in ("e1", "e2") for f in (F.min, F.max)]
+    found = _pairs(docs, key).groupBy("type", "s1", "s2").agg(*ends)
+    return found.where("min_e1 < max_e1 or min_e2 < max_e2").select("type", "s1", "s2")
+
+
+def checked_surrogates(docs: DataFrame, key: str = "public test key") -> DataFrame:
+    """``with_surrogates``, after a pass over all entities that fails if two of them share a surrogate."""
+    found = collisions(docs, key).groupBy("type").count().collect()
+    if found:
+        raise ValueError("surrogates that stand for more than one entity: " + ", ".join(f"{n} of type {kind}" for kind, n in sorted(map(tuple, found))))
+    return with_surrogates(docs, key)

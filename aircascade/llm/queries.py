@@ -49,7 +49,7 @@ def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = pii.checked_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "text", *(f"n_{t}" for t in pii.TYPES))
 
 

@@ -31,8 +31,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates in their texts."""
-    out = pii.with_surrogates(docs)
+    """All documents, with surrogates in their texts; fails if two entities share one."""
+    out = pii.checked_surrogates(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

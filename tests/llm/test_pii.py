@@ -1,6 +1,9 @@
 import ipaddress
+from itertools import product
 
-from aircascade.llm import pii
+import corpus_pipeline
+import pytest
+from aircascade.llm import pii, queries
 
 from .helpers import documents
 
@@ -84,3 +87,36 @@ def test_long_entities_are_permuted():
     n = pii.permuted(0, 1 << 1536, KEY, "t")
     left = n >> 768
     assert len({left >> k & ((1 << 256) - 1) for k in (0, 256, 512)}) == 3
+
+
+def test_maps_of_one_format_have_disjoint_images(spark):
+    pools = [pii.MALE, pii.FEMALE, pii.MALE_CYRILLIC, pii.FEMALE_CYRILLIC]
+    assert len(pii.POOLS) == sum(map(len, pools))
+    short = {"".join(x).capitalize() for x in product(pii.ROWS[0], pii.ROWS[1], pii.ROWS[0])}
+    names = sorted(short | {n for pool in pools for n in pool})
+    new = {n: pii.surrogate("name", n, KEY) for n in names}
+    assert len(set(new.values())) == len(names) and all(a != b for a, b in new.items())
+    assert all((a.lower() in pii.POOLS) == (b.lower() in pii.POOLS) for a, b in new.items())
+    # One letter in three: of the letters g to z, some would become a to f.
+    said = {x: pii.surrogate("secret", x, KEY) for i in range(500) for x in (f"{i:011d}a", f"{i:011d}z")}
+    assert len(set(said.values())) == 1000 and all(pii._hexa(a) == pii._hexa(b) for a, b in said.items())
+    assert all(pii._lower(c.upper()) == c for c in pii.ROW if len(c.upper()) == 1)
+    assert pii.collisions(documents(spark, [f"Mr. {n}" for n in names])).count() == 0
+
+
+def test_shared_surrogates_fail_the_query_and_the_pipeline(spark, tmp_path, monkeypatch):
+    docs = documents(spark, TEXTS)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.op8_pii_surrogates(spark, str(tmp_path)).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, pii.with_surrogates(docs.select("doc_id", "text")).collect()))
+    pairs = [("name", 1, 2, 7, 8), ("name", 1, 2, 7, 8), ("ip", 1, 2, 7, 8), ("name", 1, 3, 7, 9)]
+    schema = "type string, e1 long, e2 long, s1 long, s2 long"
+    monkeypatch.setattr(pii, "_pairs", lambda docs, key: spark.createDataFrame(pairs, schema))
+    assert pii.collisions(docs).count() == 0
+    for other in (("name", 1, 3, 7, 8), ("name", 0, 2, 7, 8)):
+        bad = [*pairs, other]
+        monkeypatch.setattr(pii, "_pairs", lambda docs, key: spark.createDataFrame(bad, schema))  # noqa: B023
+        with pytest.raises(ValueError, match="1 of type name"):
+            queries.op8_pii_surrogates(spark, str(tmp_path))
+        with pytest.raises(ValueError, match="1 of type name"):
+            corpus_pipeline.replace_personal_data(spark, docs, "")
