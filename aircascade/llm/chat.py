@@ -67,14 +67,30 @@ def read_piece(piece: str) -> tuple[str, str]:
 
 
 def log_of(conversations: DataFrame) -> DataFrame:
-    """The event log of finished conversations (conv_id, turn, role, text): a start and streamed deltas for each row."""
+    """An event log that finished conversations (conv_id, turn, role, text) may come from.
+
+    Each row is a message of a start and streamed deltas.  A hash of its key
+    decides what came before: for a quarter of the messages each, a draft that was
+    discarded (regenerate), or one that an edit replaced; an eighth stand beside
+    a message that was deleted.  Events come last first, as a log is in no order.
+    """
     w = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("copy", F.row_number().over(w))
+    rows = rows.withColumn("fate", F.pmod(F.xxhash64("conv_id", "turn", "copy"), F.lit(8)))
+    rows = rows.withColumn("gone", F.explode(F.when(F.col("fate") == 4, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     n = F.ceil(F.length("text") / DELTA).cast("int")
-    rows = rows.withColumn("seq", F.explode(F.sequence(F.lit(0), n)))
+    again, edit = F.col("fate") < 2, F.col("fate").isin(2, 3)
+    # The draft's deltas, then what ends it; an edit brings the first part of the text.
+    rows = rows.withColumn("draft", F.when(again | edit, 1 + F.pmod(F.xxhash64("turn", "conv_id"), F.lit(3))).otherwise(0).cast("int"))
+    rows = rows.withColumn("first", F.when(again, F.col("draft") + 2).when(edit, F.col("draft") + 1).otherwise(1)).withColumn("end", F.when(edit, F.greatest(n, F.lit(1))).otherwise(n) + F.col("first"))
+    seq = F.col("seq")
+    rows = rows.withColumn("seq", F.explode(F.reverse(F.sequence(F.lit(0), F.col("end") - F.when(F.col("gone"), 0).otherwise(1)))))
+    kind = F.when(seq == 0, "start").when(seq == F.col("end"), "delete").when(edit & (seq == F.col("draft") + 1), "edit").when(again & (seq == F.col("draft") + 1), "regenerate").otherwise("delta")
+    part = F.expr(f"substring(text, (seq - first) * {DELTA} + 1, {DELTA})")
+    wrong = F.concat(F.lit("draft "), seq.cast("string"), F.reverse(F.substring("text", 1, DELTA)))
     return rows.select(
-        "conv_id", "turn", "copy", F.col("seq").cast("long").alias("seq"), F.when(F.col("seq") == 0, "start").otherwise("delta").alias("kind"),
-        F.when(F.col("seq") == 0, F.col("role")).alias("role"), F.when(F.col("seq") > 0, F.expr(f"substring(text, (seq - 1) * {DELTA} + 1, {DELTA})")).alias("text"),
+        "conv_id", "turn", F.when(F.col("gone"), -F.col("copy")).otherwise(F.col("copy")).alias("copy"), seq.cast("long").alias("seq"), kind.alias("kind"), F.when(seq == 0, F.col("role")).alias("role"),
+        F.when((seq > 0) & (seq <= F.col("draft")), wrong).when((seq >= F.col("first")) & (seq < F.col("end")), part).alias("text"),
     )
 
 

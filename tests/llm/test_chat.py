@@ -49,3 +49,16 @@ def test_events_fold(spark):
     df = spark.createDataFrame(log, "conv_id long, turn long, copy int, seq long, kind string, role string, text string")
     got = sorted((r.turn, r.role, r.text) for r in chat.folded(df.orderBy("seq")).collect())
     assert got == [(0, "user", "hello!"), (1, "assistant", "good"), (3, None, "lost start")]
+
+
+def test_log_has_superseded_drafts(spark):
+    rows = conversations()
+    log = chat.log_of(spark.createDataFrame(rows, SCHEMA)).cache()
+    n = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(n) == {"start", "delta", "edit", "regenerate", "delete"} and min(n["edit"], n["regenerate"], n["delete"]) > len(rows) // 20
+    right = sorted(((r.conv_id, r.turn, r.role, r.text) for r in chat.folded(log).collect()), key=repr)
+    assert right == sorted(((c, t, r or "", x or "") for c, t, r, x, *_ in rows), key=repr)
+    # Without any one of these kinds, or without the order, the fold goes wrong.
+    for kind in ("edit", "regenerate", "delete"):
+        assert sorted(((r.conv_id, r.turn, r.role, r.text) for r in chat.folded(log.where(f"kind != '{kind}'")).collect()), key=repr) != right
+    assert sorted(((r.conv_id, r.turn, r.role, r.text) for r in chat.folded(log.selectExpr("conv_id", "turn", "copy", "0L AS seq", "kind", "role", "text")).collect()), key=repr) != right
