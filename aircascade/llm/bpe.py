@@ -9,7 +9,8 @@ makes, so the joined ids are those of the whole text.  A window that reaches
 both ends is the whole text, so the result is exact in any case.
 
 Defined results: a null text counts as empty (no ids, empty text); null or
-repeated doc_ids are kept row by row; an empty table gives no rows.  Columns
+repeated doc_ids are kept row by row; a very long text is encoded in leaves and
+only its ids and text are put together in one task; an empty table gives no rows.  Columns
 other than doc_id and text are ignored, whatever their names.
 """
 

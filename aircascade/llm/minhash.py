@@ -11,8 +11,13 @@ linear in the bucket, and the links make components.  Where members of a bucket
 are then still in several components, all pairs across those are compared too,
 in blocks of bounded size.  Comparisons count the intersection of the full sets.
 
+What moves: narrow rows (keys, labels) decide what is compared with what; only
+then one text for each set that shares a bucket is fetched, hashed and written,
+and each comparison stage moves those sets by their key and by their task.
+
 Defined results: a text without words has an empty set and is linked with
-nothing; so is a null text.  Rows with a null doc_id take part, but a component's
+nothing; so is a null text.  Very long texts are one set like any other; a block
+holds at least one set, however large.  Rows with a null doc_id take part, but a component's
 id is its smallest doc_id that isn't null (null if there is none), and ``kept`` is
 false for a null doc_id.  Rows that share a doc_id are rows of one document: all
 of them are kept if it is.  An empty table gives no rows.  Columns other than
@@ -25,10 +30,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, tune
+from .common import bloom_filters, dropped, salted_join, stored, tune
 from .graph import components
 
 SHINGLE, BANDS, PER_BAND = 5, 40, 2
@@ -91,11 +96,11 @@ def _set_key(s: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_key, bands of every row of ``docs`` (doc_id, text)."""
+    """doc_id, row_key, n_shingles, set_key, short (8 bytes of it), bands of every row of ``docs`` (doc_id, text)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text_key, sets = b.column(1), [shingles(x.as_py()) for x in b.column(2)]
+            row_key, sets = b.column(1), [shingles(x.as_py()) for x in b.column(2)]
             full, at = [s for s in sets if len(s)], 0
             keys = []
             while at < len(full):  # about 100,000 hashes at once stay in the cache
@@ -109,14 +114,22 @@ def signed(docs: DataFrame) -> DataFrame:
             ends = np.cumsum([0, *(BANDS * bool(len(s)) for s in sets)])
             bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.reshape(-1)))
             count = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), text_key, count, pa.array([_set_key(s) for s in sets], pa.binary()), bands], ["doc_id", "text_key", "n_shingles", "set_key", "bands"])
+            set_keys = [_set_key(s) for s in sets]
+            short = np.frombuffer(b"".join(k[:8] for k in set_keys), "<i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), row_key, count, pa.array(set_keys, pa.binary()), pa.array(short), bands], ["doc_id", "row_key", "n_shingles", "set_key", "short", "bands"])
+
+    rows = docs.select("doc_id", _row_key(), "text")
+    return rows.mapInArrow(run, "doc_id long, row_key binary, n_shingles long, set_key binary, short long, bands array<long>")
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>")
+
+def _row_key() -> Column:
+    """128 bits of a row's doc_id and text."""
+    said = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("|"), F.coalesce("text", F.lit("")))
+    return F.unhex(F.md5(said.cast("binary"))).alias("row_key")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_key, hashes for the texts of ``wanted`` (text_key)."""
+    """set_key, hashes of the rows of ``wanted`` (row_key), which has one for each set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -124,42 +137,84 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = [shingles(x.as_py()) for x in b.column(0).slice(k, 200)]
                 yield pa.RecordBatch.from_arrays([pa.array([_set_key(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["set_key", "hashes"])
 
-    # Copies are put together before they are moved, so the texts of a large group don't meet in one task.
-    one = docs.select("text", F.xxhash64("text").alias("text_key")).groupBy("text_key").agg(F.min("text").alias("text"))
-    one = one.join(wanted.distinct(), "text_key", "left_semi")
-    return one.select("text").mapInArrow(run, "set_key binary, hashes array<long>").dropDuplicates(["set_key"])
-
+    # Rows that are repeated as a whole are put together before they are moved; the join then finds them in place.
+    one = docs.select(_row_key(), "text").groupBy("row_key").agg(F.first("text").alias("text"))
+    return one.join(wanted, "row_key", "left_semi").select("text").mapInArrow(run, "set_key binary, hashes array<long>")
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that are similar enough."""
-    left = sets.select(F.col("set_key").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("set_key").alias("b"), F.col("hashes").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both)).select("a", "b")
 
+def _pivot_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of members and pivots of their buckets that are similar enough.
 
-def _cross_links(sets: DataFrame, label: DataFrame, families: DataFrame) -> DataFrame:
+    A pivot's members are dealt over tasks of bounded size, each of which gets the
+    pivot too; a task reads the pivot first and then compares a stream of members.
+    """
+    pairs = members.where("set_key <> pivot").select("pivot", "set_key", "n_shingles").distinct()
+    k = F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n_shingles") / BLOCK_HASHES)).cast("int")
+    parts = pairs.groupBy("pivot").agg(k.alias("k"))
+    # Narrow rows: a third of all sets may have one pivot, so this join is salted.
+    mine = salted_join(pairs.select("pivot", "set_key"), parts, "pivot").select("set_key", "pivot", F.pmod(F.xxhash64("set_key"), F.col("k")).cast("int").alias("part"), F.lit(1).alias("side"))
+    own = parts.select(F.col("pivot").alias("set_key"), "pivot", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), F.lit(0).alias("side"))
+    dealt = sets.join(mine.unionByName(own), "set_key").select("pivot", "part", "side", "set_key", "hashes")
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot, against = None, None
+        for b in batches:
+            pivots, sides, keys, sets = b.column(0).to_pylist(), b.column(2).to_numpy(), b.column(3), b.column(4)
+            offsets, flat = sets.offsets.to_numpy(), sets.values.to_numpy().view(np.uint64)
+            found_a, found_b = [], []
+            cut = [i for i in range(len(pivots)) if i == 0 or sides[i] == 0 or pivots[i] != pivots[i - 1]]
+            for i, z in zip(cut, [*cut[1:], len(pivots)]):
+                if sides[i] == 0:
+                    pivot, against = pivots[i], flat[offsets[i] : offsets[i + 1]]
+                    i += 1
+                if i == z:
+                    continue
+                x, begin = flat[offsets[i] : offsets[z]], offsets[i:z] - offsets[i]
+                at = np.minimum(np.searchsorted(against, x), len(against) - 1)
+                both = np.add.reduceat((against[at] == x).astype("i8"), begin)
+                size = np.diff(offsets[i : z + 1])
+                near = np.flatnonzero(100 * both >= PERCENT * (size + len(against) - both))
+                found_a += keys.take(pa.array(near + i)).to_pylist()
+                found_b += [pivot] * len(near)
+            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.binary()), pa.array(found_b, pa.binary())], ["a", "b"])
+
+    return dealt.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "side").mapInArrow(compare, "a binary, b binary")
+
+
+def _cross_links(members: DataFrame, sets: DataFrame, label: DataFrame, families: DataFrame) -> DataFrame:
     """Pairs (a, b) of components that some pair of their members links.
 
     ``label`` has set_key, c of the members, ``families`` c, f of the components
     that share a bucket with another one, directly or through others.  All pairs
     of members across the components of a family are compared, in pairs of blocks
     of bounded size; a block pair gives at most a spanning forest of its
-    components.  Blocks inside one component are never paired.
+    components.  Blocks inside one component are never paired.  Families of less
+    than a block share tasks.
     """
-    rows = sets.join(label, "set_key").join(families, "c").select("f", "c", "set_key", "hashes")
-    sizes = rows.groupBy("f", "c").agg(F.count("*").alias("n"), F.sum(F.size("hashes")).alias("h"))
+    sized = members.select("set_key", "n_shingles").distinct()
+    rows = stored(salted_join(sized.join(label, "set_key"), families, "c").select("f", "c", "set_key", "n_shingles"), "family")
     blocks = lambda n, h: F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(h / BLOCK_HASHES)).cast("int")
+    sizes = rows.groupBy("f", "c").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("h"))
     sizes = sizes.withColumn("own", blocks(F.col("n"), F.col("h"))).withColumn("part", F.when(F.col("own") > 1, F.col("c")).otherwise(F.lit(b"")))
-    parts = sizes.groupBy("f", "part").agg(blocks(F.sum("n"), F.sum("h")).alias("k"))
-    rows = rows.join(sizes.select("c", "part"), "c").join(parts, ["f", "part"])
+    parts = sizes.groupBy("f", "part").agg(blocks(F.sum("n"), F.sum("h")).alias("k"), F.sum("n").alias("n"), F.sum("h").alias("h"))
+    whole = parts.groupBy("f").agg(F.sum("n").alias("n"), F.sum("h").alias("h"), F.sum("k").alias("all"))
+    small = (F.col("n") < BLOCK_SETS // 10) & (F.col("h") < BLOCK_HASHES // 10)
+    total = whole.where(small).agg(F.sum("n"), F.sum("h")).first()
+    bundles = max(1, -(-10 * (total[0] or 0) // BLOCK_SETS), -(-10 * (total[1] or 0) // BLOCK_HASHES))
+    # The task of a small family; larger ones have none here.
+    bundle = whole.select(F.col("f"), F.when(small, F.concat(F.lit("all|"), F.pmod(F.xxhash64("f"), F.lit(bundles)).cast("string"))).alias("bundle"))
+    parts = parts.select("f", "part", "k").join(bundle, "f")
+    parts = stored(sizes.select("f", "c", "part").join(parts, ["f", "part"]), "parts")
+    rows = salted_join(rows.drop("f"), parts, "c")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("k")).cast("int"))
-    each = parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("f", F.struct("part", "block").alias("x"))
+    each = parts.where("bundle is null").select("f", "part", "k").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("f", F.struct("part", "block").alias("x"))
     pairs = each.join(each.withColumnRenamed("x", "y"), "f").where((F.col("x") <= F.col("y")) & ((F.col("x.part") != F.col("y.part")) | (F.col("x.part") == F.lit(b""))))
     sides = F.array_distinct(F.array(F.struct(F.col("x").alias("at"), F.lit(0).alias("side")), F.struct(F.col("y").alias("at"), F.when(F.col("x") == F.col("y"), 0).otherwise(1).alias("side"))))
     pairs = pairs.select("f", F.sha2(F.concat_ws("|", F.hex("f"), F.hex("x.part"), "x.block", F.hex("y.part"), "y.block"), 256).alias("pair"), F.explode(sides).alias("s"))
     pairs = pairs.select("f", "pair", F.col("s.side").alias("side"), F.col("s.at.part").alias("part"), F.col("s.at.block").alias("block"))
-    dealt = rows.join(pairs, ["f", "part", "block"]).select("pair", "side", "c", "hashes")
+    tasks = rows.where("bundle is null").join(pairs, ["f", "part", "block"]).select("set_key", "pair", "side", "c")
+    tasks = tasks.unionByName(rows.where("bundle is not null").select("set_key", F.col("bundle").alias("pair"), F.lit(0).alias("side"), "c"))
+    dealt = sets.join(tasks, "set_key").select("pair", "side", "c", "hashes")
 
     def compare(t):
         side, comps = t["side"].to_numpy(), t["c"].to_pylist()
@@ -173,10 +228,11 @@ def _cross_links(sets: DataFrame, label: DataFrame, families: DataFrame) -> Data
         column, row = column[on][order], row[on][order]
         column = np.cumsum(np.append(0, column[1:] != column[:-1])) if len(column) else column
         left, right = (np.flatnonzero(side == 0),) * 2 if not side.any() else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-        both = np.zeros((len(left), len(right)), np.float32)
+        kind = np.float32 if size.max(initial=0) < 1 << 24 else np.float64  # counts stay exact
+        both = np.zeros((len(left), len(right)), kind)
         for a in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
             i, z = np.searchsorted(column, [a, a + 2048])
-            m = np.zeros((len(size), 2048), np.float32)
+            m = np.zeros((len(size), 2048), kind)
             m[row[i:z], column[i:z] - a] = 1
             both += m[left] @ m[right].T
         near = 100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)
@@ -204,38 +260,68 @@ def _cross_links(sets: DataFrame, label: DataFrame, families: DataFrame) -> Data
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
-    tune(docs.sparkSession)
+    spark = docs.sparkSession
+    tune(spark)
     sig = stored(signed(docs), "signatures")
-    classes = sig.where("n_shingles > 0").groupBy("set_key").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key"))
-    rows = classes.select("set_key", "text_key", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("set_key").alias("pivot")).where("n > 1").select("key", "pivot")
-    members = stored(rows.join(buckets, "key"), "buckets")
-    sets = stored(_full_sets(docs, members.select("text_key")), "sets")
-
-    pairs = members.where("set_key <> pivot").select(F.col("set_key").alias("a"), F.col("pivot").alias("b")).distinct()
-    label = components(stored(_linked(pairs, sets), "links"))
-    ends = members.select("set_key").distinct()
-    label = stored(ends.join(label, F.col("set_key") == F.col("v"), "left").select("set_key", F.coalesce("c", "set_key").alias("c")), "labels")
+    full = sig.where("n_shingles > 0")
+    # The widest shuffle has a row for each set and band: it carries the band's key and 8 bytes of the set's.
+    rows = full.groupBy("set_key").agg(F.first("short").alias("short"), F.first("bands").alias("bands")).select("short", F.explode("bands").alias("key"))
+    again = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    found = stored(rows.join(again, "key"), "buckets")
+    # Sets that share those 8 bytes, if any do, all go on; comparisons tell them apart.
+    classes = full.groupBy("set_key").agg(F.first("short").alias("short"), F.first("n_shingles").alias("n_shingles"), F.min("row_key").alias("row_key"))
+    ends = stored(classes.join(found.select("short").distinct(), "short", "left_semi"), "ends")
+    with bloom_filters(spark):
+        sets = stored(_full_sets(docs, ends.where("n_shingles > 0").select("row_key")), "sets")
+    members = found.join(ends.select("short", "set_key", "n_shingles"), "short").select("key", "set_key", "n_shingles")
+    members = stored(salted_join(members, members.groupBy("key").agg(F.min("set_key").alias("pivot")), "key"), "members")
+    dropped(found)
+    dropped(ends)
+
+    links = stored(_pivot_links(members, sets), "links")
+    roots = components(links)
+    every = members.select("set_key").distinct()
+    label = stored(every.join(roots, F.col("set_key") == F.col("v"), "left").select("set_key", F.coalesce("c", "set_key").alias("c")), "labels")
+    dropped(links)
+    dropped(roots)
 
     # Components that meet in a bucket: each is tied to the bucket's smallest.
     meet = members.select("key", "set_key").join(label, "set_key").groupBy("key", "c").agg(F.lit(1).alias("_"))
     low = meet.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key", "low")
-    ties = meet.join(low, "key").where("c <> low").select(F.col("c").alias("a"), F.col("low").alias("b")).distinct()
-    families = components(ties).select(F.col("v").alias("c"), F.col("c").alias("f"))
-    more = components(stored(_cross_links(sets, label, families), "cross")).withColumnRenamed("c", "to")
-    label = label.join(more, F.col("c") == F.col("v"), "left").select("set_key", F.coalesce("to", "c").alias("c"))
-
-    out = sig.select("doc_id", "n_shingles", "set_key").join(label, "set_key", "left").withColumn("c", F.coalesce("c", "set_key"))
-    out = stored(out.select("doc_id", "n_shingles", "c"), "labelled")
-    first = out.where("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("first"))
-    out = out.join(first, "c", "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    ties = stored(meet.join(low, "key").where("c <> low").select(F.col("c").alias("a"), F.col("low").alias("b")).distinct(), "ties")
+    if not ties.isEmpty():
+        families = components(ties).select(F.col("v").alias("c"), F.col("c").alias("f"))
+        cross = stored(_cross_links(members, sets, label, families), "cross")
+        more = components(cross).select(F.col("v").alias("c"), F.col("c").alias("to"))
+        better = stored(salted_join(label, more, "c", "left").select("set_key", F.coalesce("to", "c").alias("c")), "labels")
+        for t in (families, cross, more, label):
+            dropped(t)
+        label = better
+    dropped(ties)
+    dropped(sets)
+    dropped(members)
+
+    # Sets in their components: the smallest doc_id of a set, then of a component.
+    own = full.groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    own = own.join(label, "set_key", "left").where("n > 1 or c is not null")
+    low = own.where("c is not null").groupBy("c").agg(F.min("first").alias("low"))
+    named = stored(salted_join(own, low, "c", "left").select("set_key", F.coalesce("low", "first").alias("first"), F.lit(True).alias("named")), "named")
+    dropped(label)
+    out = salted_join(sig.select("doc_id", "n_shingles", "set_key"), named, "set_key", "left")
+    out = out.withColumn("component_id", F.when(F.col("named") & (F.col("n_shingles") > 0), F.col("first")).otherwise(F.col("doc_id")))
+    out = stored(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")), "components")
+    dropped(sig)
+    dropped(named)
+    return out
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
-    gone = near_duplicates(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    found = near_duplicates(docs)
+    # Written, so that Spark knows its size: a short list is broadcast and no text moves, a long one is joined by shuffle.
+    gone = stored(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    dropped(found)
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 #: The same groups in DuckDB's SQL, by comparing all documents that share a shingle.

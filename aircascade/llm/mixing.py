@@ -11,8 +11,9 @@ at the boundary is taken if that brings the sum nearer to the target.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 the last; rows that share a doc_id share a place and are taken together; a null
-doc_id has a place of its own; an empty table gives no rows.  Columns other than
-doc_id, text and source are ignored, whatever their names.
+doc_id has a place of its own; a very long text counts like any other; an empty
+table gives no rows.  Columns other than doc_id, text and source are ignored,
+whatever their names; ``repeated`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -96,9 +97,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     """The documents of the mix: each row as often as it is taken, with its own columns."""
     # Written, so that Spark knows its size: one row a source is broadcast as a rule, and no text moves.
     t = stored(thresholds(sized(docs)), "mix-thresholds")
-    names = docs.columns
-    rows = docs.select([F.col(c) for c in names]).withColumn("place", place(F.col("doc_id")))
-    return copies(rows, t).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).where("copies > 0").select(names)
+    rows = docs.select(F.struct("*").alias("row")).select("row", "row.source", place(F.col("row.doc_id")).alias("place"))
+    return copies(rows, t).where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 SQL = r"""

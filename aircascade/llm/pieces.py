@@ -11,11 +11,16 @@ from __future__ import annotations
 import json
 import string
 from functools import lru_cache
+from sys import getsizeof
 
 import numpy as np
 
-#: Pieces a worker remembers; further ones are encoded each time they occur.  Pieces put together from others take at most a third of the places.
-REMEMBERED, PUT_TOGETHER = 600_000, 200_000
+#: Bytes that a worker's remembered pieces take, dictionary entries included; further ones are encoded each time they occur.
+REMEMBERED = 48 << 20
+#: Pieces put together from others are remembered while at least so much is left.
+RESERVED = 32 << 20
+#: About what one entry takes besides its two objects.
+ENTRY = 110
 #: ASCII punctuation: no letters, digits or white space, so a tokenizer cuts between it and a letter, but for an apostrophe before one.
 MARKS = string.punctuation
 #: Longer pieces are never remembered.
@@ -35,8 +40,9 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         out, whole = self.encoder.piece(self, piece)
-        if len(self) < (REMEMBERED if whole else PUT_TOGETHER) and len(piece) <= LONGEST:
+        if self.encoder.room > (0 if whole else RESERVED) and len(piece) <= LONGEST:
             self[piece] = out
+            self.encoder.room -= getsizeof(piece) + getsizeof(out) + ENTRY
         return out
 
 
@@ -71,7 +77,7 @@ class Encoder:
         stand_in = {b: c for c, b in _byte_of().items()}
         self.stand_in, self.model = {b: stand_in[b] for b in range(256)}, self.lib.model
         self.special = tuple(t["content"][:2] for t in spec["added_tokens"])
-        self.bare, self.spaced = _Pieces(self, ""), _Pieces(self, " ")
+        self.bare, self.spaced, self.room = _Pieces(self, ""), _Pieces(self, " "), REMEMBERED
 
     def library(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -131,9 +137,11 @@ class Decoder:
     """``text(ids)`` equals ``decode(ids, skip_special_tokens=False)`` of a byte-level tokenizer."""
 
     def __init__(self, path: str):
-        lib = encoder(path).lib
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocabulary = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
         byte = _byte_of()
-        self.tokens = {i: bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode() for t, i in lib.get_vocab(with_added_tokens=True).items()}
+        self.tokens = {i: bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode() for t, i in vocabulary.items()}
 
     def raw(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

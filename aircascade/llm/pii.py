@@ -16,9 +16,12 @@ lists and other names, hexadecimal and other secrets), neither gives what the
 other may give.  ``checked_surrogates`` checks all entities of the documents first
 and fails if two share a surrogate.
 
+Addresses of one host keep one host.
+
 Defined results: a null text stays null with zero counts; rows with a null or
-repeated doc_id are treated one by one; an empty table gives no rows.  Input
-columns that clash with the counts are replaced.
+repeated doc_id are treated one by one; a very long text is treated as a whole;
+an empty table gives no rows.  Input columns that clash with the counts are
+replaced; without counts all columns stay.
 
 Entities go to their natural end, however long: a keyed secret to white space or
 a quote, a hexadecimal run to its last digit, a name over all capitalised words,
@@ -144,9 +147,9 @@ def surrogate(kind: str, entity: str, key: bytes) -> str:
     if kind == "email":
         local, _, host = entity.rpartition("@")
         name, dot, rest = host.partition(".")
-        # The whole address is one number, so equal local parts at other hosts differ as well.
-        low = _letters(_lower(f"{local}@{name}"), key, f"email|{_lower(rest)}")
-        return _cased(f"{local}@{name}", low) + dot + rest
+        # A host is the same for all its addresses; it also decides how local parts turn, so equal ones differ at other hosts.
+        low = _letters(_lower(local), key, f"email|{_lower(host)}"), _letters(_lower(name), key, f"host|{_lower(rest)}")
+        return f"{_cased(local, low[0])}@{_cased(name, low[1])}{dot}{rest}"
     if kind == "ip":
         n = int.from_bytes(bytes(map(int, entity.split("."))), "big")  # parts may have leading zeros
         return str(ipaddress.IPv4Address(permuted(n, 1 << 32, key, "ip")))
@@ -277,12 +280,13 @@ def replaced(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
     return "".join([*out, text[at:]]), said
 
 
-def with_surrogates(docs: DataFrame, key: str = "public test key", mentions: bool = False) -> DataFrame:
-    """``docs`` with its ``text`` replaced, and a count n_<type> for each type; with ``mentions``, an array of (type, entity, surrogate) too."""
+def with_surrogates(docs: DataFrame, key: str = "public test key", mentions: bool = False, counted: bool = True) -> DataFrame:
+    """``docs`` with its ``text`` replaced, and, if ``counted``, a count n_<type> for each type; with ``mentions``, an array of (type, entity, surrogate) too."""
     tune(docs.sparkSession)
     secret = blake2b(key.encode(), digest_size=32).digest()
-    counts = [f"n_{t}" for t in TYPES]
-    rows = docs.drop(*counts, "mentions")
+    types = TYPES if counted else []
+    counts = [f"n_{t}" for t in types]
+    rows = docs.drop(*counts, *["mentions"] * mentions)
     names = rows.columns
     k = names.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + "".join(f", {c} int" for c in counts) + ", mentions array<struct<type:string,entity:string,surrogate:string>>" * mentions
@@ -297,7 +301,7 @@ def with_surrogates(docs: DataFrame, key: str = "public test key", mentions: boo
                 texts.append(new)
                 said.append(s)
             columns = [pa.array(texts, pa.string()) if i == k else c for i, c in enumerate(b.columns)]
-            columns += [pa.array([sum(m[0] == t for m in s) for s in said], pa.int32()) for t in TYPES]
+            columns += [pa.array([sum(m[0] == t for m in s) for s in said], pa.int32()) for t in types]
             if mentions:
                 columns.append(pa.array([[dict(zip(("type", "entity", "surrogate"), m)) for m in s] for s in said], kind))
             yield pa.RecordBatch.from_arrays(columns, [*names, *counts, *["mentions"] * mentions])
@@ -337,9 +341,9 @@ def collisions(docs: DataFrame, key: str = "public test key") -> DataFrame:
     return found.where("min_e1 < max_e1 or min_e2 < max_e2").select("type", "s1", "s2")
 
 
-def checked_surrogates(docs: DataFrame, key: str = "public test key") -> DataFrame:
+def checked_surrogates(docs: DataFrame, key: str = "public test key", counted: bool = True) -> DataFrame:
     """``with_surrogates``, after a pass over all entities that fails if two of them share a surrogate."""
     found = collisions(docs, key).groupBy("type").count().collect()
     if found:
         raise ValueError("surrogates that stand for more than one entity: " + ", ".join(f"{n} of type {kind}" for kind, n in sorted(map(tuple, found))))
-    return with_surrogates(docs, key)
+    return with_surrogates(docs, key, counted=counted)

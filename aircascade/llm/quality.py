@@ -6,9 +6,10 @@ beta prior fitted to all hosts by moments, and a host whose shrunken rate is
 above ``reject_rate`` takes its other documents down with it.
 
 Defined results: a null text has no words, so it fails; a null host is a host of
-its own; rows with a null or repeated doc_id are judged one by one; an empty
-table gives no rows.  Input columns that clash with the added ones are replaced
-by them.
+its own; rows with a null or repeated doc_id are judged one by one; a very long
+text is judged as a whole, as one array of words in one task; an empty table
+gives no rows.  ``judged`` replaces input columns that clash with the added ones;
+``kept_rows`` leaves all columns as they are.
 """
 
 from __future__ import annotations
@@ -60,9 +61,10 @@ def rejected_hosts(rows: DataFrame, reject_rate: float) -> DataFrame:
     """Hosts whose shrunken failure rate is above ``reject_rate``, of rows with ``source`` and ``base_failed``."""
     hosts = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f"))
     # One row of sums: the prior's two numbers.
-    s = hosts.agg(F.sum("n").alias("n"), F.sum("f").alias("f"), F.sum(F.col("f") * F.col("f") / F.col("n")).alias("ff")).first()
+    s = hosts.agg(F.count("*").alias("h"), F.sum("n").alias("n"), F.sum("f").alias("f"), F.sum(F.col("f") * F.col("f") / F.col("n")).alias("ff")).first()
     mean = (s.f / s.n) if s.n else 0.0
-    spread = (s.ff / s.n - mean * mean) if s.n else 0.0
+    # The spread of the hosts' rates, less what chance alone makes of one common rate.
+    spread = (s.ff / s.n - mean * mean - (s.h - 1) * mean * (1 - mean) / s.n) if s.n else 0.0
     weight = max(mean * (1 - mean) / spread - 1, 0.0) if spread > 1e-12 else 1e9
     return hosts.where((F.col("f") + mean * weight) / (F.col("n") + weight) > reject_rate).select("source", F.lit(True).alias("_rejected"))
 
@@ -80,6 +82,16 @@ def judged(docs: DataFrame, reject_rate: float = 0.5, keep: list[str] | None = N
     return at.withColumn("kept", ~F.col("base_failed") & F.col("_rejected").isNull()).drop("_rejected")
 
 
+def kept_rows(docs: DataFrame, reject_rate: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns.  Rows that fail the base rules are written without their columns."""
+    whole = docs.select(F.struct("*").alias("row"))
+    rows = counted(whole.select("row", "row.text", "row.source"))
+    rows = stored(rows.select(F.when(~F.col("base_failed"), F.col("row")).alias("row"), "source", "base_failed"), "quality")
+    bad = stored(rejected_hosts(rows, reject_rate), "hosts")
+    good = rows.where("not base_failed").select("row")
+    return good.join(bad, F.col("row.source").eqNullSafe(bad["source"]), "left_anti").select("row.*")
+
+
 def sql(reject_rate: float = 0.5) -> str:
     """The verdicts of ``documents`` in DuckDB's SQL."""
     return rf"""
@@ -95,7 +107,8 @@ f AS (SELECT w.doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
   FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
 h AS (SELECT source, count(*) AS n, CAST(sum(CAST(base_failed AS INTEGER)) AS BIGINT) AS f FROM b GROUP BY source),
-s AS (SELECT sum(f) / sum(n) AS m, sum(CAST(f * f AS DOUBLE) / n) / sum(n) - (sum(f) / sum(n)) * (sum(f) / sum(n)) AS v FROM h),
+r AS (SELECT sum(f) / sum(n) AS m, sum(CAST(f * f AS DOUBLE) / n) / sum(n) AS ff, count(*) AS h, sum(n) AS n FROM h),
+s AS (SELECT m, ff - m * m - (h - 1) * m * (1 - m) / n AS v FROM r),
 k AS (SELECT m, CASE WHEN v > 1e-12 THEN greatest(m * (1 - m) / v - 1, 0) ELSE 1e9 END AS w FROM s),
 bad AS (SELECT source FROM h, k WHERE (f + m * w) / (n + w) > {reject_rate})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
