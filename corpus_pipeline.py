@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
 kept; all but the last return the columns of documents.  Rows with a null text
 fail the quality rules; repeated rows stand for one document and stay or go
-together; an empty table passes through all stages as an empty table.
+together; very long texts go through every stage as a whole; an empty table
+passes through all stages as an empty table.  Other columns come through, but
+for the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,14 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aircascade.llm import bpe, minhash, mixing, pii, quality
-from aircascade.llm.common import stored, table
+from aircascade.llm.common import dropped, stored, table
 
 TOKENIZER = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers") + "/byte_bpe_50k.json"
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and their host's verdict keep."""
-    return quality.judged(docs).where("kept").select(docs.columns)
+    return quality.kept_rows(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +34,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates in their texts; fails if two entities share one."""
-    out = pii.checked_surrogates(docs)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    out = pii.checked_surrogates(docs, counted=False)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +62,10 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:
+            dropped(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
