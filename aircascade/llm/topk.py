@@ -1,24 +1,31 @@
 """Exact top-k search by a Voronoi kNN join.
 
-Vectors are scored by the inner product of floor(1024 * x).  A few pivots (a
-bounded sample) split all vectors into cells.  Each cell is summed up by its
-nearest distances to its pivot.  For a query q, a vector x in the cell of pivot
-p has q.p - |q||x - p| <= q.x <= q.p + |q||x - p|.  The left side over the
-summaries gives a score that q's k-th best reaches at least; the right side then
-says how far from its pivot a vector must lie to be of use.  Queries are grouped
-by their own cell; a vector goes only to the groups of which some query needs
-it.  Groups are cut into blocks of queries and of vectors that are solved
+Vectors are scored by the inner product of floor(1024 * x).  Pivots, made from a
+bounded sample, split all vectors into cells; their number grows with the root of
+the number of vectors up to ``MOST_PIVOTS``.  A cell is summed up by its radius,
+its range of norms, its widest angle to the pivot and the k vectors next to the
+pivot.  For a query q and a vector x in the cell of pivot p,
+
+* q.x <= q.p + |q||x - p|,
+* q.x <= |q||x|,
+* q.x <= |q||x| cos(angle(q, p) - angle(x, p)) where that angle is positive.
+
+The scores of q with the cells' nearest vectors give a score that its k-th best
+reaches at least, and a query goes only to the cells whose bound isn't below it.
+Every vector goes to its own cell, once for each block of queries asked there,
+and not at all if no query can use it.  Blocks of queries and vectors are solved
 locally, and the blocks' best are merged.
 
-Only summaries reach the driver: pivots, k distances a cell, and one distance
-for each pair of cells; none grows with the data.
+Only summaries reach the driver: pivots, k vectors and a few numbers for each
+cell; none grows beyond what ``MOST_PIVOTS`` allows.  Where vectors lie without
+any clusters, no bound excludes a cell, and each query meets each vector.
 
 Defined results: vectors that are null or hold a null or non-finite component
 take no part; shorter vectors count as padded with zeros; a null vec_id takes no
 part.  Repeated vec_ids are candidates row by row, but never of the query with
 their id; a query that occurs in several rows is asked once, with its smallest
-vector.  Ties go to the smaller vec_id.  A score beyond 64 bits is an error.  An empty table gives no rows.  Other
-columns are ignored.
+vector.  Ties go to the smaller vec_id.  A score beyond 64 bits is an error.  An
+empty table gives no rows.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,12 +36,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from .common import stored, tune
 
 SCALE, K = 1024, 10
-#: Pivots, queries of a block and vectors of a block.
-PIVOTS, QUERY_BLOCK, VECTOR_BLOCK = 16, 2048, 16384
+#: Fewest and most pivots, and how many vectors of the sample each is made from.
+LEAST_PIVOTS, MOST_PIVOTS, SAMPLED = 8, 128, 32
+#: Queries of a block and vectors of a block.
+QUERY_BLOCK, VECTOR_BLOCK = 8192, 32768
 
 
 def matrix(column, dim: int) -> np.ndarray:
@@ -68,33 +78,88 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, embedding of the rows that take part."""
+    """vec_id, embedding of the rows that take part; components are floats as they come, or doubles."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.select("vec_id", F.col("embedding").cast("array<float>")).where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad)
-
-
-def search(vectors: DataFrame, every: int = 100, k: int = K, pivots: int = PIVOTS) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best of all other rows for each row whose vec_id is divisible by ``every``."""
-    spark = vectors.sparkSession
-    tune(spark)
-    out_schema = "query_id long, rank int, vec_id long, score long"
-    rows = usable(vectors)
-    dim = rows.agg(F.max(F.size("embedding"))).first()[0]
-    if not dim:
-        return spark.createDataFrame([], out_schema)
-    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("embedding").toArrow()
-    p = np.unique(matrix(some["embedding"], dim), axis=0)
-    p2 = (p * p).sum(1)
-
-    def celled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = vectors.schema["embedding"].dataType.elementType
+    e = F.col("embedding") if isinstance(kind, (FloatType, DoubleType)) else F.col("embedding").cast("array<double>")
+    return vectors.select("vec_id", e.alias("embedding")).where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad)
+
+
+def pivots_of(sample: np.ndarray, n: int) -> np.ndarray:
+    """n pivots at most: points of the sample that lie far apart, moved to the middle of what is nearest to them."""
+    if not len(sample):
+        return sample
+    p, far = [sample[0]], np.full(len(sample), np.inf)
+    while len(p) < n:
+        far = np.minimum(far, ((sample - p[-1]) ** 2).sum(1))
+        if not far.max() > 0:
+            break
+        p.append(sample[int(far.argmax())])
+    p = np.array(p)
+    for _ in range(5):
+        cell = ((sample * sample).sum(1)[:, None] - 2 * (sample @ p.T) + (p * p).sum(1)).argmin(1)
+        p = np.array([sample[cell == c].mean(0) if (cell == c).any() else p[c] for c in range(len(p))])
+    return np.unique(p, axis=0)
+
+
+def _angle(products: np.ndarray, norms: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Angles from inner products and norms; 0 where a norm is 0."""
+    both = norms * others
+    return np.arccos(np.clip(np.divide(products, both, out=np.ones_like(products), where=both > 0), -1, 1))
+
+
+class Bounds:
+    """What the summaries of all cells tell about a query."""
+
+    def __init__(self, p: np.ndarray, cells: list[dict], near: np.ndarray, near_ids: np.ndarray, k: int):
+        """``cells`` have cell, radius, least and most (norms) and angle; ``near`` are vectors next to pivots."""
+        self.p, self.k, self.near, self.ids = p, k, near, near_ids
+        self.norms = np.sqrt((p * p).sum(1))
+        self.radius, self.least, self.most, self.angle = (np.zeros(len(p)) for _ in range(4))
+        self.there = np.zeros(len(p), bool)
+        for c in cells:
+            i = c["cell"]
+            self.there[i] = True
+            self.radius[i], self.least[i], self.most[i], self.angle[i] = c["radius"], c["least"], c["most"], c["angle"]
+        self.angle[self.norms == 0] = np.pi
+
+    def needed(self, ids: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each query needs each cell, and how far from the pivot a vector of it must lie at least to be of use."""
+        norm, qp = np.sqrt((q * q).sum(1))[:, None], q @ self.p.T
+        sure = q @ self.near.T if len(self.near) else np.zeros((len(q), 0))
+        sure[ids[:, None] == self.ids] = -np.inf
+        floor = -np.sort(-sure, axis=1)[:, self.k - 1 : self.k] if sure.shape[1] >= self.k else np.full((len(q), 1), -np.inf)
+        # More than what rounding may do to distances, angles and products.
+        floor = floor - 1e-6 * norm * (self.norms.max() + self.most.max()) - 1e-3
+        turn = np.cos(np.maximum(0, _angle(qp, norm, self.norms[None, :]) - self.angle))
+        bound = np.minimum(qp + norm * self.radius, norm * self.most)
+        bound = np.minimum(bound, norm * turn * np.where(turn >= 0, self.most, self.least))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            far = np.where(norm > 0, (floor - qp) / norm, -np.inf)
+        return (bound >= floor) & self.there, far
+
+
+def celled(rows: DataFrame, p: np.ndarray, dim: int) -> DataFrame:
+    """vec_id, embedding, cell, far (from the pivot), norm, angle (to the pivot)."""
+    p2, norms = (p * p).sum(1), np.sqrt((p * p).sum(1))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = matrix(b.column(1), dim)
-            far = np.sqrt(np.maximum(p2 - 2 * (x @ p.T) + (x * x).sum(1)[:, None], 0))
-            cell = far.argmin(1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype("i4")), pa.array(far[np.arange(len(x)), cell])], ["vec_id", "embedding", "cell", "far"])
+            x2, xp = (x * x).sum(1), x @ p.T
+            cell = (p2 - 2 * xp).argmin(1)
+            at = np.arange(len(x))
+            far = np.sqrt(((x - p[cell]) ** 2).sum(1))
+            norm = np.sqrt(x2)
+            columns = [pa.array(cell.astype("i4")), pa.array(far), pa.array(norm), pa.array(_angle(xp[at, cell], norm, norms[cell]))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *columns], ["vec_id", "embedding", "cell", "far", "norm", "angle"])
+
+    kind = rows.schema["embedding"].dataType.simpleString()
+    return rows.mapInArrow(run, f"vec_id long, embedding {kind}, cell int, far double, norm double, angle double")
+
 
-    cells = stored(rows.mapInArrow(celled, "vec_id long, embedding array<float>, cell int, far double"), "cells")
-    queries = cells.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("embedding", "cell")).alias("q")).select("vec_id", "q.embedding", "q.cell")
+def summed_up(cells: DataFrame, p: np.ndarray, dim: int, k: int) -> tuple[Bounds, dict[int, int]]:
+    """The bounds from all cells' summaries, and the cells' numbers of vectors."""
 
     def nearest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -103,44 +168,59 @@ def search(vectors: DataFrame, every: int = 100, k: int = K, pivots: int = PIVOT
             place = np.arange(len(order)) - np.searchsorted(cell[order], cell[order])
             yield b.take(pa.array(order[place < k]))
 
+    kind = cells.schema["embedding"].dataType.simpleString()
     # k rows a cell and batch go on, so the window sees few rows of even the largest cell.
     w = Window.partitionBy("cell").orderBy("far", "vec_id")
-    few = cells.select("cell", "far", "vec_id").mapInArrow(nearest, "cell int, far double, vec_id long")
-    summary = few.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k).select("cell", "far", "vec_id").toArrow()
-    s_cell, s_far, s_id = (summary[c].to_numpy() for c in ("cell", "far", "vec_id"))
-    total = cells.count()
+    few = cells.select("cell", "far", "vec_id", "embedding").mapInArrow(nearest, f"cell int, far double, vec_id long, embedding {kind}")
+    near = few.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k).select("vec_id", "embedding").toArrow()
+    rows = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius"), F.min("norm").alias("least"), F.max("norm").alias("most"), F.max("angle").alias("angle")).collect()
+    return Bounds(p, [r.asDict() for r in rows], matrix(near["embedding"], dim), near["vec_id"].to_numpy(), k), {r["cell"]: r["n"] for r in rows}
 
-    def needs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def routed(queries: DataFrame, bounds: Bounds, dim: int) -> DataFrame:
+    """vec_id, embedding of each query, and ``to``: the cells that it needs, each with the least distance from the pivot that is of use."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            q, ids, group = matrix(b.column(1), dim), b.column(0).to_numpy(), b.column(2).to_numpy()
-            norm, qp = np.sqrt((q * q).sum(1)), q @ p.T
-            low = qp[:, s_cell] - norm[:, None] * s_far
-            low[ids[:, None] == s_id] = -np.inf
-            floor = -np.sort(-low, axis=1)[:, k - 1] if low.shape[1] >= k else np.full(len(q), -np.inf)
-            slack = 1e-9 * (np.abs(qp).max(1, initial=0) + norm * s_far.max(initial=0)) + 1e-3
-            with np.errstate(divide="ignore", invalid="ignore"):
-                need = np.where(norm[:, None] > 0, (floor[:, None] - slack[:, None] - qp) / norm[:, None], -np.inf)
-            for g in np.unique(group):
-                yield pa.RecordBatch.from_arrays([pa.array([g] * len(p), pa.int32()), pa.array(range(len(p)), pa.int32()), pa.array(need[group == g].min(0))], ["group", "cell", "need"])
-
-    need = queries.mapInArrow(needs, "group int, cell int, need double").groupBy("group", "cell").agg(F.min("need").alias("need")).toArrow().to_pylist()
-    sizes = {r["cell"]: r["count"] for r in queries.groupBy("cell").count().collect()}
-    least = np.full((len(p), len(p)), np.inf)  # by cell and group
-    for r in need:
-        least[r["cell"], r["group"]] = r["need"]
-    q_blocks = {g: -(-n // QUERY_BLOCK) for g, n in sizes.items()}
-    x_blocks = -(-total // VECTOR_BLOCK)
-
-    # One row a group and block: made by Spark from literals that don't grow with the data.
-    by_cell = F.array([F.array([F.lit(float(v)) for v in row]) for row in least])
-    blocks_of = F.array([F.lit(q_blocks.get(g, 0)) for g in range(len(p))])
-    q = queries.withColumn("q_block", F.pmod(F.xxhash64("vec_id"), F.get(blocks_of, F.col("cell"))).cast("int")).withColumn("x_block", F.explode(F.sequence(F.lit(0), F.lit(x_blocks - 1))))
-    q = q.select(F.col("cell").alias("group"), "q_block", "x_block", "vec_id", "embedding")
-    row = F.get(by_cell, F.col("cell"))
-    groups = F.filter(F.transform(row, lambda v, g: F.when(F.col("far") >= v, g)), lambda g: g.isNotNull())
-    x = cells.withColumn("x_block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(x_blocks)).cast("int")).withColumn("group", F.explode(groups))
-    x = x.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.get(blocks_of, F.col("group")) - 1)))
-    x = x.select("group", "q_block", "x_block", "vec_id", "embedding")
+            need, far = bounds.needed(b.column(0).to_numpy(), matrix(b.column(1), dim))
+            q, cell = np.nonzero(need)
+            to = pa.StructArray.from_arrays([pa.array(cell.astype("i4")), pa.array(far[q, cell])], ["cell", "far"])
+            ends = np.append(0, np.cumsum(need.sum(1)))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), to)], ["vec_id", "embedding", "to"])
+
+    kind = queries.schema["embedding"].dataType.simpleString()
+    return queries.select("vec_id", "embedding").mapInArrow(run, f"vec_id long, embedding {kind}, to array<struct<cell:int,far:double>>")
+
+
+def search(vectors: DataFrame, every: int = 100, k: int = K, pivots: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: the k best of all other rows for each row whose vec_id is divisible by ``every``."""
+    spark = vectors.sparkSession
+    tune(spark)
+    rows = usable(vectors)
+    dim, total = rows.agg(F.max(F.size("embedding")), F.count("*")).first()
+    if not dim:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    n = pivots or min(MOST_PIVOTS, max(LEAST_PIVOTS, round(total**0.5 / 8)))
+    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLED * n).select("embedding").toArrow()
+    p = pivots_of(matrix(some["embedding"], dim), n)
+    cells = stored(celled(rows, p, dim), "cells")
+    bounds, sizes = summed_up(cells, p, dim, k)
+    queries = cells.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked = stored(routed(queries, bounds, dim), "asked")
+    to = asked.select("vec_id", "embedding", F.explode("to").alias("to")).select("vec_id", "embedding", "to.cell", "to.far")
+    wanted = {r["cell"]: r for r in to.groupBy("cell").agg(F.count("*").alias("n"), F.min("far").alias("far")).collect()}
+
+    # Numbers of each cell, as literals: blocks of vectors and of queries (0: nobody asks), and the least distance of use.
+    at = range(len(p))
+    x_blocks = F.array([F.lit(-(-sizes.get(c, 1) // VECTOR_BLOCK)) for c in at])
+    q_blocks = F.array([F.lit(-(-wanted[c]["n"] // QUERY_BLOCK) if c in wanted else 0) for c in at])
+    least = F.array([F.lit(float(wanted[c]["far"]) if c in wanted else float("inf")) for c in at])
+    own = lambda a: F.get(a, F.col("cell"))
+    q = to.withColumn("q_block", F.pmod(F.xxhash64("vec_id"), own(q_blocks)).cast("int")).withColumn("x_block", F.explode(F.sequence(F.lit(0), own(x_blocks) - 1)))
+    q = q.select("cell", "q_block", "x_block", "vec_id", "embedding")
+    x = cells.where((own(q_blocks) > 0) & (F.col("far") >= own(least)))
+    x = x.withColumn("x_block", F.pmod(F.xxhash64("vec_id", F.lit(7)), own(x_blocks)).cast("int")).withColumn("q_block", F.explode(F.sequence(F.lit(0), own(q_blocks) - 1)))
+    x = x.select("cell", "q_block", "x_block", "vec_id", "embedding")
 
     def solve(left, right):
         ids = right["vec_id"].to_numpy()
@@ -158,7 +238,7 @@ def search(vectors: DataFrame, every: int = 100, k: int = K, pivots: int = PIVOT
                 s_out += [int(s) for s in scores[i][at]]
         return pa.table({"query_id": pa.array(q_out, pa.int64()), "vec_id": pa.array(v_out, pa.int64()), "score": pa.array(s_out, pa.int64())})
 
-    keys = ["group", "q_block", "x_block"]
+    keys = ["cell", "q_block", "x_block"]
     found = q.groupBy(keys).cogroup(x.groupBy(keys)).applyInArrow(solve, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
