@@ -8,11 +8,15 @@ one message only, so the log is dealt by conversation and message and sorted by
 sequence, and a task folds it as a stream with one message in memory; a
 conversation that holds a third of all rows is spread over all tasks.
 
-Messages are then rendered in the order of their conversation, one row a piece,
-again as a stream.  Control strings in texts and roles are escaped with a
-backslash that reading takes away again, so a text never opens or ends a turn.
-
-Defined results: a null text is empty, a null role has no name; a null conv_id is
+Messages are then rendered in the order of their conversation to one formatted
+text with the spans of it that are under the loss mask.  A text of more than
+``CHUNK`` characters goes on in further rows, so a conversation that holds a third
+of all rows is a stream for its task, too.  Control strings in texts and roles are
+escaped with a backslash that reading takes away again, so a text never opens or
+ends a turn: reading searches the formatted text for the marks of its turns, and
+cuts what was learnt from by the spans; it uses nothing else.
+
+Defined results: a very long message is in memory as a whole, once; a null text is empty, a null role has no name; a null conv_id is
 a conversation of its own; a null message number comes first; messages with the
 same number are ordered by role and text.  Events of one message with the same
 seq are ordered by kind and text.  A message without a start event has no role.
@@ -37,6 +41,8 @@ TURNS = {"user": ("[INST] ", " [/INST]"), "assistant": (" ", "</s>"), "system":
 OTHER = ("[ROLE] ", "[/ROLE]", "</s>")
 _CONTROL = re.compile(r"([<\[])(/?(?:s>|INST\]|SYS\]|ROLE\]))")
 DELTA = 400
+#: Characters of a formatted text in one row.
+CHUNK = 1 << 20
 
 
 def escaped(text: str) -> str:
@@ -47,23 +53,53 @@ def unescaped(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S)
 
 
-def rendered(role: str, text: str) -> str:
+def parts(role: str, text: str) -> tuple[str, str, str]:
+    """What opens a turn, its escaped text, and what closes it."""
     if role in TURNS:
         a, z = TURNS[role]
-        return a + escaped(text) + z
-    return OTHER[0] + escaped(role) + OTHER[1] + escaped(text) + OTHER[2]
-
-
-def read_piece(piece: str) -> tuple[str, str]:
-    """The role and text of a rendered piece."""
-    piece = piece.removeprefix(BEGIN)
-    if piece.startswith(OTHER[0]):
-        role, _, text = piece[len(OTHER[0]) : -len(OTHER[2])].partition(OTHER[1])
-        return unescaped(role), unescaped(text)
-    for role, (a, z) in TURNS.items():
-        if piece.startswith(a) and piece.endswith(z):
-            return role, unescaped(piece[len(a) : -len(z)])
-    raise ValueError(f"no turn: {piece[:40]!r}")
+        return a, escaped(text), z
+    return OTHER[0] + escaped(role) + OTHER[1], escaped(text), OTHER[2]
+
+
+class Reader:
+    """The turns of a formatted text that comes in chunks."""
+
+    def __init__(self):
+        self.rest, self.begun, self.seen = "", False, 0
+
+    def feed(self, chunk: str) -> Iterator[tuple[str, str]]:
+        """Role and text of each turn that the chunk completes."""
+        self.rest += chunk
+        at = 0
+        if not self.begun:
+            if len(self.rest) < len(BEGIN):
+                return
+            if not self.rest.startswith(BEGIN):
+                raise ValueError(f"no conversation: {self.rest[:40]!r}")
+            self.begun, at = True, len(BEGIN)
+        marks = [(None, OTHER[0], OTHER[2]), *((role, *ends) for role, ends in TURNS.items())]
+        while at < len(self.rest):
+            found = next((m for m in marks if self.rest.startswith(m[1], at)), None)
+            if found is None:
+                if any(m[1].startswith(self.rest[at : at + len(m[1])]) for m in marks):
+                    break  # the opening goes on in the next chunk
+                raise ValueError(f"no turn: {self.rest[at : at + 40]!r}")
+            role, a, z = found
+            end = self.rest.find(z, max(at + len(a), self.seen))
+            if end < 0:
+                self.seen = max(at + len(a), len(self.rest) - len(z) + 1)
+                break
+            body = self.rest[at + len(a) : end]
+            if role is None:
+                role, _, body = body.partition(OTHER[1])
+                role = unescaped(role)
+            yield role, unescaped(body)
+            at, self.seen = end + len(z), 0
+        self.rest, self.seen = self.rest[at:], max(0, self.seen - at)
+
+    def end(self) -> None:
+        if self.rest or not self.begun:
+            raise ValueError("the conversation ends inside a turn")
 
 
 def log_of(conversations: DataFrame) -> DataFrame:
@@ -130,59 +166,112 @@ def folded(log: DataFrame) -> DataFrame:
     return log.repartition(*keys).sortWithinPartitions(*keys, "seq", "kind", "text").select(*keys, "kind", "role", "text").mapInArrow(run, MESSAGE)
 
 
-def formatted(messages: DataFrame) -> DataFrame:
-    """conv_id, piece_no, piece, in_loss: the rendered turns of each conversation in order; together they are its formatted text."""
+class _Writer:
+    """Rows (conv_id, chunk, text, loss) of one conversation after another."""
+
+    def __init__(self, size: int):
+        self.size, self.rows = size, []
+        self.conv, self.no, self.text, self.n, self.loss = None, -1, [], 0, []
+
+    def open(self, conv: int | None) -> None:
+        self.close()
+        self.conv, self.no = conv, 0
+        self._add(BEGIN, False)
+
+    def turn(self, role: str, text: str) -> None:
+        a, body, z = parts(role, text)
+        self._add(a, False)
+        self._add(body, role == "assistant")
+        self._add(z, False)
+
+    def _add(self, text: str, learnt: bool) -> None:
+        while text:
+            room = self.size - self.n
+            if len(text) > room:  # cut anywhere but behind the backslash of an escape
+                room -= (len(text[:room]) - len(text[:room].rstrip("\\"))) % 2
+            now, text = text[:room], text[room:]
+            if learnt and now:
+                self.loss.append({"start": self.n, "stop": self.n + len(now)})
+            self.text.append(now)
+            self.n += len(now)
+            if text:
+                self._end_row()
+
+    def _end_row(self) -> None:
+        self.rows.append((self.conv, self.no, "".join(self.text), self.loss))
+        self.no, self.text, self.n, self.loss = self.no + 1, [], 0, []
+
+    def close(self) -> None:
+        if self.no >= 0 and (self.n or self.no == 0):
+            self._end_row()
+
+    def batch(self) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))]
+        rows, self.rows = self.rows, []
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, kinds)], ["conv_id", "chunk", "text", "loss"])
+
+
+def formatted(messages: DataFrame, chunk: int | None = None) -> DataFrame:
+    """conv_id, chunk, text, loss: each conversation's formatted text, as a rule in one row (chunk 0), and the spans of it to learn from.
+
+    A text of more than ``chunk`` characters goes on in the next rows; spans count from the start of their row.
+    """
+    size = chunk or CHUNK
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, no, begun = None, 0, False
+        out = _Writer(size)
         for b in batches:
-            convs, nos, pieces, loss = [], [], [], []
-            for c, role, text in zip(b.column("conv_id").to_pylist(), b.column("role").to_pylist(), b.column("text").to_pylist()):
-                if not begun or c != conv:
-                    conv, no, begun = c, 0, True
-                convs.append(c)
-                nos.append(no)
-                pieces.append(BEGIN * (no == 0) + rendered(role or "", text or ""))
-                loss.append(role == "assistant")
-                no += 1
-            yield pa.RecordBatch.from_arrays([pa.array(convs, pa.int64()), pa.array(nos, pa.int64()), pa.array(pieces, pa.string()), pa.array(loss, pa.bool_())], ["conv_id", "piece_no", "piece", "in_loss"])
+            for conv, role, text in zip(b.column("conv_id").to_pylist(), b.column("role").to_pylist(), b.column("text").to_pylist()):
+                if out.no < 0 or conv != out.conv:
+                    out.open(conv)
+                out.turn(role or "", text or "")
+                if len(out.rows) > 1000 or len(out.rows) * size > 8 << 20:
+                    yield out.batch()
+            yield out.batch()
+        out.close()
+        yield out.batch()
 
     rows = messages.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "copy").select("conv_id", "role", "text")
-    return rows.mapInArrow(run, "conv_id long, piece_no long, piece string, in_loss boolean")
+    return rows.mapInArrow(run, "conv_id long, chunk long, text string, loss array<struct<start:long,stop:long>>")
 
 
-def digests(pieces: DataFrame) -> DataFrame:
+def digests(texts: DataFrame) -> DataFrame:
     """Read formatted conversations back: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
 
-    The digests run along a conversation, so its pieces pass through one task in order, one at a time.
+    The digests run along a conversation, so its text passes through one task in order, a chunk at a time.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names)
-        conv, state = None, None
-        done = lambda: (conv, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])
+        conv, reader = None, None
+
+        def done() -> tuple:
+            reader.end()
+            return conv, turns, all_.hexdigest(), learnt, loss.hexdigest(), chars
+
         for b in batches:
             out = []
-            for c, piece, loss in zip(b.column("conv_id").to_pylist(), b.column("piece").to_pylist(), b.column("in_loss").to_pylist()):
-                if state is None or c != conv:
-                    if state:
+            for c, no, text, spans in zip(*(b.column(n).to_pylist() for n in ("conv_id", "chunk", "text", "loss"))):
+                if no == 0:
+                    if reader:
                         out.append(done())
-                    conv, state = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text = read_piece(piece)
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                if loss:
-                    state[2] += len(text)
-                    state[3].update(text.encode())
-                state[4] += len(piece)
+                    conv, reader, turns, all_, learnt, loss, chars = c, Reader(), 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+                for role, said in reader.feed(text):
+                    turns += 1
+                    all_.update(f"{role}\n{said}\n".encode())
+                for s in spans:
+                    said = unescaped(text[s["start"] : s["stop"]])
+                    learnt += len(said)
+                    loss.update(said.encode())
+                chars += len(text)
             yield pack(out)
-        if state:
+        if reader:
             yield pack([done()])
 
-    tune(pieces.sparkSession)
-    rows = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "piece_no").select("conv_id", "piece", "in_loss")
+    tune(texts.sparkSession)
+    rows = texts.repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
     return rows.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 

@@ -1,3 +1,4 @@
+import random
 from hashlib import sha256
 
 from aircascade.llm import chat
@@ -20,7 +21,7 @@ def brute(rows):
     result = []
     for c, turns in out.items():
         loss = "".join(x for r, x in turns if r == "assistant")
-        shown = chat.BEGIN + "".join(chat.rendered(r, x) for r, x in turns)
+        shown = chat.BEGIN + "".join("".join(chat.parts(r, x)) for r, x in turns)
         result.append((c, len(turns), digest("".join(f"{r}\n{x}\n" for r, x in turns)), len(loss), digest(loss), len(shown)))
     return sorted(result, key=repr)
 
@@ -30,7 +31,39 @@ def test_escapes():
         e = chat.escaped(text)
         assert chat.unescaped(e) == text and not chat._CONTROL.search(e)
         for role in ("user", "assistant", "system", "", "tool[/ROLE]"):
-            assert chat.read_piece(chat.rendered(role, text)) == (role, text)
+            shown = chat.BEGIN + 2 * "".join(chat.parts(role, text))
+            for size in (1, 2, 5, len(shown)):
+                reader = chat.Reader()
+                got = [turn for k in range(0, len(shown), size) for turn in reader.feed(shown[k : k + size])]
+                reader.end()
+                assert got == [(role, text)] * 2
+
+
+def test_marks_in_texts_are_found_nowhere_else():
+    rng = random.Random(4)
+    bits = ["<", "[", "/", "s>", "INST]", "SYS]", "ROLE]", "\\", " ", "</s>", " [/INST]", "[INST] ", "x", "\n"]
+    roles = ["user", "assistant", "system", "", "a[/ROLE]b", "</s>"]
+    for _ in range(3000):
+        turns = [(rng.choice(roles), "".join(rng.choices(bits, k=rng.randrange(9)))) for _ in range(rng.randrange(1, 6))]
+        out = chat._Writer(rng.choice([2, 3, 7, 1000]))
+        out.open(1)
+        for t in turns:
+            out.turn(*t)
+        out.close()
+        reader = chat.Reader()
+        got = [t for _, _, text, _ in out.rows for t in reader.feed(text)]
+        reader.end()
+        learnt = "".join(chat.unescaped(text[s["start"] : s["stop"]]) for _, _, text, loss in out.rows for s in loss)
+        assert got == turns and learnt == "".join(x for r, x in turns if r == "assistant")
+
+
+def test_one_formatted_text_a_conversation(spark):
+    rows = conversations()
+    messages = chat.folded(chat.log_of(spark.createDataFrame(rows, SCHEMA))).cache()
+    texts = chat.formatted(messages).collect()
+    assert len(texts) == len({r[0] for r in rows}) and all(r.chunk == 0 for r in texts)
+    cut = chat.formatted(messages, 50)
+    assert cut.count() > 10 * len(texts) and sorted((tuple(r) for r in chat.digests(cut).collect()), key=repr) == brute(rows)
 
 
 def test_round_trip(spark):
