@@ -60,6 +60,11 @@ def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(n) if before[k] is None else spark.conf.set(n, before[k])
 
 
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of a job that runs meanwhile go as soon as it has ended."""
+    return _settings(spark, classic__shuffleDependency__fileCleanup__enabled="true")
+
+
 def bloom_filters(spark: SparkSession):
     """Let Spark filter the large side of a join by a Bloom filter of the small side's keys, of 8 MB at most, before rows move.
 
@@ -76,7 +81,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    with _settings(spark, classic__shuffleDependency__fileCleanup__enabled="true"):
+    with shuffles_dropped(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

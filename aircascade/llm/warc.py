@@ -1,10 +1,11 @@
 """WARC archives: writing pages, and assembling captures from their records.
 
 Writing: each page gives a request, a response or revisit, and a metadata
-record.  Spark's text writer puts them into gzip files, with the blank lines
-that end a record as line separator, so no task opens a file itself.  Of pages
-with equal payloads of at least 100 bytes the one with the smallest page_id is
-the response and the others revisit it, without a payload.
+record, each a gzip member of its own, so a record can be read from its offset.
+Spark's text writer puts them into files of bounded size, so no task opens a file
+itself.  Of pages with equal payloads of at least 100 bytes the one with the
+smallest page_id is the response and the others revisit it, without a payload;
+this is decided on narrow rows of digests, before any page moves.
 
 Reading: files come through Spark's binary reader and are parsed as a stream, a
 record at a time.  Records that name each other in WARC-Concurrent-To (on either
@@ -13,7 +14,8 @@ side) form one transaction, which becomes one nested row.
 Defined results: a null html is an empty payload, a null url an empty target; a
 null page_id stays null and is never chosen as the response where another page
 has the same payload; rows that share a page_id are captures of their own; an
-empty table gives no rows.  Other columns are ignored, whatever their names.
+empty table gives no rows.  A very long page makes a record and a file of its own.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, stored, tune
+from .common import dropped, fresh_path, salted_join, shuffles_dropped, stored, tune
 
 #: Shorter payloads are never revisits.
 LEAST_BYTES = 100
-PAGES_PER_FILE = 2000
+#: Bytes after which a file is closed.
+FILE_BYTES = 32 << 20
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 RECORD = "record_id string, type string, concurrent_to array<string>, refers_to string, target_uri string, date string, fields map<string,string>, payload binary, payload_bytes long, payload_digest string"
@@ -51,17 +54,51 @@ def _urn(row: Column, what: str) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    """Write WARC files of ``pages`` (page_id, url, html), a stored table, at ``path``."""
+def _member(record: bytes) -> bytes:
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return z.compress(record) + z.flush()
+
+
+def _files(size: int):
+    """Records to runs of gzip members, each a file without its last byte."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, n = [], 0
+
+        def closed() -> pa.RecordBatch:
+            raw = b"".join(members)
+            # A member ends with its record's length, the highest byte last: 0 for under 16 MB.  Else an empty member, which ends so, is added.
+            raw = raw if raw[-1] == 0 else raw + _member(b"")
+            return pa.RecordBatch.from_arrays([pa.array([raw[:-1]], pa.binary())], ["value"])
+
+        for b in batches:
+            for record in b.column(0):
+                members.append(_member(record.as_py().encode() + b"\r\n\r\n"))
+                n += len(members[-1])
+                if n >= size:
+                    yield closed()
+                    members, n = [], 0
+        if members:
+            yield closed()
+
+    return run
+
+
+def write_pages(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write WARC files of ``pages`` (page_id, url, html) at ``path``, each of about ``file_bytes`` compressed bytes at most."""
+    tune(pages.sparkSession)
     p = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"), F.monotonically_increasing_id().alias("row"))
-    p = p.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("bytes", F.octet_length("html"))
-    long_ = p.where(F.col("bytes") >= LEAST_BYTES)
+    # Written once, so that a row's number is the same in all that follows.
+    p = stored(p.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("bytes", F.octet_length("html")), "pages")
+    narrow = p.where(F.col("bytes") >= LEAST_BYTES).select("row", "page_id", F.unhex("digest").alias("key"))
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("first")
-    groups = long_.groupBy(F.col("digest").alias("d")).agg(first, F.count("*").alias("n")).where("n > 1").select("d", "first")
-    p = p.join(groups, (F.col("digest") == F.col("d")) & (F.col("bytes") >= LEAST_BYTES), "left")
-    again = F.col("first").isNotNull() & (F.col("first.row") != F.col("row"))
+    groups = narrow.groupBy("key").agg(first, F.count("*").alias("n")).where("n > 1").select("key", F.col("first.row").alias("first_row"))
+    revisits = stored(salted_join(narrow.select("row", "key"), groups, "key").where("row <> first_row").select("row", "first_row"), "revisits")
+    # By row: no key is shared, however many pages have one payload.
+    p = p.join(revisits, "row", "left")
+    again = F.col("first_row").isNotNull()
     url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-    p = p.select("page_id", "html", "digest", "bytes", "row", again.alias("again"), F.col("first.row").alias("first_row"), url.alias("url"))
+    p = p.select("page_id", "html", "digest", "bytes", "row", again.alias("again"), "first_row", url.alias("url"))
 
     me = _urn(F.col("row"), "capture")
     target, beside = ("WARC-Target-URI", F.col("url")), ("WARC-Concurrent-To", me)
@@ -78,7 +115,12 @@ def write_pages(pages: DataFrame, path: str) -> None:
         ).otherwise(_record(F.lit("response"), me, [target, digest], "application/http; msgtype=response", F.concat(http, F.col("html")))),
         _record(F.lit("metadata"), _urn(F.col("row"), "metadata"), [target, beside], "application/warc-fields", fields),
     )
-    p.select(F.explode(records).alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", 3 * PAGES_PER_FILE).text(path)
+    files = p.select(F.explode(records).alias("value")).mapInArrow(_files(file_bytes), "value binary").select(F.col("value").cast("string").alias("value"))
+    # The separator gives each file its last byte; the text is bytes that Spark writes as they are.
+    with shuffles_dropped(pages.sparkSession):
+        files.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", 1).text(path)
+    dropped(p)
+    dropped(revisits)
 
 
 class _Stream:

@@ -1,4 +1,5 @@
 import gzip
+import zlib
 from hashlib import sha256
 
 from aircascade.llm import warc
@@ -32,6 +33,29 @@ def test_nested_rows(spark, tmp_path):
     assert {r.payload.decode() for r in rows if r.record_type == "response"} == {p[2] or "" for p in pages()}
 
 
+def test_each_record_is_a_member_and_files_are_bounded(spark, tmp_path):
+    import random
+
+    rng = random.Random(1)
+    rows = [(i, f"http://h/{i}", rng.randbytes(3000).hex(), "", "") for i in range(40)] + [(99, "u", "y" * (17 << 20), "", "")]
+    path = str(tmp_path / "warc")
+    warc.write_pages(spark.createDataFrame(rows, SCHEMA).repartition(2), path, file_bytes=20_000)
+    files = sorted(f for f in (tmp_path / "warc").iterdir() if f.name.startswith("part-"))
+    n, largest = 0, 0
+    for f in files:
+        raw = f.read_bytes()
+        largest = max(largest, len(raw))
+        while raw:
+            z = zlib.decompressobj(31)
+            record = z.decompress(raw)
+            raw = z.unused_data
+            if record:
+                assert record.startswith(b"WARC/1.1") and record.endswith(b"\r\n\r\n")
+                n += 1
+    assert n == 3 * len(rows) and len(files) > 5 and largest < 30_000
+    assert {r.page_id for r in warc.page_captures(spark.createDataFrame(rows, SCHEMA)).collect()} == {r[0] for r in rows}
+
+
 def test_either_side_names_the_other_and_members_of_gzip(spark, tmp_path):
     def record(kind, i, block, extra=""):
         return f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{i}>\r\n{extra}Content-Length: {len(block)}\r\n\r\n{block}\r\n\r\n".encode()
