@@ -12,6 +12,8 @@ ORIGIN = {"x": -12.2435, "y": -16.4406}
 PITCH_M, TO_NS, BIN_NS, ZENITH_OFFSET = 1200, 4000, 20, 0.5
 #: Fixed value: time to distance factor.
 TIME_TO_DISTANCE = 0.249827048333
+#: Fixed value: what positions of the toy format are divided by.
+TOY_SCALE = 4800
 
 
 def mass_number(particle: Column) -> Column:
@@ -147,3 +149,8 @@ def tile_to_display(p: Column, n: int) -> Column:
 
 def marker_size(total: Column) -> Column:
     return 100 * F.log10(total) + 1
+
+
+def toy_position(v: Column) -> Column:
+    """A position or core of the toy format, in units of its array's half side."""
+    return v / TOY_SCALE

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Generalized Gumbel parameters by hadronic model; for each power of lgE - 19 the coefficients of 1, ln A, (ln A)^2.
 GUMBEL = {
@@ -41,17 +40,51 @@ def gumbel_parameters(log10e: Column, mass: Column, model: str = DEFAULT_MODEL)
     return in_energy(p["mu"]), in_energy(p["sigma"]), in_energy(p["lambda"])
 
 
-@F.pandas_udf(T.DoubleType())
-def _log_gamma_draw(shape: pd.Series, seed: pd.Series) -> pd.Series:
-    """ln of a Gamma(shape, 1/shape) number, drawn from each row's own seed."""
-    draw = lambda k, s: np.log(np.random.default_rng(int(s) & 0x7FFFFFFFFFFFFFFF).gamma(k, 1 / k))
-    return pd.Series([draw(k, s) for k, s in zip(shape, seed)], dtype="float64")
+#: Candidates of a draw, of which the first that fits counts; that none does happens once in 10^11 draws.
+CANDIDATES = 8
+
+
+def _uniform(digest: Column, k: int) -> Column:
+    """The k-th number of three in (0, 1) that an md5 gives, of 40 bits each."""
+    return (F.conv(F.substring(digest, 1 + 10 * k, 10), 16, 10).cast("double") + 0.5) / float(1 << 40)
+
+
+def _log_gamma_draw(shape: Column, said: Column) -> Column:
+    """ln of a Gamma(shape, 1/shape) number, drawn by squeezed normals from digests of ``said``."""
+    d = shape + 1 - F.lit(1 / 3)
+    c = 1 / F.sqrt(9 * d)
+
+    def candidate(i: Column) -> Column:
+        h = F.md5(F.concat_ws("|", said, i.cast("string")))
+        x = F.sqrt(-2 * F.log(_uniform(h, 0))) * F.cos(F.lit(2 * math.pi) * _uniform(h, 1))
+        v = F.greatest((1 + c * x) * (1 + c * x) * (1 + c * x), F.lit(1e-300))
+        fits = (1 + c * x > 0) & (F.log(_uniform(h, 2)) < x * x / 2 + d - d * v + d * F.log(v))
+        return F.struct(fits.alias("fits"), F.log(d * v).alias("g"))
+
+    found = F.filter(F.transform(F.sequence(F.lit(1), F.lit(CANDIDATES)), candidate), lambda s: s["fits"])
+    first = F.coalesce(F.get(found, 0)["g"], F.log(d))
+    # From shape + 1 down to shape, and to a mean of 1.
+    return first + F.log(_uniform(F.md5(F.concat_ws("|", said, F.lit("0"))), 0)) / shape - F.log(shape)
 
 
 def drawn_depth(log10e: Column, mass: Column, keys: list[Column], seed: int = 1, model: str = DEFAULT_MODEL) -> Column:
     """A random depth from the model; the same for the same key and seed, however the rows are split."""
     mu, sigma, shape = gumbel_parameters(log10e, mass, model)
-    return mu - sigma * _log_gamma_draw(shape, F.xxhash64(*keys, F.lit(seed)))
+    said = F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return mu - sigma * _log_gamma_draw(shape, said)
+
+
+def draw_sql(source: str, model: str = DEFAULT_MODEL) -> str:
+    """CTEs that add ``drawn`` to ``source`` (le: lgE - 19, la: ln A, said: key and seed), as ``drawn``, in DuckDB's SQL."""
+    terms = {k: " + ".join(f"(({a}) + ({b}) * la + ({c}) * la * la)" + " * le" * n for n, (a, b, c) in enumerate(v)) for k, v in GUMBEL[model].items()}
+    u = lambda h, k: f"((CAST('0x' || substr({h}, {1 + 10 * k}, 10) AS BIGINT) + 0.5) / 1099511627776.0)"
+    h = "md5(said || '|' || i)"
+    x = f"(sqrt(-2 * ln({u(h, 0)})) * cos(2 * pi() * {u(h, 1)}))"
+    return f"""d1 AS (SELECT *, {terms['mu']} AS mu, {terms['sigma']} AS sigma, {terms['lambda']} AS shape, {terms['lambda']} + 1 - 1 / CAST(3 AS DOUBLE) AS dd FROM {source}),
+d2 AS (SELECT *, list_transform(range(1, {CANDIDATES + 1}), lambda i: {{'x': {x}, 'u': {u(h, 2)}}}) AS tries FROM d1),
+d3 AS (SELECT *, list_transform(tries, lambda t: {{'v': greatest(pow(1 + t.x / sqrt(9 * dd), 3), 1e-300), 'x': t.x, 'u': t.u}}) AS vs FROM d2),
+d4 AS (SELECT *, list_filter(vs, lambda t: t.v > 1e-300 AND ln(t.u) < t.x * t.x / 2 + dd - dd * t.v + dd * ln(t.v)) AS fit FROM d3),
+drawn AS (SELECT *, mu - sigma * (coalesce(ln(dd * fit[1].v), ln(dd)) + ln({u("md5(said || '|0')", 0)}) / shape - ln(shape)) AS drawn FROM d4)"""
 
 
 def scaled_depth(depth: Column, energy: Column, bin_energy: Column, model: str = DEFAULT_MODEL) -> Column:

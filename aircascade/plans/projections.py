@@ -94,12 +94,8 @@ def with_depth(events: DataFrame, depths: DataFrame | None, index: DataFrame, mo
     name = names.base_name(F.col("file_name"))
     rows = events.withColumns({"file_idx": names.simulation_index(name), "dir": names.directory(F.col("file_name"))})
     rows = rows.withColumn("energy_index", F.expr("try_cast(right(file_idx, 2) as int)"))
-    rows = rows.join(first_depths(depths, keys), keys, "left").join(F.broadcast(index.select("energy_index", "mid")), "energy_index", "left")
+    rows = rows.join(first_depths(depths, keys), keys, "left").join(index.select("energy_index", "mid"), "energy_index", "left")
     mass = P.mass_number(F.col("mc_parttype"))
     known = shower_depth.scaled_depth(F.col("xmax0"), F.col("mc_energy"), F.col("mid"), model)
-    rows = rows.withColumn("_known", known)
     drawn = shower_depth.drawn_depth(shower_depth.log10_energy(F.col("mc_energy"), literal_log10e), mass, [F.col(k) for k in EVENT], seed, model)
-    # Only rows without a depth reach Python.
-    a = rows.where("_known is not null").withColumn("xmax", F.col("_known"))
-    b = rows.where("_known is null").withColumn("xmax", drawn)
-    return a.unionByName(b).drop("_known", "xmax0", "mid", "energy_index", "file_idx", "dir")
+    return rows.withColumn("xmax", F.coalesce(known, drawn)).drop("xmax0", "mid", "energy_index", "file_idx", "dir")

@@ -25,6 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Detector ids of the stand-in are two digits: x and y on a grid of base 10.
 LAYOUT = tiles.ArrayLayout(base=10)
+#: Order keys of a stand-in file, so there are more files, not longer ones, as the tables grow.
+FILE_KEYS = 512
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -46,12 +48,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def events(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     return o.select(
-        F.concat(F.lit("f"), (F.col("o_orderkey") % 7).cast("string")).alias("file_name"), F.col("o_orderkey").alias("event_idx"),
+        F.concat(F.lit("f"), F.floor(F.col("o_orderkey") / FILE_KEYS).cast("string")).alias("file_name"), F.col("o_orderkey").alias("event_idx"),
         F.col("o_totalprice").alias("price"), F.col("o_custkey").alias("cust"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").alias("date"),
     )
 
 
-EVENTS = """events AS (SELECT 'f' || CAST(o_orderkey % 7 AS VARCHAR) AS file_name, o_orderkey AS event_idx, o_totalprice AS price, o_custkey AS cust,
+EVENTS = f"""events AS (SELECT 'f' || CAST(o_orderkey // {FILE_KEYS} AS VARCHAR) AS file_name, o_orderkey AS event_idx, o_totalprice AS price, o_custkey AS cust,
   o_orderstatus AS status, o_orderpriority AS priority, o_orderdate AS date FROM orders)"""
 
 _ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
@@ -61,14 +63,14 @@ def hits(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem")
     at = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_ORDER)) - 1
     return rows.select(
-        F.concat(F.lit("f"), (F.col("l_orderkey") % 7).cast("string")).alias("file_name"), F.col("l_orderkey").alias("event_idx"), at.alias("hit_idx"),
+        F.concat(F.lit("f"), F.floor(F.col("l_orderkey") / FILE_KEYS).cast("string")).alias("file_name"), F.col("l_orderkey").alias("event_idx"), at.alias("hit_idx"),
         F.col("l_suppkey").cast("int").alias("xxyy"), (F.col("l_quantity").cast("int") % 6).alias("isgood"), F.col("l_discount").alias("reltime_low"), F.col("l_tax").alias("reltime_up"),
         F.col("l_quantity").alias("pulsa_low"), F.col("l_extendedprice").alias("pulsa_up"), F.col("l_tax").alias("x"), F.col("l_discount").alias("y"), F.col("l_quantity").alias("z"),
         F.col("l_quantity").alias("vem_low"), F.col("l_linenumber").cast("double").alias("vem_up"), F.col("l_linenumber").cast("int").alias("nfold"), F.col("l_returnflag").alias("flag"),
     )
 
 
-HITS = f"""hits AS (SELECT 'f' || CAST(l_orderkey % 7 AS VARCHAR) AS file_name, l_orderkey AS event_idx,
+HITS = f"""hits AS (SELECT 'f' || CAST(l_orderkey // {FILE_KEYS} AS VARCHAR) AS file_name, l_orderkey AS event_idx,
   CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_ORDER)}) - 1 AS INTEGER) AS hit_idx, CAST(l_suppkey AS INTEGER) AS xxyy,
   CAST(trunc(l_quantity) AS INTEGER) % 6 AS isgood, l_discount AS reltime_low, l_tax AS reltime_up, l_quantity AS pulsa_low, l_extendedprice AS pulsa_up,
   l_tax AS x, l_discount AS y, l_quantity AS z, l_quantity AS vem_low, CAST(l_linenumber AS DOUBLE) AS vem_up, CAST(l_linenumber AS INTEGER) AS nfold, l_returnflag AS flag FROM lineitem)"""
@@ -316,12 +318,13 @@ def whole_dump(spark: SparkSession, d: str) -> DataFrame:
     """Dump lines of all events with their hits and bad detectors, section by section; lines of waveforms are empty."""
     key = events(spark, d).select(*EVENT)
     b = bad(spark, d).groupBy(*EVENT).agg(dumps.text_of(F.flatten(F.transform(F.collect_list("xxyy"), lambda x: F.array(x, F.lit(1))))).alias("line"))
-    w = Window.partitionBy("file_name").orderBy("event_idx")
+    by_file = Window.partitionBy("file_name")
+    w, n = by_file.orderBy("event_idx"), F.count("*").over(by_file) + 1
     out = None
     for k, (marker, lines) in enumerate((("EVENT DATA", event_lines(spark, d)), ("SD meta DATA", hit_lines(spark, d)), ("SD waveform DATA", key.withColumn("line", F.lit(""))), ("badsdinfo", b))):
         rows = key.join(lines, EVENT, "left").withColumn("line", F.coalesce("line", F.lit("")))
-        body = rows.select("file_name", (F.row_number().over(w) + k * 100_000_000).cast("long").alias("line_no"), "line")
-        head = key.select("file_name").distinct().select("file_name", F.lit(k * 100_000_000).cast("long").alias("line_no"), F.lit(marker).alias("line"))
+        body = rows.select("file_name", (F.row_number().over(w) + k * n).cast("long").alias("line_no"), "line")
+        head = key.groupBy("file_name").agg((k * (F.count("*") + 1)).alias("line_no")).select("file_name", "line_no", F.lit(marker).alias("line"))
         out = body.unionByName(head) if out is None else out.unionByName(body).unionByName(head)
     return out
 
@@ -347,8 +350,8 @@ def tile_layers(spark, d):
 _MID = "mid AS (SELECT event_idx, x_m AS mx, y_m AS my FROM geo WHERE i = 1 AND j = 1)"
 
 
-@query(f"""WITH {HITS}, {DETECTORS}, {TILE}, {_MID} SELECT file_name, g.event_idx, i, j, CASE WHEN exists_ THEN round((x_m - mx) / 1200, 9) ELSE 0 END AS x_norm,
-CASE WHEN exists_ THEN round((y_m - my) / 1200, 9) ELSE 0 END AS y_norm, CASE WHEN exists_ THEN round((z_m - 1370) / 30, 9) ELSE 0 END AS z_norm FROM geo g JOIN mid m ON g.event_idx = m.event_idx""")
+@query(f"""WITH {HITS}, {DETECTORS}, {TILE}, g AS MATERIALIZED (SELECT * FROM geo), m AS (SELECT *, max(CASE WHEN i = 1 AND j = 1 THEN x_m END) OVER (PARTITION BY event_idx) AS mx, max(CASE WHEN i = 1 AND j = 1 THEN y_m END) OVER (PARTITION BY event_idx) AS my FROM g)
+SELECT file_name, event_idx, i, j, CASE WHEN exists_ THEN round((x_m - mx) / 1200, 9) ELSE 0 END AS x_norm, CASE WHEN exists_ THEN round((y_m - my) / 1200, 9) ELSE 0 END AS y_norm, CASE WHEN exists_ THEN round((z_m - 1370) / 30, 9) ELSE 0 END AS z_norm FROM m""")
 def tile_norm(spark, d):
     cell, _ = tile_geometry(spark, d)
     out = tiles.normalised(cell, 3, LAYOUT).select(*EVENT, "i", "j", "x_norm", "y_norm", "z_norm")
@@ -601,13 +604,6 @@ def gumbel_params(spark, d):
     return out
 
 
-@query()
-def xmax_drawn(spark, d):
-    """Drawn depths have no SQL; the tests hold their mean and repeatability."""
-    depth = shower_depth.drawn_depth(shower_depth.log10_energy(F.col("price")), (1 + F.col("cust") % 56).cast("double"), [F.col("event_idx")])
-    return events(spark, d).select("event_idx", depth.alias("xmax"))
-
-
 # Samples
 
 STRATA = ["status", "priority"]
@@ -740,7 +736,9 @@ def offsets_check(spark, d):
 @query("""WITH m AS (SELECT max(abs(l_extendedprice - (l_extendedprice + l_tax * 1e-5))) AS p, max(abs(l_quantity - l_quantity)) AS q FROM lineitem)
 SELECT 'price' AS "column", round(p, 9) AS most, p <= 1e-5 AS same FROM m UNION ALL SELECT 'quantity', q, q <= 1e-5 FROM m""")
 def parser_compare(spark, d):
-    h = table(spark, d, "lineitem").withColumn("k", F.monotonically_increasing_id())
+    # A line's key and its place among lines of that key: both parsers' rows have it.
+    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    h = table(spark, d, "lineitem").select("l_extendedprice", "l_quantity", "l_tax", F.struct("l_orderkey", "l_linenumber", F.row_number().over(w).alias("n")).alias("k"))
     a = h.select("k", F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"))
     b = h.select("k", (F.col("l_extendedprice") + F.col("l_tax") * 1e-5).alias("price"), F.col("l_quantity").alias("quantity"))
     return rounded(checks.differences(a, b, ["k"], ["price", "quantity"]), ["most"])
@@ -777,3 +775,6 @@ def toy_arrivals(spark, d):
 def waveform_starts(spark, d):
     e = table(spark, d, "events").select("event_id", "user_id", (F.col("event_id") % 1000000).alias("clkcnt"), F.lit(50_000_000).alias("mclkcnt"))
     return rounded(views.waveform_list(e, ["user_id"]).select("event_id", "start_bin", "rel_bin"), ["start_bin", "rel_bin"], 6)
+
+
+from . import queries_whole  # noqa: E402, F401  registers its queries here

@@ -47,6 +47,12 @@ def grouped(files: DataFrame, group: Callable[[Column], Column], jobs: int | Non
     return f.withColumn("job_id", names.slot(F.col("group_id"), jobs)) if jobs else f
 
 
+def outputs(groups: DataFrame, pattern: str) -> DataFrame:
+    """job_id, group_id, output, inputs: what each group of files writes (``pattern`` takes the group's number) and its files by name."""
+    inputs = F.transform(F.array_sort(F.collect_list(F.struct("name", "path"))), lambda f: f["path"]).alias("inputs")
+    return groups.groupBy("job_id", "group_id").agg(inputs).select("job_id", "group_id", F.format_string(pattern, "group_id").alias("output"), "inputs")
+
+
 def until_date(files: DataFrame, last: int = 160603) -> DataFrame:
     return files.where(names.date_at_most(F.col("name"), last))
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,7 +73,9 @@ def as_floats(df: DataFrame) -> DataFrame:
 
 def compact(spark: SparkSession, paths: list[str], out: str, files: int, skip: list[str] | None = None) -> int:
     """Merge stored tables into one with ``files`` files."""
-    return write_table(spark.read.option("mergeSchema", "true").parquet(*paths).drop(*(skip or [])).repartition(files), out)
+    parts = [spark.read.option("mergeSchema", "true").parquet(p) for p in paths]  # each with partitions of its own
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return write_table(both.drop(*(skip or [])).repartition(files), out)
 
 
 def append(df: DataFrame, path: str, info: dict[str, str] | None = None) -> None:
@@ -103,3 +109,13 @@ def per_file(events: DataFrame) -> DataFrame:
     n = events.groupBy("file_name").agg(F.count("*").alias("n"))
     w = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
     return n.withColumn("start", F.coalesce(F.sum("n").over(w), F.lit(0)))
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); without one a local session gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="aircascade-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
