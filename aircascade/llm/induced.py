@@ -3,8 +3,8 @@
 Suffixes are induced bucket by bucket: the queues hold text positions with the
 leading character as priority, first in, first out, and whatever is popped
 pushes its predecessors.  Positions of a bucket are handled as arrays.  Queues
-beyond a memory bound move to a temporary file of the task, which is gone when
-the sort is done.
+beyond a memory bound move to a nameless scratch file of the task, which no other
+task reads and which is gone when the sort is done.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Bytes of queued positions held in memory.
-HELD = 64 << 20
+#: Bytes of queued positions held in memory; a shard of a few hundred thousand suffixes goes beyond it.
+HELD = 4 << 20
 #: Positions taken from a queue at once.
 TAKEN = 1 << 18
 #: Largest alphabet that gets a queue for each character; reduced texts with more names are ranked by doubling.
@@ -153,6 +153,20 @@ def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
+def _equal(t: np.ndarray, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether t agrees with itself on ``size`` characters from x and from y on, pair by pair."""
+    out = np.ones(len(x), bool)
+    some = np.flatnonzero(size > 0)
+    bounds = np.append(0, np.cumsum(size[some]))
+    for a in range(0, len(some), TAKEN // 8):
+        z = min(a + TAKEN // 8, len(some))
+        n, begin = size[some[a:z]], bounds[a:z] - bounds[a]
+        step = np.arange(bounds[z] - bounds[a]) - np.repeat(begin, n)
+        same = t[np.repeat(x[some[a:z]], n) + step] == t[np.repeat(y[some[a:z]], n) + step]
+        out[some[a:z]] = np.logical_and.reduceat(same, begin)
+    return out
+
+
 def suffixes(t: np.ndarray, depth: int, held: int = HELD) -> Iterator[np.ndarray]:
     """Text positions in the order of their suffixes' first ``depth`` characters, as a stream of arrays.
 
@@ -171,7 +185,7 @@ def suffixes(t: np.ndarray, depth: int, held: int = HELD) -> Iterator[np.ndarray
     if len(lms) > 1:
         first = lms[np.argsort(t[lms], kind="stable")]
         order = np.concatenate([x[is_lms[x]] for x in _induce(t, first, size, held)])
-        # Names: substrings between LMS positions, told apart by length and hash.
+        # Names: substrings between LMS positions, told apart by length and hash; where those agree, by their characters.
         ends = np.append(lms[1:], n - 1)
         power, mult = np.uint64(0x9E3779B97F4A7C15), np.empty(n, np.uint64)
         mult[0] = 1
@@ -182,6 +196,7 @@ def suffixes(t: np.ndarray, depth: int, held: int = HELD) -> Iterator[np.ndarray
         place = np.searchsorted(lms, order)
         k, length = key[place], (ends - lms)[place]
         new = np.append(False, (k[1:] != k[:-1]) | (length[1:] != length[:-1]))
+        new[1:] |= ~_equal(t, lms[place[1:]], lms[place[:-1]], np.where(new[1:], 0, length[1:] + 1))
         names = np.empty(len(lms), "i8")
         names[place] = np.cumsum(new)
         count = int(new.sum()) + 1

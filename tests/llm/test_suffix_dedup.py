@@ -35,6 +35,27 @@ def test_suffix_order_with_and_without_spill():
             assert got == sorted(range(len(raw)), key=lambda i: raw[i:])
 
 
+def test_names_are_told_apart_by_their_characters():
+    t = np.array([5, 1, 2, 3, 5, 1, 2, 3, 5, 1, 2, 4, 0], np.uint16)
+    same = induced._equal(t, np.array([1, 1, 1, 0]), np.array([5, 9, 9, 4]), np.array([3, 3, 2, 0]))
+    assert same.tolist() == [True, False, True, True]
+    rng = random.Random(11)
+    raw = np.array([rng.randint(1, 3) for _ in range(400)] + [0], np.uint16)
+    assert np.concatenate(list(induced.suffixes(raw, 1000))).tolist() == sorted(range(401), key=lambda i: raw[i:].tolist())
+
+
+def test_default_queues_reach_the_disk(monkeypatch):
+    spilled = []
+    spill = induced.Queues._spill
+    monkeypatch.setattr(induced.Queues, "_spill", lambda self: (spilled.append(self.held), spill(self)))
+    rng = np.random.default_rng(2)
+    t = np.append(rng.integers(1, 30, suffix_dedup.SHARD // 2), 0).astype(np.uint16)
+    got = np.concatenate(list(induced.suffixes(t, 100)))
+    assert spilled and sorted(got.tolist()) == list(range(len(t)))
+    near = [t[i : i + 12].tolist() for i in got[::997]]
+    assert near == sorted(near)
+
+
 def test_copies_in_a_shard_larger_than_memory():
     rng = random.Random(4)
     text = bytes(rng.randrange(97, 100) for _ in range(300))
