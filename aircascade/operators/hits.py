@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import EVENT
@@ -74,23 +77,40 @@ def greedy_match(hits: DataFrame, waveforms: DataFrame, event: list[str] = EVENT
 
     Gives the matched waveforms, numbered anew as ``wf_idx`` with their old number
     as ``raw_wf_idx``, and the events in which some hit stays without its waveforms.
-    Only ids are folded, in arrays of one event; traces meet them by a join.
+    Only ids are walked, in arrays of one event; traces meet them by a join.
     """
     expected = F.array_sort(F.collect_list(F.struct("hit_idx", "xxyy", "nfold")))
     flat = F.flatten(F.transform(expected, lambda h: F.when(h["nfold"] > 0, F.array_repeat(h["xxyy"], h["nfold"])).otherwise(F.array().cast("array<int>"))))
     exp = hits.select(*event, "hit_idx", F.col("xxyy").cast("int").alias("xxyy"), "nfold").groupBy(*event).agg(flat.alias("exp"))
-    act = waveforms.groupBy(*event).agg(F.array_sort(F.collect_list(F.struct("wf_idx", F.col("xxyy").cast("int").alias("xxyy")))).alias("act"))
-    start = F.struct(F.lit(0).alias("i"), F.array().cast("array<int>").alias("hit"))
+    found = F.array_sort(F.collect_list(F.struct(F.col("wf_idx").cast("int").alias("wf_idx"), F.col("xxyy").cast("int").alias("xxyy"))))
+    act = waveforms.groupBy(*event).agg(found.alias("act"))
+    both = exp.join(act, event, "left").select(*event, "exp", F.col("act.wf_idx").alias("wf"), F.col("act.xxyy").alias("ids"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both.select(*event).schema)
+    walked = both.mapInArrow(_walked(event), f"{kinds}, expected int, hit array<int>")
+    broken = walked.where(F.col("expected") != F.size("hit")).select(*event, "expected", F.size("hit").alias("matched"))
+    places = walked.where(F.col("expected") == F.size("hit")).select(*event, F.posexplode("hit").alias("wf_idx", "raw_wf_idx"))
+    return places.join(waveforms.withColumnRenamed("wf_idx", "raw_wf_idx"), [*event, "raw_wf_idx"]), broken
 
-    def step(s: Column, w: Column) -> Column:
-        on = F.get("exp", s["i"]) == w["xxyy"]
-        return F.when(on, F.struct((s["i"] + 1).alias("i"), F.concat(s["hit"], F.array(w["wf_idx"])).alias("hit"))).otherwise(s)
 
-    both = exp.join(act, event, "left").withColumn("act", F.coalesce("act", F.expr("cast(array() as array<struct<wf_idx:int,xxyy:int>>)")))
-    both = both.select(*event, "exp", F.aggregate(F.transform("act", lambda w: F.struct(w["wf_idx"].cast("int").alias("wf_idx"), w["xxyy"].alias("xxyy"))), start, step).alias("s"))
-    broken = both.where(F.size("exp") != F.col("s.i")).select(*event, F.size("exp").alias("expected"), F.col("s.i").alias("matched"))
-    places = both.where(F.size("exp") == F.col("s.i")).select(*event, F.posexplode("s.hit").alias("wf_idx", "raw_wf_idx"))
-    return places.join(waveforms.withColumnRenamed("wf_idx", "raw_wf_idx"), [*event, "raw_wf_idx"]), broken
+def _walked(event: list[str]):
+    """For each event the waveforms that its hits take, in one walk over both lists: an array per row in, one out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, taken = [], []
+            for exp, wf, ids in zip(*(b.column(c).to_pylist() for c in ("exp", "wf", "ids"))):
+                hit, i, n = [], 0, len(exp)
+                for w, x in zip(wf or (), ids or ()):
+                    if i == n:
+                        break
+                    if exp[i] == x:
+                        hit.append(w)
+                        i += 1
+                sizes.append(n)
+                taken.append(hit)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in event), pa.array(sizes, pa.int32()), pa.array(taken, pa.list_(pa.int32()))], [*event, "expected", "hit"])
+
+    return run
 
 
 def relative_arrival(hits: DataFrame, event: list[str] = EVENT) -> DataFrame:
