@@ -16,9 +16,9 @@ from sys import getsizeof
 import numpy as np
 
 #: Bytes that a worker's remembered pieces take, dictionary entries included; further ones are encoded each time they occur.
-REMEMBERED = 48 << 20
+REMEMBERED = 96 << 20
 #: Pieces put together from others are remembered while at least so much is left.
-RESERVED = 32 << 20
+RESERVED = 64 << 20
 #: About what one entry takes besides its two objects.
 ENTRY = 110
 #: ASCII punctuation: no letters, digits or white space, so a tokenizer cuts between it and a letter, but for an apostrophe before one.
