@@ -63,13 +63,12 @@ def event_slice(numbered: DataFrame, start: int, stop: int) -> DataFrame:
 
 
 def located(indices: DataFrame, files: DataFrame) -> DataFrame:
-    """gidx, file_no, file_name, local_idx of global numbers; out of range gives nulls.
+    """gidx, file_no, file_name, local_idx of global numbers; out of range gives nulls.  ``files`` comes from per_file.
 
     Files meet numbers by equal-width buckets, so neither side must be small.
     """
     width = 1 << 16
-    f = files.where("n > 0").withColumn("file_no", F.row_number().over(Window.orderBy("file_name")) - 1)
-    f = f.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("start") + F.col("n") - 1) / width))))
+    f = files.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("start") + F.col("n") - 1) / width))))
     i = indices.select("gidx").withColumn("bucket", F.floor(F.col("gidx") / width))
     hit = (i.bucket == f.bucket) & (i.gidx >= f.start) & (i.gidx < f.start + f.n)
     return i.join(f, hit, "left").select("gidx", "file_no", "file_name", (F.col("gidx") - F.col("start")).alias("local_idx"))

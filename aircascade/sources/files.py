@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..operators.ordering import in_order
 
 
 def manifest(spark: SparkSession, dirs: str | list[str], globs: str | list[str] = "*", keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -25,8 +26,8 @@ def manifest(spark: SparkSession, dirs: str | list[str], globs: str | list[str]
 
 
 def numbered(files: DataFrame) -> DataFrame:
-    """Add ``n`` (place by path, from 0) and ``total``.  One short row a file meets in the window."""
-    return files.withColumns({"n": F.row_number().over(Window.orderBy("path")) - 1, "total": F.count("*").over(Window.partitionBy(F.lit(1)))})
+    """Add ``n`` (place by path, from 0) and ``total``."""
+    return in_order(files, "path", "n", total="total")
 
 
 def sliced(files: DataFrame, start: int = 0, stop: int | None = None) -> DataFrame:

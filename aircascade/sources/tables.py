@@ -6,11 +6,12 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
 from ..functions.shower_depth import bin_exponent
+from ..operators.ordering import in_order
 
 
 def energy_grid(spark: SparkSession) -> DataFrame:
@@ -105,10 +106,9 @@ def narrow_type(high: int) -> str:
 
 
 def per_file(events: DataFrame) -> DataFrame:
-    """file_name, n, start: events of each file and their first global number.  One row a file meets in the window."""
+    """file_name, n, start, file_no: events of each file, their first global number and the file's own number."""
     n = events.groupBy("file_name").agg(F.count("*").alias("n"))
-    w = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
-    return n.withColumn("start", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    return in_order(n, "file_name", "file_no", before={"start": "n"}).select("file_name", "n", "start", F.col("file_no").cast("int").alias("file_no"))
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 from aircascade.functions import shower_depth, traces
-from aircascade.operators import checks, hits, profile, sampling, sparse
+from aircascade.operators import checks, hits, ordering, profile, sampling, sparse
 from pyspark.sql import functions as F
 
 HITS = "file_name string, event_idx long, hit_idx int, xxyy int, nfold int"
@@ -96,3 +96,16 @@ def test_checks_and_profiles(spark):
     assert profile.listing({"a": a}).count() == 2
     p = {r.column: r for r in profile.profile(a.withColumn("t", F.array("v", "v"))).collect()}
     assert p["t"].mean_length == 2 and p["v"].high == 2 and p["k"].n == 2
+
+
+def test_numbers_and_totals_over_a_whole_table(spark):
+    rng = random.Random(4)
+    rows = [(f"p{i:05d}é"[: rng.randrange(6, 8)], rng.randrange(9)) for i in rng.sample(range(90_000), 900)] + [(None, 5)]
+    rows = list({p: (p, n) for p, n in rows}.values())
+    got = ordering.in_order(spark.createDataFrame(rows, "path string, n long").repartition(7), "path", "place", total="all", before={"start": "n"}).collect()
+    want, start = [], 0
+    for i, (p, n) in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0]))):
+        want.append((p, n, i, start, len(rows)))
+        start += n
+    assert sorted(((r.path, r.n, r.place, r.start, r["all"]) for r in got), key=lambda r: r[2]) == want
+    assert ordering.in_order(spark.createDataFrame([], "path string, n long"), "path", "place", total="all").count() == 0
