@@ -6,12 +6,11 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
 from ..functions.shower_depth import bin_exponent
-from ..operators.ordering import in_order
 
 
 def energy_grid(spark: SparkSession) -> DataFrame:
@@ -106,9 +105,14 @@ def narrow_type(high: int) -> str:
 
 
 def per_file(events: DataFrame) -> DataFrame:
-    """file_name, n, start, file_no: events of each file, their first global number and the file's own number."""
+    """file_name, n, start, file_no: events of each file, their first global number and the file's own number.
+
+    One row of sums a file meets in the window (fine up to some millions of files), so the events are read once.
+    """
     n = events.groupBy("file_name").agg(F.count("*").alias("n"))
-    return in_order(n, "file_name", "file_no", before={"start": "n"}).select("file_name", "n", "start", F.col("file_no").cast("int").alias("file_no"))
+    w = Window.orderBy("file_name")
+    ahead = w.rowsBetween(Window.unboundedPreceding, -1)
+    return n.withColumns({"start": F.coalesce(F.sum("n").over(ahead), F.lit(0)), "file_no": F.row_number().over(w) - 1})
 
 
 def work_path(spark: SparkSession, name: str) -> str:
