@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, minhash, mixing, pii, quality, suffix_dedup, token_codes, topk, warc
+from . import audit, bpe, chat, minhash, mixing, pii, quality, suffix_dedup, token_codes, topk, warc
 from .common import table
 
 #: Where the public tokenizer files lie.
@@ -64,6 +64,10 @@ def op10_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.round_trip(rows.unionByName(more))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_source_mix": op2_source_mix,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_chat_events": op10_chat_events,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -85,4 +90,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_minmax_near_dedup": minhash.SQL,
     "op10_chat_events": f"""WITH c AS (SELECT conv_id, turn, role, text FROM conversations
   UNION ALL SELECT -7, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '{HARD}' FROM range(2) r(k)){chat.SQL}""",
+    "op13_filter_audit": audit.SQL,
 }
