@@ -31,6 +31,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,7 +80,7 @@ class Slice:
         self.hashes = hashes[self.ids]
         self.marks = np.concatenate([[0], np.cumsum(self.ids < 2)])
         self.weights = np.array(weights, np.int64)[np.cumsum(self.ids == 1)]
-        self.seed = np.uint64(xxh3_64_intdigest(lang.encode()))
+        self.seed = xxh3_64_intdigest(lang.encode())
         self.n_words = int(self.weights[self.ids > 1].sum())
 
     def phrases(self, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -91,7 +92,7 @@ class Slice:
             if len(rolled) == 0:
                 return
             at = np.flatnonzero(self.marks[n:] == self.marks[: len(self.ids) - n + 1])
-            h = _mixed(rolled[at] + self.seed * np.uint64(2 * n + 1))
+            h = _mixed(rolled[at] + np.uint64(self.seed * (2 * n + 1) % (1 << 64)))
             yield n, at, (((h >> _HALF) * np.uint64(parts)) >> _HALF) << _HALF | (h & _LOW)
 
     def codes(self, at: np.ndarray, n: int) -> np.ndarray:
@@ -242,8 +243,7 @@ def counted(rows: DataFrame, replies: DataFrame, parts: int) -> DataFrame:
         keys = [np.frombuffer(k, np.uint32).astype(np.uint64) | np.uint64(p) << _HALF for p, k in zip(wanted["part"].to_pylist(), wanted["keys"].to_pylist())]
         member = _Member(np.concatenate([np.empty(0, np.uint64), *keys]))
         out: dict[tuple[str, str | None, int], int] = {}
-        order = pa.compute.sort_indices(texts["lang"])
-        texts = texts.take(order)
+        texts = texts.take(pc.sort_indices(texts["lang"]))
         for s, lang in _with_lang(zip(*(texts[c].to_pylist() for c in ("lang", "text", "weight")))):
             out[lang, None, 0] = out.get((lang, None, 0), 0) + s.n_words
             for n, at, key in s.phrases(parts):
