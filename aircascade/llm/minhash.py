@@ -50,8 +50,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """The sorted distinct 64-bit shingle hashes of a text."""
+def shingles(text: str | None, length: int = SHINGLE) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of a text's shingles of ``length`` words."""
     from xxhash import xxh3_64_intdigest
 
     words = (text or "").encode().lower().split()  # bytes: ASCII letters and white space only
@@ -59,7 +59,7 @@ def shingles(text: str | None) -> np.ndarray:
     h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, n)
     if not n:
         return h
-    size = min(n, SHINGLE)
+    size = min(n, length)
     out = np.full(n - size + 1, np.uint64(size))
     for k in range(size):
         out = out * _STEP + h[k : n - size + 1 + k]
@@ -89,7 +89,7 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
-def _set_key(s: np.ndarray) -> bytes:
+def set_key_of(s: np.ndarray) -> bytes:
     from xxhash import xxh3_128_digest
 
     return xxh3_128_digest(s.tobytes())
@@ -100,7 +100,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            row_key, sets = b.column(1), [shingles(x.as_py()) for x in b.column(2)]
+            own, sets = b.column(1), [shingles(x.as_py()) for x in b.column(2)]
             full, at = [s for s in sets if len(s)], 0
             keys = []
             while at < len(full):  # about 100,000 hashes at once stay in the cache
@@ -114,35 +114,35 @@ def signed(docs: DataFrame) -> DataFrame:
             ends = np.cumsum([0, *(BANDS * bool(len(s)) for s in sets)])
             bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.reshape(-1)))
             count = pa.array([len(s) for s in sets], pa.int64())
-            set_keys = [_set_key(s) for s in sets]
+            set_keys = [set_key_of(s) for s in sets]
             short = np.frombuffer(b"".join(k[:8] for k in set_keys), "<i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), row_key, count, pa.array(set_keys, pa.binary()), pa.array(short), bands], ["doc_id", "row_key", "n_shingles", "set_key", "short", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), own, count, pa.array(set_keys, pa.binary()), pa.array(short), bands], ["doc_id", "row_key", "n_shingles", "set_key", "short", "bands"])
 
-    rows = docs.select("doc_id", _row_key(), "text")
+    rows = docs.select("doc_id", row_key(), "text")
     return rows.mapInArrow(run, "doc_id long, row_key binary, n_shingles long, set_key binary, short long, bands array<long>")
 
 
-def _row_key() -> Column:
+def row_key() -> Column:
     """128 bits of a row's doc_id and text."""
     said = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("|"), F.coalesce("text", F.lit("")))
     return F.unhex(F.md5(said.cast("binary"))).alias("row_key")
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, length: int = SHINGLE) -> DataFrame:
     """set_key, hashes of the rows of ``wanted`` (row_key), which has one for each set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 200):
-                sets = [shingles(x.as_py()) for x in b.column(0).slice(k, 200)]
-                yield pa.RecordBatch.from_arrays([pa.array([_set_key(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["set_key", "hashes"])
+                sets = [shingles(x.as_py(), length) for x in b.column(0).slice(k, 200)]
+                yield pa.RecordBatch.from_arrays([pa.array([set_key_of(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["set_key", "hashes"])
 
     # Rows that are repeated as a whole are put together before they are moved; the join then finds them in place.
-    one = docs.select(_row_key(), "text").groupBy("row_key").agg(F.first("text").alias("text"))
+    one = docs.select(row_key(), "text").groupBy("row_key").agg(F.first("text").alias("text"))
     return one.join(wanted, "row_key", "left_semi").select("text").mapInArrow(run, "set_key binary, hashes array<long>")
 
 
-def _pivot_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+def pivot_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of members and pivots of their buckets that are similar enough.
 
     A pivot's members are dealt over tasks of bounded size, each of which gets the
@@ -173,7 +173,7 @@ def _pivot_links(members: DataFrame, sets: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(against, x), len(against) - 1)
                 both = np.add.reduceat((against[at] == x).astype("i8"), begin)
                 size = np.diff(offsets[i : z + 1])
-                near = np.flatnonzero(100 * both >= PERCENT * (size + len(against) - both))
+                near = np.flatnonzero(100 * both >= percent * (size + len(against) - both))
                 found_a += keys.take(pa.array(near + i)).to_pylist()
                 found_b += [pivot] * len(near)
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.binary()), pa.array(found_b, pa.binary())], ["a", "b"])
@@ -181,7 +181,7 @@ def _pivot_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "side").mapInArrow(compare, "a binary, b binary")
 
 
-def _cross_links(members: DataFrame, sets: DataFrame, label: DataFrame, families: DataFrame) -> DataFrame:
+def cross_links(members: DataFrame, sets: DataFrame, label: DataFrame, families: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of components that some pair of their members links.
 
     ``label`` has set_key, c of the members, ``families`` c, f of the components
@@ -235,7 +235,7 @@ def _cross_links(members: DataFrame, sets: DataFrame, label: DataFrame, families
             m = np.zeros((len(size), 2048), kind)
             m[row[i:z], column[i:z] - a] = 1
             both += m[left] @ m[right].T
-        near = 100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)
+        near = 100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)
         root = {c: c for c in comps}
 
         def top(c):
@@ -272,13 +272,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = full.groupBy("set_key").agg(F.first("short").alias("short"), F.first("n_shingles").alias("n_shingles"), F.min("row_key").alias("row_key"))
     ends = stored(classes.join(found.select("short").distinct(), "short", "left_semi"), "ends")
     with bloom_filters(spark):
-        sets = stored(_full_sets(docs, ends.where("n_shingles > 0").select("row_key")), "sets")
+        sets = stored(full_sets(docs, ends.where("n_shingles > 0").select("row_key")), "sets")
     members = found.join(ends.select("short", "set_key", "n_shingles"), "short").select("key", "set_key", "n_shingles")
     members = stored(salted_join(members, members.groupBy("key").agg(F.min("set_key").alias("pivot")), "key"), "members")
     dropped(found)
     dropped(ends)
 
-    links = stored(_pivot_links(members, sets), "links")
+    links = stored(pivot_links(members, sets), "links")
     roots = components(links)
     every = members.select("set_key").distinct()
     label = stored(every.join(roots, F.col("set_key") == F.col("v"), "left").select("set_key", F.coalesce("c", "set_key").alias("c")), "labels")
@@ -291,7 +291,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ties = stored(meet.join(low, "key").where("c <> low").select(F.col("c").alias("a"), F.col("low").alias("b")).distinct(), "ties")
     if not ties.isEmpty():
         families = components(ties).select(F.col("v").alias("c"), F.col("c").alias("f"))
-        cross = stored(_cross_links(members, sets, label, families), "cross")
+        cross = stored(cross_links(members, sets, label, families), "cross")
         more = components(cross).select(F.col("v").alias("c"), F.col("c").alias("to"))
         better = stored(salted_join(label, more, "c", "left").select("set_key", F.coalesce("to", "c").alias("c")), "labels")
         for t in (families, cross, more, label):

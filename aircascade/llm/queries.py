@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chat, minhash, mixing, phrases, pii, quality, suffix_dedup, token_codes, topk, warc
+from . import audit, bpe, chat, minhash, mixing, parity, phrases, pii, quality, suffix_dedup, token_codes, topk, warc
 from .common import table
 
 #: Where the public tokenizer files lie.
@@ -64,6 +64,10 @@ def op10_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.round_trip(rows.unionByName(more))
 
 
+def op11_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_chat_events": op10_chat_events,
+    "op11_parity_join": op11_parity_join,
     "op12_phrase_mining": op12_phrase_mining,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -95,6 +100,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_minmax_near_dedup": minhash.SQL,
     "op10_chat_events": f"""WITH c AS (SELECT conv_id, turn, role, text FROM conversations
   UNION ALL SELECT -7, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '{HARD}' FROM range(2) r(k)){chat.SQL}""",
+    "op11_parity_join": parity.SQL,
     "op12_phrase_mining": phrases.SQL,
     "op13_filter_audit": audit.SQL,
 }
