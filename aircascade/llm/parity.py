@@ -13,11 +13,11 @@ two sketches is at most the size of the sets' symmetric difference.
    of which the few that are set are held as one 64-bit code, the XOR of a code for
    each.  Segments without a set bit tell nothing: there are more segments than D by a
    margin, and only a set that has as many empty ones as that margin sends them too.
-3. Sets that share a segment meet there: each with the smallest of the bucket first
-   (a number of comparisons linear in the bucket), and in buckets of up to SMALL sets
-   those that are then still apart.  Larger buckets that still hold several
-   components are compared across those, in blocks of bounded size.
-4. Comparisons count the intersection of the full sets (as 64-bit hashes of shingles,
+3. Sets that share a segment meet there with narrow sketches, of some bits a shingle:
+   each with the smallest of the bucket first (a number of comparisons linear in the
+   bucket), then those that are in different components still, in blocks of bounded size.
+   Only pairs whose Hamming distance allows a link go on.
+4. These are verified: comparisons count the intersection of the full sets (as 64-bit hashes of shingles,
    which differ for different shingles but for one pair in 2^64).
 
 Documents with the same set are one vertex, so copies cost nothing in the join.
@@ -42,15 +42,17 @@ from pyspark.sql import functions as F
 
 from .common import bloom_filters, dropped, salted_join, stored, tune
 from .graph import components
-from .minhash import cross_links, full_sets, pivot_links, row_key, set_key_of, shingles
+from .minhash import full_sets, pivot_links, row_key, set_key_of, shingles
 
 SHINGLE = 4
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Bits of a segment, as a power of two.
 WIDTH = 20
-#: Sets of a bucket that are compared in one task.
-SMALL = 64
+#: Sets of a bucket that are compared with one, or with as many others, in one task.
+BLOCK = 512
+#: The last bits of a key are its band.
+BAND_BITS = 63
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -100,10 +102,11 @@ def segment_keys(hashes: np.ndarray, band: int, percent: int = PERCENT) -> np.nd
     cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     keys = np.bitwise_xor.reduceat(code, cut)
     full = keys != 0
-    if k - np.count_nonzero(full) < k - d:
-        return keys[full]
-    empty = np.setdiff1d(np.arange(k, dtype=np.uint64), at[cut][full])
-    return np.concatenate([keys[full], _mixed(_mixed(empty + salt) + np.uint64(1))])
+    keys = keys[full]
+    if k - len(keys) >= k - d:
+        empty = np.setdiff1d(np.arange(k, dtype=np.uint64), at[cut][full])
+        keys = np.concatenate([keys, _mixed(_mixed(empty + salt) + np.uint64(1))])
+    return keys & ~np.uint64(BAND_BITS) | np.uint64(band)
 
 
 def sketched(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -125,49 +128,97 @@ def sketched(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, row_key binary, n_shingles long, set_key binary, short long, keys array<long>")
 
 
-def small_links(members: DataFrame, label: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of components that a pair of sets in a bucket of up to SMALL sets links.
+def sketches(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """set_key, band, n, bits: a set's sketch in each of its bands, of ``sets`` (set_key, hashes)."""
 
-    Pivots have been compared with all of their bucket, so they are left out.
-    Buckets that hold the same sets are compared once.
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for key, x in zip(b.column(0).to_pylist(), b.column(1)):
+                hashes = x.values.to_numpy().view(np.uint64)
+                rows += [(key, band, len(hashes), sketch(hashes, band)) for band in bands(len(hashes), percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.binary(), pa.int32(), pa.int64(), pa.binary()))], ["set_key", "band", "n", "bits"])
+
+    return sets.select("set_key", "hashes").mapInArrow(run, "set_key binary, band int, n long, bits binary")
+
+
+def sketch(hashes: np.ndarray, band: int) -> bytes:
+    """A bit for each of at least twice as many places as the band's largest set has shingles: the parity of those that fall there."""
+    size = max(64, 1 << (2 * int(TOPS[band]) - 1).bit_length())
+    at = ((hashes >> np.uint64(12)) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=size) & 1).astype(bool)).tobytes()
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of rows of bits with each other."""
+    out = np.zeros((len(a), len(b)), np.int64)
+    for i in range(len(a)):
+        out[i] = np.bitwise_count(a[i] ^ b).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _bits(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.uint64).reshape(len(rows), -1)
+
+
+def _runs(batches: Iterable[pa.RecordBatch], by: int) -> Iterator[tuple[tuple, Iterator[tuple]]]:
+    """Rows with the same first ``by`` columns."""
+    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+    return groupby(rows, key=lambda r: r[:by])
+
+
+def near_pivots(members: DataFrame, signs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """pivot, set_key, n_shingles of members whose sketch is near enough to that of a pivot of theirs.
+
+    A pivot's members are dealt over tasks of bounded size, each of which gets the pivot's sketch first.
+    """
+    pairs = members.where("set_key <> pivot").select("pivot", "band", "set_key").distinct()
+    parts = pairs.groupBy("pivot", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("k"))
+    key = F.struct("pivot", "band").alias("at")
+    mine = salted_join(pairs.select(key, "set_key"), parts.select(key, "k"), "at").select(F.col("at.pivot").alias("pivot"), F.col("at.band").alias("band"), F.pmod(F.xxhash64("set_key"), F.col("k")).cast("int").alias("part"), F.lit(1).alias("side"), "set_key")
+    own = parts.select("pivot", "band", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), F.lit(0).alias("side"), F.col("pivot").alias("set_key"))
+    dealt = mine.unionByName(own).join(signs, ["set_key", "band"]).select("pivot", "band", "part", "side", "set_key", "n", "bits")
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (pivot, *_), run in _runs(batches, 3):
+            rows = list(run)
+            bits, n = _bits([r[6] for r in rows]), np.array([r[5] for r in rows])
+            near = np.flatnonzero(_apart(bits[:1], bits[1:])[0] <= (n[0] + n[1:]) * (100 - percent) // (100 + percent)) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([pivot] * len(near), pa.binary()), pa.array([rows[i][4] for i in near], pa.binary()), pa.array(n[near], pa.int64())], ["pivot", "set_key", "n_shingles"])
+
+    out = dealt.repartition("pivot", "band", "part").sortWithinPartitions("pivot", "band", "part", "side")
+    return out.mapInArrow(compare, "pivot binary, set_key binary, n_shingles long")
+
+
+def near_members(members: DataFrame, label: DataFrame, signs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """pivot, set_key, n_shingles: pairs of a bucket's other members that are in different components and whose sketches are near enough.
+
+    Pivots have been compared with all of their bucket, so they are left out.  Buckets
+    that hold the same sets are compared once.  A bucket is cut into blocks, and a task
+    compares two of them, or one in itself.
     """
-    rest = members.where("set_key <> pivot").select("key", "set_key").join(label, "set_key")
+    rest = members.where("set_key <> pivot").select("key", "band", "set_key").join(label, "set_key")
     mixed = [F.bit_xor(F.xxhash64("set_key", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
-    open_ = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high"), *mixed).where((F.col("low") != F.col("high")) & (F.col("n") <= SMALL))
-    open_ = open_.groupBy("n", "x1", "x2").agg(F.min("key").alias("key")).select("key")
-    dealt = sets.join(rest.join(open_, "key"), "set_key").select("key", "c", "hashes")
+    open_ = rest.groupBy("key", "band").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high"), *mixed).where(F.col("low") != F.col("high"))
+    open_ = open_.groupBy("band", "n", "x1", "x2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("k"))
+    rows = salted_join(rest, open_, "key").withColumn("b", F.pmod(F.xxhash64("set_key"), F.col("k")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.select("key", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), (F.col("b") > F.col("x")).alias("second"), "band", "c", "set_key")
+    dealt = rows.join(signs, ["set_key", "band"]).select("key", "i", "j", "second", "c", "set_key", "n", "bits")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), (x.values.to_numpy().view(np.uint64) for x in b.column(2))))
-        for _, group in groupby(rows, key=lambda r: r[0]):
-            a, z = _linked([r[1:] for r in group], percent)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(z, pa.binary())], ["a", "b"])
-
-    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "a binary, b binary")
-
-
-def _linked(group: list[tuple[bytes, np.ndarray]], percent: int) -> tuple[list[bytes], list[bytes]]:
-    """The links between components of a few sets (component, hashes in order); none between two that are joined already."""
-    root = {c: c for c, _ in group}
-
-    def top(c: bytes) -> bytes:
-        while root[c] != c:
-            c = root[c]
-        return c
-
-    a, z = [], []
-    for i, (x, mine) in enumerate(group):
-        for y, other in group[:i]:
-            if top(x) == top(y) or 100 * min(len(mine), len(other)) < percent * max(len(mine), len(other)):
-                continue
-            at = np.minimum(np.searchsorted(other, mine), len(other) - 1)
-            both = int(np.count_nonzero(other[at] == mine))
-            if 100 * both >= percent * (len(mine) + len(other) - both):
-                root[top(x)] = top(y)
-                a.append(x)
-                z.append(y)
-    return a, z
+        for (_, i, j), run in _runs(batches, 3):
+            rows = list(run)
+            bits, n = _bits([r[7] for r in rows]), np.array([r[6] for r in rows])
+            code = np.unique([r[4] for r in rows], return_inverse=True)[1]
+            left, right = (np.arange(len(rows)),) * 2 if i == j else (np.flatnonzero([not r[3] for r in rows]), np.flatnonzero([r[3] for r in rows]))
+            near = _apart(bits[left], bits[right]) <= (n[left][:, None] + n[right]) * (100 - percent) // (100 + percent)
+            x, y = np.nonzero(near & (code[left][:, None] != code[right]))
+            pairs = {tuple(sorted((a, b), key=lambda r: rows[r][5])) for a, b in zip(left[x].tolist(), right[y].tolist())}
+            columns = [[rows[a][5] for a, _ in pairs], [rows[b][5] for _, b in pairs], [rows[b][6] for _, b in pairs]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.binary(), pa.int64()))], ["pivot", "set_key", "n_shingles"])
+
+    out = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return out.mapInArrow(compare, "pivot binary, set_key binary, n_shingles long")
 
 
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
@@ -193,33 +244,25 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     dropped(one)
     with bloom_filters(spark):
         sets = stored(full_sets(docs, ends.select("row_key"), SHINGLE), "sets")
-    members = found.join(ends.select("short", "set_key", "n_shingles"), "short").select("key", "set_key", "n_shingles")
-    members = stored(salted_join(members, members.groupBy("key").agg(F.min("set_key").alias("pivot")), "key"), "members")
+    members = found.join(ends.select("short", "set_key"), "short").select("key", "set_key")
+    members = salted_join(members, members.groupBy("key").agg(F.min("set_key").alias("pivot")), "key")
+    members = stored(members.withColumn("band", F.col("key").bitwiseAND(F.lit(BAND_BITS)).cast("int")), "members")
     dropped(found)
+    signs = stored(sketches(sets, percent), "sketches-of-sets")
 
-    links = stored(pivot_links(members, sets, percent), "links")
+    near = stored(near_pivots(members, signs, percent).distinct(), "near")
+    links = stored(pivot_links(near, sets, percent), "links")
     label = _joined(ends.select("set_key", F.col("set_key").alias("c")), links)
-    dropped(ends)
-    dropped(links)
-    links = stored(small_links(members, label, sets, percent), "links")
-    if not links.isEmpty():
-        before, label = label, _joined(label, links)
+    for t in (ends, near, links):
+        dropped(t)
+    near = stored(near_members(members, label, signs, percent).distinct(), "near")
+    if not near.isEmpty():
+        links = stored(pivot_links(near, sets, percent), "links")
+        parts = links.join(label.select(F.col("set_key").alias("a"), F.col("c").alias("ca")), "a").join(label.select(F.col("set_key").alias("b"), F.col("c").alias("cb")), "b")
+        before, label = label, _joined(label, parts.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         dropped(before)
-    dropped(links)
-
-    # Components that meet in a larger bucket: each is tied to the bucket's smallest.
-    large = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SMALL + 1).select("key")
-    rest = members.where("set_key <> pivot").select("key", "set_key").join(large, "key", "left_semi")
-    meet = rest.join(label, "set_key").groupBy("key", "c").agg(F.lit(1).alias("_"))
-    low = meet.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key", "low")
-    ties = stored(meet.join(low, "key").where("c <> low").select(F.col("c").alias("a"), F.col("low").alias("b")).distinct(), "ties")
-    if not ties.isEmpty():
-        families = components(ties).select(F.col("v").alias("c"), F.col("c").alias("f"))
-        links = stored(cross_links(members, sets, label, families, percent), "links")
-        before, label = label, _joined(label, links)
-        for t in (before, families, links):
-            dropped(t)
-    for t in (ties, sets, members):
+        dropped(links)
+    for t in (near, signs, sets, members):
         dropped(t)
 
     # The smallest doc_id of a set, then of a component.

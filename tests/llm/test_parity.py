@@ -52,19 +52,29 @@ def test_equals_brute_force_and_sql(spark):
     assert len({r[2] for r in got}) < len(got) - 30
 
 
-def test_large_buckets_and_blocks(spark, monkeypatch):
-    """A loose family: pivots leave many links to small buckets, and with these bounded to large ones and their blocks."""
+def test_blocks_join_what_pivots_leave(spark, monkeypatch):
+    """A loose family: pivots leave many links to the other members of their buckets."""
     rng = random.Random(9)
     base = words(rng, 200)
     texts = [edited(rng, base, 9) for _ in range(70)]
     want = brute(texts)
     assert 1 < len({r[2] for r in want}) < 60
-    assert rows_of(parity.similar_documents(documents(spark, texts))) == want
-    monkeypatch.setattr(parity, "SMALL", 3)
+    monkeypatch.setattr(parity, "BLOCK", 5)
     monkeypatch.setattr(minhash, "BLOCK_SETS", 7)
     assert rows_of(parity.similar_documents(documents(spark, texts))) == want
 
 
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for size in (8, 50, 700):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        for other in (1, 3, size // 2):
+            b = np.unique(np.concatenate([a[other:], rng.integers(0, 1 << 63, other, dtype=np.uint64)]))
+            for band in set(parity.bands(len(a))) & set(parity.bands(len(b))):
+                x, y = (parity._bits([parity.sketch(s, band)]) for s in (a, b))
+                assert parity._apart(x, y)[0, 0] <= len(np.setxor1d(a, b))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_linked_sets_share_a_key(seed):
     """The pigeonhole guarantee, at the threshold and at the edges of bands."""
