@@ -190,9 +190,11 @@ def near_pivots(members: DataFrame, signs: DataFrame, percent: int = PERCENT) ->
     return out.mapInArrow(compare, "pivot binary, set_key binary, n_shingles long")
 
 
-def near_members(members: DataFrame, label: DataFrame, signs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_members(members: DataFrame, label: DataFrame, signs: DataFrame, percent: int = PERCENT, forest: bool = False) -> DataFrame:
     """pivot, set_key, n_shingles: pairs of a bucket's other members that are in different components and whose sketches are near enough.
 
+    With ``forest`` a task gives no more of them than would join its components, the nearest first.
+
     Pivots have been compared with all of their bucket, so they are left out.  Buckets
     that hold the same sets are compared once.  A bucket is cut into blocks, and a task
     compares two of them, or one in itself.
@@ -211,8 +213,12 @@ def near_members(members: DataFrame, label: DataFrame, signs: DataFrame, percent
             bits, n = _bits([r[7] for r in rows]), np.array([r[6] for r in rows])
             code = np.unique([r[4] for r in rows], return_inverse=True)[1]
             left, right = (np.arange(len(rows)),) * 2 if i == j else (np.flatnonzero([not r[3] for r in rows]), np.flatnonzero([r[3] for r in rows]))
-            near = _apart(bits[left], bits[right]) <= (n[left][:, None] + n[right]) * (100 - percent) // (100 + percent)
-            x, y = np.nonzero(near & (code[left][:, None] != code[right]))
+            apart, sizes = _apart(bits[left], bits[right]), n[left][:, None] + n[right]
+            x, y = np.nonzero((apart <= sizes * (100 - percent) // (100 + percent)) & (code[left][:, None] != code[right]))
+            if forest:
+                order = np.argsort(apart[x, y] / sizes[x, y], kind="stable")
+                x, y = x[order], y[order]
+                x, y = x[keep := _spanning(code[left[x]], code[right[y]])], y[keep]
             pairs = {tuple(sorted((a, b), key=lambda r: rows[r][5])) for a, b in zip(left[x].tolist(), right[y].tolist())}
             columns = [[rows[a][5] for a, _ in pairs], [rows[b][5] for _, b in pairs], [rows[b][6] for _, b in pairs]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.binary(), pa.int64()))], ["pivot", "set_key", "n_shingles"])
@@ -221,6 +227,24 @@ def near_members(members: DataFrame, label: DataFrame, signs: DataFrame, percent
     return out.mapInArrow(compare, "pivot binary, set_key binary, n_shingles long")
 
 
+def _spanning(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """The places of edges (a, b) that, taken in turn, join what isn't joined yet."""
+    root = {c: c for c in np.union1d(a, b).tolist()}
+    left, keep = len(root) - 1, []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        while root[x] != x:
+            x = root[x]
+        while root[y] != y:
+            y = root[y]
+        if x != y:
+            root[x] = y
+            keep.append(i)
+            left -= 1
+            if not left:
+                break
+    return keep
+
+
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     """``label`` (set_key, c) with components joined by ``links`` (a, b)."""
     to = components(links).select(F.col("v").alias("c"), F.col("c").alias("to"))
@@ -255,13 +279,16 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     label = _joined(ends.select("set_key", F.col("set_key").alias("c")), links)
     for t in (ends, near, links):
         dropped(t)
-    near = stored(near_members(members, label, signs, percent).distinct(), "near")
-    if not near.isEmpty():
+    # A forest of the nearest pairs joins nearly all that links; then whatever may link across the components that are left.
+    for forest in (True, False):
+        near = stored(near_members(members, label, signs, percent, forest).distinct(), "near")
+        if near.isEmpty():
+            break
         links = stored(pivot_links(near, sets, percent), "links")
         parts = links.join(label.select(F.col("set_key").alias("a"), F.col("c").alias("ca")), "a").join(label.select(F.col("set_key").alias("b"), F.col("c").alias("cb")), "b")
         before, label = label, _joined(label, parts.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        dropped(before)
-        dropped(links)
+        for t in (before, links):
+            dropped(t)
     for t in (near, signs, sets, members):
         dropped(t)
 
