@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..operators import hits as H
 from ..operators import ragged, tiles
 from ..schema import EVENT
-from ..sources.dumps import Dumps, read_dumps
+from ..sources.dumps import Dumps, parse_tagged, staged
+from ..sources.splits import read_tagged
+from ..sources.storage import write_audited
 from ..sources.tables import as_floats
 from .projections import EventOptions, event_columns
 
@@ -98,11 +100,10 @@ def store(dumps: Dumps, path: str) -> Dumps:
 
 
 def export(spark: SparkSession, paths: list[str], out: str, detectors: DataFrame | None = None, tile: TileOptions | None = None) -> dict[str, int]:
-    """Convert dumps to Parquet below ``out`` in one job a table; gives the rows of each, counted back."""
-    from ..sources.tables import write_table
-
-    dumps = store(read_dumps(spark, paths), f"{out}/parsed")
+    """Convert dumps to audited tables below ``out``; gives the rows of each.  The text is read and tagged once."""
+    lines = staged(read_tagged(spark, paths), f"{out}/lines")
+    dumps = store(parse_tagged(lines), f"{out}/parsed")
     if tile:
-        return {"tiles": write_table(as_floats(tile_dataset(dumps, detectors, tile)), f"{out}/tiles")}
+        return {"tiles": write_audited(as_floats(tile_dataset(dumps, detectors, tile)), f"{out}/tiles")}
     r = ragged_dataset(dumps)
-    return {name: write_table(df, f"{out}/{name}", sort_by=["file_name", "event_idx"]) for name, df in (("events", r.events), ("hits", r.hits), ("traces", r.traces))}
+    return {name: write_audited(df.sortWithinPartitions(*EVENT), f"{out}/{name}") for name, df in (("events", r.events), ("hits", r.hits), ("traces", r.traces))}

@@ -1,4 +1,4 @@
-"""Text dumps of events: one job from whole files to keyed tables."""
+"""Text dumps of events: from their lines to keyed tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, traces
 from ..schema import BINS, EVENT, RAW_EVENT, RAW_HIT, SECTIONS, WAVEFORM_SIZE
+from .splits import opens, read_tagged
 
 
 @dataclass(frozen=True)
@@ -22,27 +23,10 @@ class Dumps:
     quarantine: DataFrame
 
 
-def lines_of(files: DataFrame) -> DataFrame:
-    """file_name, line_no, line of rows (file_name, value) that hold whole files; outer blank lines are stripped."""
-    body = F.regexp_replace("value", r"^\s+|\s+$", "")
-    rows = files.where(body != "").select("file_name", F.posexplode(F.split(body, "\n")).alias("line_no", "line"))
-    return rows.withColumn("line", F.regexp_replace("line", r"\r$", ""))
-
-
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row a line.  Files are read whole, as only that keeps the order of lines."""
-    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    return lines_of(files.select(F.col("file_path").alias("file_name"), "value"))
-
-
 def tagged(lines: DataFrame) -> DataFrame:
     """file_name, section, event_idx, line: marker lines open a section, and its lines are numbered from 0."""
-    opens = None
-    for marker, section in SECTIONS.items():
-        test = F.contains(F.col("line"), F.lit(marker))
-        opens = F.when(test, section) if opens is None else opens.when(test, section)
     by_line = Window.partitionBy("file_name").orderBy("line_no")
-    rows = lines.withColumn("opens", opens).withColumn("section", F.last("opens", ignorenulls=True).over(by_line))
+    rows = lines.withColumn("opens", opens(F.col("line"))).withColumn("section", F.last("opens", ignorenulls=True).over(by_line))
     rows = rows.where("opens is null and section is not null")
     at = F.row_number().over(Window.partitionBy("file_name", "section").orderBy("line_no")) - 1
     return rows.select("file_name", "section", at.alias("event_idx"), "line")
@@ -104,12 +88,16 @@ def faulty_files(rows: DataFrame) -> DataFrame:
 
 
 def parse(lines: DataFrame, strict: bool = False) -> Dumps:
-    """Lines (file_name, line_no, line) to tables; ``strict`` raises on the first bad file instead of leaving it out.
+    """Lines (file_name, line_no, line) to tables; ``strict`` raises on the first bad file instead of leaving it out."""
+    return parse_tagged(tagged(lines), strict)
+
+
+def parse_tagged(rows: DataFrame, strict: bool = False) -> Dumps:
+    """Tagged lines (file_name, section, event_idx, line) to tables.
 
     Each table is a plan of its own over the lines, so jobs that need several of
-    them write them first (``plans.datasets.store``) or persist the lines.
+    them stage the lines first (``staged``).
     """
-    rows = tagged(lines)
     wrong = faulty_files(rows)
     if strict and (first := wrong.first()):
         raise ValueError(f"{first.file_name}: {first.reason}")
@@ -119,7 +107,14 @@ def parse(lines: DataFrame, strict: bool = False) -> Dumps:
 
 
 def read_dumps(spark: SparkSession, paths: str | list[str], strict: bool = False) -> Dumps:
-    return parse(read_lines(spark, paths), strict)
+    """The tables of dump files, which are read by splits: a file may have any size."""
+    return parse_tagged(read_tagged(spark, paths), strict)
+
+
+def staged(rows: DataFrame, path: str) -> DataFrame:
+    """Tagged lines written once below ``path``, a folder a section, and read back: a table then reads the lines of its section only."""
+    rows.write.partitionBy("section").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def with_name_ids(events: DataFrame, datasets: DataFrame | None = None) -> DataFrame:

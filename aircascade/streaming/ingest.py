@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..sources.dumps import lines_of, parse
+from ..sources.dumps import parse_tagged
+from ..sources.splits import placed, split_columns, tagged_splits
 
 TABLES = ["events", "hits", "waveforms", "bad_detectors", "quarantine"]
 
@@ -17,12 +17,12 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, glob: st
     number, so a batch that is run again after a failure replaces what it had
     written and nothing comes twice.
     """
-    files = spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).load(source)
-    files = files.select(F.col("_metadata.file_path").alias("file_name"), "value")
+    files = spark.readStream.format("text").option("lineSep", "\n").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).load(source)
+    files = split_columns(files)
 
     def write(batch: DataFrame, number: int) -> None:
-        lines = lines_of(batch).persist()  # five tables come from the same lines
-        tables = parse(lines)
+        lines = tagged_splits(placed(batch)).persist()  # five tables come from the same lines
+        tables = parse_tagged(lines)
         for name in TABLES:
             getattr(tables, name).write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
         lines.unpersist()
