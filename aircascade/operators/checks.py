@@ -44,3 +44,26 @@ def differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list[str],
     most = both.agg(*[F.max(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}"))).alias(c) for c in columns])
     tall = most.unpivot([], columns, "column", "most")
     return tall.withColumn("same", F.coalesce(F.col("most") <= tolerance, F.lit(True)))
+
+
+def faulty_files(events: DataFrame, hits: DataFrame, waveforms: DataFrame, stated: str = "nhits", event: list[str] = EVENT) -> DataFrame:
+    """file_name, n_faulty, first_event, reason of the files in which some event's levels disagree.
+
+    Rules for an event: it stands once, it has as many hits as it states, and its waveforms are as many as
+    its hits' nfold.  The three levels meet in one grouped sum, in which each row is a few counters.
+    """
+    file = event[0]
+    zero = {c: F.lit(0).cast("long") for c in ("e", "stated", "h", "folds", "w")}
+    level = lambda df, **counters: df.select(*event, *[counters.get(c, z).cast("long").alias(c) for c, z in zero.items()])
+    rows = level(events, e=F.lit(1), stated=F.col(stated)).unionByName(level(hits, h=F.lit(1), folds=F.col("nfold"))).unionByName(level(waveforms, w=F.lit(1)))
+    sums = rows.groupBy(*event).agg(*[F.sum(c).alias(c) for c in zero])
+    wrong = F.when(F.col("e") == 0, "rows without an event").when(F.col("e") > 1, "an event twice").when(F.col("h") != F.col("stated"), "other hits than stated").when(F.col("w") != F.col("folds"), "other waveforms than folds")
+    sums = sums.withColumn("reason", wrong).where(F.col("reason").isNotNull())
+    first = F.min(F.struct(*event[1:], "reason")).alias("first")
+    return sums.groupBy(file).agg(F.count("*").alias("n_faulty"), first).select(file, "n_faulty", F.col(f"first.{event[-1]}").alias("first_event"), "first.reason")
+
+
+def without_files(tables: dict[str, DataFrame], wrong: DataFrame, file: str = "file_name") -> dict[str, DataFrame]:
+    """All levels without the files of ``wrong``: a faulty file goes as a whole."""
+    gone = wrong.select(file)
+    return {name: df.join(gone, file, "left_anti") for name, df in tables.items()}

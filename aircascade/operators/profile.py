@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +56,24 @@ def level_counts(events: DataFrame, hits: DataFrame, traces: DataFrame) -> DataF
     n = lambda df, name: df.groupBy("file_name").agg(F.count("*").alias(name))
     out = n(events, "n_events").join(n(hits, "n_hits"), "file_name", "left").join(n(traces, "n_traces"), "file_name", "left")
     return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_hits", "n_traces")})
+
+
+def levels(tables: dict[str, DataFrame], known: dict[str, DataFrame], by: str = "file_name") -> DataFrame:
+    """table, level, matches, n_rows of ``tables`` of unknown level: those of ``known`` that have as many rows in every file.
+
+    A table without rows matches levels without rows.  ``level`` is the only match; null if there is none, or
+    more than one.  Only the file's name is read of each table, and one grouped count of all tables is what is compared.
+    """
+    spark = next(iter([*tables.values(), *known.values()])).sparkSession
+    count = lambda df, name: df.groupBy(F.col(by).alias("_f")).agg(F.count("*").alias("n")).withColumn("name", F.lit(name))
+    all_ = lambda dfs: reduce(DataFrame.unionByName, [count(df, name) for name, df in dfs.items()])
+    mine, theirs = all_(tables), all_(known).withColumnRenamed("name", "level")
+    files = theirs.groupBy("level").agg(F.count("*").alias("level_files"))
+    each = F.explode(F.array(*map(F.lit, known))).alias("level")
+    same = mine.select("name", "_f", "n", each).join(theirs.withColumnRenamed("n", "m"), ["level", "_f"], "left")
+    same = same.groupBy("name", "level").agg(F.count("*").alias("files"), F.count_if(F.col("n") == F.col("m")).alias("equal"), F.sum("n").alias("n_rows"))
+    names = spark.range(1).select(F.explode(F.array(*map(F.lit, tables))).alias("name")).select("name", each)
+    all_pairs = names.join(same, ["name", "level"], "left").join(files, "level", "left").na.fill(0, ["files", "equal", "n_rows", "level_files"])
+    fits = (F.col("equal") == F.col("files")) & (F.col("files") == F.col("level_files"))
+    out = all_pairs.groupBy("name").agg(F.array_sort(F.collect_list(F.when(fits, F.col("level")))).alias("matches"), F.max("n_rows").alias("n_rows"))
+    return out.select(F.col("name").alias("table"), F.when(F.size("matches") == 1, F.get("matches", 0)).alias("level"), F.array_join("matches", ",").alias("matches"), "n_rows")

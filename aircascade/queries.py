@@ -116,9 +116,10 @@ def rounded(df: DataFrame, columns: list[str], digits: int = 9) -> DataFrame:
 # Parsing
 
 
-def dump_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Lines with markers: of each file's orders every 40th opens the next section."""
-    e = events(spark, d).withColumn("line_no", F.row_number().over(Window.partitionBy("file_name").orderBy("event_idx")) - 1)
+def dump_lines(spark: SparkSession, d: str, file_name=None) -> DataFrame:
+    """Lines with markers: of each file's orders every 40th opens the next section.  ``file_name`` deals events to other files."""
+    e = events(spark, d)
+    e = (e if file_name is None else e.withColumn("file_name", file_name)).withColumn("line_no", F.row_number().over(Window.partitionBy("file_name").orderBy("event_idx")) - 1)
     k = F.floor(F.col("line_no") / 40) % 4
     marker = F.when(k == 0, "EVENT DATA").when(k == 1, "SD meta DATA").when(k == 2, "SD waveform DATA").otherwise("badsdinfo")
     return e.select("file_name", "line_no", F.when(F.col("line_no") % 40 == 0, marker).otherwise(F.col("event_idx").cast("string")).alias("line"))
@@ -777,4 +778,4 @@ def waveform_starts(spark, d):
     return rounded(views.waveform_list(e, ["user_id"]).select("event_id", "start_bin", "rel_bin"), ["start_bin", "rel_bin"], 6)
 
 
-from . import queries_whole  # noqa: E402, F401  registers its queries here
+from . import queries_stored, queries_whole  # noqa: E402, F401  register their queries here

@@ -5,12 +5,12 @@ They run on the same stand-in tables as ``queries``, which registers them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import names, physics, shower_depth, traces
 from .operators import hits as H
-from .operators import profile, sampling, tiles, views
+from .operators import sampling, tiles, views
 from .plans import datasets, projections
 from .queries import DETECTORS, EVENTS, HITS, LAYOUT, NAMES, STRATA, TILE, bad, detectors, embeddings, event_lines, events, hits, name_table, query, rounded, sample_rows, table
 from .schema import BINS, EVENT, RAW_HIT
@@ -55,18 +55,19 @@ def dump_roundtrip_waveforms(spark, d):
     return rows.select(*EVENT, "wf_idx", "xxyy", "clkcnt", total.alias("sum_low"), F.get("fadc_up", 127).alias("last_up"))
 
 
-def full_dump(spark: SparkSession, d: str) -> DataFrame:
-    """Dump lines of all events with hits, waveforms and bad detectors, section by section."""
+def full_dump(spark: SparkSession, d: str, dump: Column | None = None) -> DataFrame:
+    """Dump lines of all events with hits, waveforms and bad detectors, section by section; ``dump`` deals events to other files than their own."""
     key = events(spark, d).select(*EVENT)
     hit = _lines(folded_hits(spark, d), "hit_idx", F.array(*[F.col(c).cast("double") for c in RAW_HIT]))
     b = _lines(bad(spark, d).withColumn("k", F.col("xxyy")), "k", F.array(F.col("xxyy"), F.lit(1)))
-    by_file = Window.partitionBy("file_name")
-    key = key.withColumns({"_k": F.row_number().over(by_file.orderBy("event_idx")), "_n": F.count("*").over(by_file) + 1})
+    key = key.withColumn("_file", F.col("file_name") if dump is None else dump)
+    by_file = Window.partitionBy("_file")
+    key = key.withColumns({"_k": F.row_number().over(by_file.orderBy(*EVENT)), "_n": F.count("*").over(by_file) + 1})
     out = None
     for section, (marker, lines) in enumerate((("EVENT DATA", event_lines(spark, d)), ("SD meta DATA", hit), ("SD waveform DATA", waveform_lines(spark, d)), ("badsdinfo", b))):
         rows = key.join(lines, EVENT, "left").withColumn("line", F.coalesce("line", F.lit("")))
-        body = rows.select("file_name", (F.col("_k") + section * F.col("_n")).alias("line_no"), "line")
-        head = key.groupBy("file_name").agg(F.max("_n").alias("n")).select("file_name", (section * F.col("n")).alias("line_no"), F.lit(marker).alias("line"))
+        body = rows.select(F.col("_file").alias("file_name"), (F.col("_k") + section * F.col("_n")).alias("line_no"), "line")
+        head = key.groupBy("_file").agg(F.max("_n").alias("n")).select(F.col("_file").alias("file_name"), (section * F.col("n")).alias("line_no"), F.lit(marker).alias("line"))
         both = body.unionByName(head)
         out = both if out is None else out.unionByName(both)
     return out
@@ -309,12 +310,3 @@ def display_geometry(spark, d):
         F.get(traces.log_trace(F.array(x)), 0).alias("log_x"), (y * physics.TIME_TO_DISTANCE).alias("distance"),
     )
     return rounded(out, ["ux", "uy", "px", "py", "at", "toy", "log_x", "distance"])
-
-
-@query("""SELECT 'events' AS "table", c AS "column", t AS type FROM (VALUES ('event_idx', 'bigint'), ('price', 'double')) v(c, t), (SELECT count(*) AS n FROM orders) o WHERE n > 0
-UNION ALL SELECT 'hits', c, t FROM (VALUES ('hit_idx', 'int'), ('xxyy', 'int')) v(c, t), (SELECT count(*) AS n FROM lineitem) o WHERE n > 0""")
-def field_levels(spark, d):
-    """The level and type of each field, of levels that have rows."""
-    levels = {"events": events(spark, d).select("event_idx", "price"), "hits": hits(spark, d).select("hit_idx", "xxyy")}
-    filled = {name: df for name, df in levels.items() if not df.isEmpty()}
-    return profile.listing(filled).select("table", "column", "type")

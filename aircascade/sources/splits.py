@@ -51,7 +51,7 @@ def split_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return placed(split_columns(spark.read.option("lineSep", "\n").text(paths)))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """A small table, written, so that Spark knows its size when it plans the joins."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -64,7 +64,7 @@ def summed_splits(lines: DataFrame) -> DataFrame:
     mark = opens(F.col("line"))
     per = lines.withColumn("mark", F.when(mark.isNotNull(), F.struct("pos", mark.alias("section"))))
     per = per.groupBy(*SPLIT).agg(F.min("pos").alias("first"), F.count("*").alias("n"), F.max(F.when(text, F.col("pos"))).alias("last"), F.array_sort(F.collect_list("mark")).alias("marks"))
-    per = _written(per, "splits")
+    per = written(per, "splits")
     w = Window.partitionBy("file_name").orderBy("block")
     before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     per = per.withColumn("before", before)
@@ -99,8 +99,8 @@ def tagged_splits(lines: DataFrame) -> DataFrame:
 
     Runs the first pass at once.
     """
-    splits = _written(summed_splits(lines), "splits")
-    found = _written(runs(splits), "runs")
+    splits = written(summed_splits(lines), "splits")
+    found = written(runs(splits), "runs")
     rows = numbered(lines, splits).where(opens(F.col("line")).isNull()).join(found, "file_name")
     run = F.try_element_at(F.filter("runs", lambda r: r["at"] < F.col("line_no")), F.lit(-1))
     rows = rows.withColumn("run", run).where(F.col("run").isNotNull())

@@ -3,8 +3,9 @@
 import random
 
 import pytest
-from aircascade.sources import dumps, splits, storage
-from aircascade.plans import datasets
+from aircascade.operators import checks, profile
+from aircascade.plans import datasets, jobs
+from aircascade.sources import dumps, index, splits, storage
 from pyspark.sql import functions as F
 
 from .dump_fixture import plain_events, text_of
@@ -123,3 +124,71 @@ def test_export_of_both_kinds(spark, tmp_path):
     assert n["events"] == 5 and n["traces"] > 0
     t = datasets.export(spark, [str(tmp_path / "in")], str(tmp_path / "t"), det, datasets.TileOptions(ntile=3))
     assert 0 < t["tiles"] <= 5 and storage.read_audited(spark, str(tmp_path / "t" / "tiles")).count() == t["tiles"]
+
+
+def group_rows(spark, files):
+    return spark.createDataFrame([(f, i, i * 1.0) for f in files for i in range(3)], "file_name string, event_idx int, x double")
+
+
+def group_plan(spark, groups):
+    return spark.createDataFrame(list(groups.items()), "output string, inputs array<string>")
+
+
+def test_passes_write_only_what_changed(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows, groups = group_rows(spark, "abcdef"), {"one": ["a", "b"], "two": ["c"], "three": ["d", "e"], "none": ["zz"]}
+    count = lambda: {r.output: r.n for r in jobs.outputs_of(spark, out).groupBy("output").agg(F.count("*").alias("n")).collect()}
+    assert jobs.run_pass(rows, group_plan(spark, groups), out, file_rows=2) == 4
+    assert count() == {"one": 6, "two": 3, "three": 6}
+    assert max(spark.read.parquet(str(p)).count() for p in (tmp_path / "out" / "rows").rglob("*.parquet")) <= 2
+    assert jobs.run_pass(rows, group_plan(spark, groups | {"one": ["b", "a"]}), out) == 0  # the order of inputs doesn't count
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out" / "rows").rglob("*.parquet")}
+    assert jobs.run_pass(rows, group_plan(spark, groups | {"two": ["c", "f"], "three": ["zz"]}), out) == 2
+    assert count() == {"one": 6, "two": 6}  # an output whose inputs hold nothing is empty, not its old self
+    assert all(p.exists() and p.stat().st_mtime_ns == t for p, t in before.items() if "output=one" in str(p))
+
+
+def test_a_run_that_failed_before_its_commit_counts_for_nothing(spark, tmp_path):
+    out, rows = str(tmp_path / "out"), group_rows(spark, "ab")
+    jobs.run_pass(rows, group_plan(spark, {"one": ["a"]}), out)
+    torn = jobs.versioned(group_plan(spark, {"one": ["a", "b"]})).first().version
+    rows.withColumns({"output": F.lit("one"), "version": F.lit(torn)}).limit(1).write.mode("append").partitionBy("output", "version").parquet(f"{out}/rows")
+    assert jobs.outputs_of(spark, out).count() == 3
+    assert jobs.run_pass(rows, group_plan(spark, {"one": ["a", "b"]}), out) == 1 and jobs.outputs_of(spark, out).count() == 6
+
+
+def test_slices_open_the_files_they_need(spark, tmp_path):
+    path, by = str(tmp_path / "t"), ["file_name", "event_idx"]
+    rows = spark.range(1000).select(F.concat(F.lit("f"), F.col("id") % 7).alias("file_name"), F.col("id").alias("event_idx"))
+    assert [index.append_ordered(rows.where(F.col("event_idx") % 2 == k), path, by, 8) for k in range(2)] == [0, 1]
+    want = sorted((int(r.event_idx % 2), r.file_name, r.event_idx) for r in rows.collect())
+    some = index.sliced_rows(spark, path, by, 490, 620)
+    assert sorted((r.gidx, r.file_name, r.event_idx) for r in some.collect()) == [(i, *want[i][1:]) for i in range(490, 620)]
+    assert len(some.inputFiles()) < index.index_of(spark, path).count() / 2
+    assert index.sliced_rows(spark, path, by, 5, 5).count() == index.sliced_rows(spark, path, by, 2000, 3000).count() == 0
+    for bad in ((0, 5, 2), (-1, 5, 1), (5, 4, 1)):
+        with pytest.raises(ValueError):
+            index.sliced_rows(spark, path, by, *bad)
+    # An append whose index was not written is not read, and is written over.
+    spark.range(5).select(F.lit("x").alias("file_name"), F.col("id").alias("event_idx")).write.parquet(f"{path}/data/chunk=2")
+    assert index.sliced_rows(spark, path, by, 0, 9999).count() == 1000
+    assert index.append_ordered(rows.limit(3), path, by, 2) == 2 and index.sliced_rows(spark, path, by, 0, 9999).count() == 1003
+
+
+def test_levels_of_tables(spark):
+    rows = lambda **n: spark.createDataFrame([(f, 0) for f, k in n.items() for _ in range(k)], "file_name string, x int")
+    known = {"event": rows(a=2, b=1), "hit": rows(a=5, b=4), "trace": rows(a=5, b=4), "none": rows()}
+    got = {r.table: (r.level, r.matches, r.n_rows) for r in profile.levels({"e": rows(a=2, b=1), "both": rows(a=5, b=4), "part": rows(a=2), "more": rows(a=2, b=1, c=1), "empty": rows()}, known).collect()}
+    assert got == {"e": ("event", "event", 3), "both": (None, "hit,trace", 9), "part": (None, "", 2), "more": (None, "", 4), "empty": ("none", "none", 0)}
+
+
+def test_faulty_files_go_as_a_whole(spark):
+    e = spark.createDataFrame([(f, k, 2) for f in "abcdefg" for k in range(3)] + [("g", 1, 2)], "file_name string, event_idx int, nhits int")
+    h = spark.createDataFrame([(f, k, i, 1) for f in "abcdefg" for k in range(3) for i in range(2) if (f, k, i) != ("b", 1, 0)] + [("c", 9, 0, 1)], "file_name string, event_idx int, hit_idx int, nfold int")
+    w = spark.createDataFrame([(f, k, i) for f in "abcdefg" for k in range(3) for i in range(2) if f != "d"] + [("e", 2, 2)], "file_name string, event_idx int, wf_idx int")
+    wrong = checks.faulty_files(e, h, w)
+    got = {r.file_name: (r.n_faulty, r.first_event, r.reason) for r in wrong.collect()}
+    assert got == {"b": (1, 1, "other hits than stated"), "c": (1, 9, "rows without an event"), "d": (3, 0, "other waveforms than folds"), "e": (1, 2, "other waveforms than folds"), "g": (1, 1, "an event twice")}
+    kept = checks.without_files({"events": e, "hits": h, "waveforms": w}, wrong)
+    assert {n: {r.file_name for r in df.collect()} for n, df in kept.items()} == {n: {"a", "f"} for n in kept}
+    assert checks.faulty_files(e.limit(0), h.limit(0), w.limit(0)).count() == 0
