@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import EVENT
@@ -77,40 +74,27 @@ def greedy_match(hits: DataFrame, waveforms: DataFrame, event: list[str] = EVENT
 
     Gives the matched waveforms, numbered anew as ``wf_idx`` with their old number
     as ``raw_wf_idx``, and the events in which some hit stays without its waveforms.
-    Only ids are walked, in arrays of one event; traces meet them by a join.
+    Waveforms move once: an event's are walked where they meet its hits, as arrays.
     """
-    expected = F.array_sort(F.collect_list(F.struct("hit_idx", "xxyy", "nfold")))
-    flat = F.flatten(F.transform(expected, lambda h: F.when(h["nfold"] > 0, F.array_repeat(h["xxyy"], h["nfold"])).otherwise(F.array().cast("array<int>"))))
+    ordered = F.array_sort(F.collect_list(F.struct("hit_idx", "xxyy", "nfold")))
+    flat = F.flatten(F.transform(ordered, lambda h: F.when(h["nfold"] > 0, F.array_repeat(h["xxyy"], h["nfold"])).otherwise(F.array().cast("array<int>"))))
     exp = hits.select(*event, "hit_idx", F.col("xxyy").cast("int").alias("xxyy"), "nfold").groupBy(*event).agg(flat.alias("exp"))
-    found = F.array_sort(F.collect_list(F.struct(F.col("wf_idx").cast("int").alias("wf_idx"), F.col("xxyy").cast("int").alias("xxyy"))))
-    act = waveforms.groupBy(*event).agg(found.alias("act"))
-    both = exp.join(act, event, "left").select(*event, "exp", F.col("act.wf_idx").alias("wf"), F.col("act.xxyy").alias("ids"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both.select(*event).schema)
-    walked = both.mapInArrow(_walked(event), f"{kinds}, expected int, hit array<int>")
-    broken = walked.where(F.col("expected") != F.size("hit")).select(*event, "expected", F.size("hit").alias("matched"))
-    places = walked.where(F.col("expected") == F.size("hit")).select(*event, F.posexplode("hit").alias("wf_idx", "raw_wf_idx"))
-    return places.join(waveforms.withColumnRenamed("wf_idx", "raw_wf_idx"), [*event, "raw_wf_idx"]), broken
-
-
-def _walked(event: list[str]):
-    """For each event the waveforms that its hits take, in one walk over both lists: an array per row in, one out."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sizes, taken = [], []
-            for exp, wf, ids in zip(*(b.column(c).to_pylist() for c in ("exp", "wf", "ids"))):
-                hit, i, n = [], 0, len(exp)
-                for w, x in zip(wf or (), ids or ()):
-                    if i == n:
-                        break
-                    if exp[i] == x:
-                        hit.append(w)
-                        i += 1
-                sizes.append(n)
-                taken.append(hit)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in event), pa.array(sizes, pa.int32()), pa.array(taken, pa.list_(pa.int32()))], [*event, "expected", "hit"])
-
-    return run
+    rest = [c for c in waveforms.columns if c not in (*event, "wf_idx")]
+    act = waveforms.groupBy(*event).agg(F.array_sort(F.collect_list(F.struct(F.col("wf_idx").alias("raw_wf_idx"), *rest))).alias("act"))
+    ids = F.transform("act", lambda w: w["xxyy"].cast("int"))
+    both = exp.join(act, event, "left").withColumn("taken", _walked(F.col("exp"), ids))
+    whole = F.size("taken") == F.size("exp")
+    broken = both.where(~whole).select(*event, F.size("exp").alias("expected"), F.size("taken").alias("matched"))
+    found = both.where(whole).select(*event, F.posexplode(F.transform("taken", lambda i: F.get("act", i))).alias("wf_idx", "w"))
+    return found.select(*event, "w.raw_wf_idx", "wf_idx", *[F.col(f"w.{c}").alias(c) for c in rest]), broken
+
+
+def _walked(exp: Column, ids: Column) -> Column:
+    """The places in ``ids`` that a walk over it takes: each that is what ``exp`` waits for.  Lists that agree are taken as they are."""
+    ids = F.coalesce(ids, F.array().cast("array<int>"))
+    place = F.transform(ids, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    step = lambda taken, p: F.when(F.get(exp, F.size(taken)) == p["x"], F.concat(taken, F.array(p["i"]))).otherwise(taken)
+    return F.when(exp == ids, F.transform(ids, lambda x, i: i)).otherwise(F.aggregate(place, F.array().cast("array<int>"), step))
 
 
 def relative_arrival(hits: DataFrame, event: list[str] = EVENT) -> DataFrame:

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from .functions import traces
 from .operators import checks, profile
-from .plans import jobs
-from .queries import EVENTS, FOLDS, HITS, TRACES, dump_lines, embeddings, events, hits, query, waveforms
+from .plans import datasets, jobs, projections
+from .queries import DETECTORS, EVENTS, FOLDS, HITS, LAYOUT, NAMES, TILE, TRACES, bad, detectors, dump_lines, embeddings, event_lines, events, hits, name_table, query, waveforms
 from .queries_whole import FOLDED, full_dump
 from .schema import EVENT
-from .sources import dumps, index, splits, storage, tables
+from .sources import dumps, files, index, splits, storage, tables
 
 # Dumps by splits
 
@@ -159,3 +159,48 @@ def file_quarantine(spark, d):
         n = n.agg(F.sum("kept").alias("kept"), (F.sum("n") - F.sum("kept")).alias("dropped")).select(F.lit(name).alias("level"), "kept", "dropped")
         out = n if out is None else out.unionByName(n)
     return out
+
+
+# Hooks and readers
+
+
+def named_files(spark: SparkSession, d: str) -> str:
+    """A file with the keys of all names of one kind and energy bin, below folders of runs; gives the folder."""
+    path = tables.work_path(spark, "manifest")
+    n = name_table(spark, d).select(F.col("key").cast("string").alias("value"), F.regexp_extract("path", "/data/(run[0-9])/", 1).alias("run"), F.regexp_replace("name", "^(DAT)[0-9]{4}|(_pass2)_.*|[.]dst$", "$1$2").alias("name"))
+    n.repartition("run", "name").write.partitionBy("run", "name").text(path)
+    return path
+
+
+@query(f"""WITH {NAMES} SELECT 'run=run' || (key % 5) || '/name=DAT' || substr(name, 8, 2) || '_gea' AS dir, count(*) AS n FROM paths WHERE name LIKE 'DAT%' AND CAST(substr(name, 8, 2) AS INTEGER) < 30 GROUP BY ALL""")
+def manifest_hook(spark, d):
+    """Files found below two lists of folders by globs, each once, and filtered by a hook."""
+    path = named_files(spark, d)
+    keep = lambda f: f.where(F.regexp_extract("dir", "name=DAT([0-9]{2})_", 1).try_cast("int") < 30)
+    found = files.manifest(spark, [path, f"{path}/run=run0"], "*.txt, part-*", keep)
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"))
+    said = rows.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.lit(1).alias("line")).join(found.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "dir"), "path")
+    return said.groupBy(F.regexp_extract("dir", "(run=[^/]+/name=[^/]+)$", 1).alias("dir")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {DETECTORS} SELECT * FROM detectors")
+def detector_catalogue(spark, d):
+    """A catalogue written as CSV and as Parquet reads back the same."""
+    path = tables.work_path(spark, "catalogue")
+    rows = detectors(spark, d)
+    rows.coalesce(1).write.option("header", True).csv(f"{path}/a.csv")
+    rows.write.parquet(f"{path}/b")
+    both = tables.read_detectors(spark, f"{path}/a.csv").unionByName(tables.read_detectors(spark, f"{path}/b"))
+    return both.groupBy(*both.columns).agg(F.count("*").alias("n")).where("n = 2").drop("n")
+
+
+@query(f"""WITH {EVENTS}, {HITS}, {DETECTORS}, {TILE}, c AS (SELECT event_idx, CAST(count(*) FILTER (WHERE exists_ AND good) AS INTEGER) AS n_states FROM geo GROUP BY event_idx)
+SELECT e.file_name, e.event_idx, price + 1 AS energy, n_states, CAST(cust % 5 AS BIGINT) AS id_data_set, CAST(0 AS INTEGER) AS n_optional FROM events e JOIN c ON e.event_idx = c.event_idx""")
+def tile_hooks(spark, d):
+    """A tile dataset with one set of options: no optional fits, no traces, and ids added by a hook."""
+    sets = events(spark, d).select(*EVENT, (F.col("cust") % 5).alias("id_data_set"))
+    options = datasets.TileOptions(ntile=3, traces=False, layout=LAYOUT, events=projections.EventOptions(combined_fit=False, fixed_curvature_fit=False), add_ids=lambda t: t.join(sets, EVENT, "left"))
+    parsed = dumps.Dumps(dumps.event_rows(event_lines(spark, d)), hits(spark, d), waveforms(spark, d), bad(spark, d), events(spark, d))
+    out = datasets.tile_dataset(parsed, detectors(spark, d), options)
+    n = sum("combined" in c or "fixed_curve" in c for c in out.columns)
+    return out.select(*EVENT, "energy", F.size(F.filter(F.flatten("detector_states"), lambda x: x)).alias("n_states"), "id_data_set", F.lit(n).alias("n_optional"))
