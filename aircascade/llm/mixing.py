@@ -58,7 +58,7 @@ def thresholds(rows: DataFrame) -> DataFrame:
     t = targets(rows)
     t = t.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     t = stored(t.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")), "mix-targets")
-    edge, rows_left = t.select("source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"), "rest"), rows
+    edge, rows_left = t.select("source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"), "rest").where("rest > 0"), rows  # whole passes have no boundary
     for shift in range(BITS - STEP, -1, -STEP):
         e = edge.select(F.col("source").alias("_s"), F.col("prefix").alias("_p"), "before", "rest")
         hit = F.col("source").eqNullSafe(F.col("_s"))

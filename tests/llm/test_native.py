@@ -78,6 +78,14 @@ def test_mix_null_and_repeated_ids_and_empty(spark):
     assert mixing.repeated(documents(spark, [])).count() == 0
 
 
+def test_empty_texts_keep_the_cap(spark):
+    """A source that is wanted three times in whole gives each of its documents three times, those of size 0 too."""
+    rows = [(i, ["", None, "w"][i % 3], "small") for i in range(60)] + [(100 + i, "w " * 500, "large") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    n = Counter(r.doc_id for r in mixing.repeated(docs).collect())
+    assert max(n.values()) <= 3 and {n[i] for i in range(60)} == {3}
+
+
 def test_near_duplicates_and_chats_equal_sql(spark):
     docs = documents(spark)
     assert sorted((tuple(r) for r in minhash.near_duplicates(docs).collect()), key=repr) == in_duckdb(docs, minhash.SQL)
