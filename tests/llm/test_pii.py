@@ -1,10 +1,14 @@
 import ipaddress
+import re
+import unicodedata
 from itertools import product
 
 import corpus_pipeline
 import pytest
 from aircascade.llm import pii, queries
 
+from aircascade.llm.common import table
+
 from .helpers import documents
 
 KEY = b"k" * 32
@@ -109,14 +113,94 @@ def test_shared_surrogates_fail_the_query_and_the_pipeline(spark, tmp_path, monk
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     rows = queries.op8_pii_surrogates(spark, str(tmp_path)).collect()
     assert sorted(map(repr, rows)) == sorted(map(repr, pii.with_surrogates(docs.select("doc_id", "text")).collect()))
+    assert [r.n_email for r in sorted(rows, key=lambda r: r.doc_id)] == [2, 0, 0, 0, 0, 0, 0, 0]
     pairs = [("name", 1, 2, 7, 8), ("name", 1, 2, 7, 8), ("ip", 1, 2, 7, 8), ("name", 1, 3, 7, 9)]
     schema = "type string, e1 long, e2 long, s1 long, s2 long"
-    monkeypatch.setattr(pii, "_pairs", lambda docs, key: spark.createDataFrame(pairs, schema))
+    monkeypatch.setattr(pii, "_pairs", lambda *_: spark.createDataFrame(pairs, schema))
     assert pii.collisions(docs).count() == 0
-    for other in (("name", 1, 3, 7, 8), ("name", 0, 2, 7, 8)):
+    for other in (("name", 1, 3, 7, 8), ("name", 0, 2, 7, 8), ("name", 5, 6, 5, 6)):
         bad = [*pairs, other]
-        monkeypatch.setattr(pii, "_pairs", lambda docs, key: spark.createDataFrame(bad, schema))  # noqa: B023
+        monkeypatch.setattr(pii, "_pairs", lambda *_: spark.createDataFrame(bad, schema))  # noqa: B023
         with pytest.raises(ValueError, match="1 of type name"):
             queries.op8_pii_surrogates(spark, str(tmp_path))
         with pytest.raises(ValueError, match="1 of type name"):
             corpus_pipeline.replace_personal_data(spark, docs, "")
+
+
+def test_every_letter_and_number_turns_within_its_script():
+    letters = [c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] in "LN"]
+    low = sorted({pii._lower(c) for c in letters if ord(c) < 0x3400 or ord(c) % 61 == 0})
+    rows = {c: pii._row(c) for c in low}
+    assert all(len(rows[c]) > 1 and c in rows[c] for c in low)
+    assert all(pii._row(x) == rows[c] for c in low if c.isalpha() for x in rows[c][:3])  # rows are classes: all members name the same
+    known = ("LATIN", "CYRILLIC", "GREEK", "ARMENIAN", "HEBREW", "ARABIC", "CJK", "HANGUL", "DEVANAGARI", "GEORGIAN")
+    strays = [c for c in low if unicodedata.name(c, "").split(" ")[0] in known and len({unicodedata.name(x, "?").split(" ")[0] for x in rows[c]}) > 1]
+    assert len(strays) < 60  # those without another of their class in their block
+    for step in range(0, len(letters), 997):
+        for kind, entity in (("name", letters[step]), ("email", letters[step] + "@mail.example.com")):
+            new = pii.surrogate(kind, entity, KEY)
+            assert pii.canonical(kind, new) != pii.canonical(kind, entity) and len(new) == len(entity)
+
+
+def test_names_of_all_scripts_and_their_mentions():
+    for name in ("Արմեն Պետրոսյան", "Ž", "Željko Šć", "Łukasz Žižka", "王伟", "राज कुमार", "שרה לוי", "ΣΟΦΙΑ Παππάς"):
+        new, said = pii.replaced(f"Mr. {name}", KEY)
+        assert len(said) == len(name.split()) and not set(name.split()) & set(new.split())
+    new, said = pii.replaced("Dr. Who met Peter Smith. Smith's dog left. Ms. May Smith in may or May.", KEY)
+    by = {old: s for _, old, s in said}
+    assert "Smith" not in new and "Peter" not in new and by["Peter"] in pii.MALE and new.count(by["Smith"]) == 3 and f"{by['Smith']}'s dog" in new
+    assert new.endswith("in may or May.")
+
+
+def test_hosts_numbers_and_keys():
+    said = lambda text: pii.replaced(text, KEY)[1]
+    host = lambda text: said(text)[0][2].partition("@")[2]
+    assert host("bob@mail.acmecorp.com").endswith("." + host("bob@acmecorp.com")) and "acmecorp" not in host("bob@mail.acmecorp.com")
+    assert host("bob@acme.co.uk").endswith(".co.uk") and host("bob@co.uk") == "co.uk" and host("bob@a.example.com").endswith(".example.com")
+    short = {f"{a}{b}.uk" for a in "abcdegmnoru" for b in "abcdegmnoru"} | {f"a.{x}.uk" for x in sorted(pii.SECOND_LEVEL)}
+    new = {h: host(f"x@{h}") for h in short}
+    assert len(set(new.values())) == len(short)
+    for text in ("DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819"):
+        ((kind, old, iban),) = said(f"to {text}.")
+        bare = iban.replace(" ", "")
+        assert (kind, old) == ("iban", text) and iban != text and iban[:2] == text[:2] and pii._mod97(bare[4:] + bare[:4]) == 1
+    assert said("DE88 3704 0044 0532 0130 01") == [] or said("DE88 3704 0044 0532 0130 01")[0][0] != "iban"
+    ((kind, _, ip),) = said("at 2001:db8::8a2e:370:7334, 12:30:45")
+    assert kind == "ip" and ipaddress.IPv6Address(ip) and pii.canonical("ip", "2001:0db8:0:0:0:8a2e:370:7334") == "2001:db8::8a2e:370:7334"
+    for phone in ("+44 20 7946 0958", "07700 900123", "+49 (0)30 123456", "+14155552671"):
+        ((kind, old, new),) = said(f"call {phone}.")
+        assert (kind, old) == ("phone", phone) and new != phone and re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", phone)
+    for before, key, after in (("AKIA", "IOSFODNN7EXAMPLE", ""), ("ghp_", "abcdefghijklmnopqrstuvwxyz0123456789", " x"), ("-----BEGIN RSA PRIVATE KEY-----", "\nMIIEow==\n", "-----END RSA PRIVATE KEY-----")):
+        ((kind, old, new),) = said(before + key + after)
+        assert (kind, old) == ("secret", key) and new != key and len(new) == len(key)
+    assert said("password: ************ ok") == [] and said("plain words, 2024-05-06 12:00:01, 3.14") == []
+
+
+def test_documents_against_plain_patterns(spark):
+    """Brute force: of all that plain patterns find in the given documents nothing is left, and all else is as it was."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    out = {r.doc_id: r.text for r in queries.op8_pii_surrogates(spark, sf_dir).collect()}
+    said = {r.doc_id: r.mentions for r in pii.with_surrogates(docs, mentions=True).collect()}
+    plain = [r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+", r"\b\d{3}-\d{2}-\d{4}\b", r"\+\d \(\d{3}\) \d{3}-\d{4}", r"\b[0-9a-f]{40}\b", r"\b(?:\d{1,3}\.){3}\d{1,3}\b(?!\.\d)"]
+    seen = 0
+    for i, text in before.items():
+        new, rest, at = [], text or "", 0
+        for m in said[i]:
+            k = rest.index(m.entity, at)
+            new += [rest[at:k], m.surrogate]
+            at = k + len(m.entity)
+        assert (out[i] or "") == "".join(new) + rest[at:]
+        for pattern in plain:
+            for x in re.findall(pattern, text or ""):
+                seen += 1
+                assert x not in out[i]
+    assert seen > 50
+
+
+def test_null_and_repeated_ids(spark):
+    docs = documents(spark, ["a@b.com", "a@b.com", None, "c@b.com"], [None, 3, 3, 3])
+    rows = pii.checked_surrogates(docs).collect()
+    assert sorted((r.doc_id is None, r.n_email) for r in rows) == [(False, 0), (False, 1), (False, 1), (True, 1)]
+    assert len({r.text for r in rows if r.text}) == 2
