@@ -5,26 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges that the rows are dealt to.
+#: Ranges that the rows are dealt to, at least.
 RANGES = 64
+#: Rows a range on average, at most; a table of more than RANGES times as many gets more ranges.
+ROWS = 1_000_000
 
 
-def _range_of(rows: DataFrame, by: str) -> Column:
-    """The range of a value of ``by``: how many of up to RANGES - 1 cuts, values picked by their hash, are no larger.  Nulls come first."""
-    cuts = [r[0] for r in rows.select(by).where(F.col(by).isNotNull()).orderBy(F.xxhash64(by), by).limit(RANGES - 1).collect()]
+def _range_of(rows: DataFrame, by: str, size: int) -> Column:
+    """The range of a value of ``by``: how many cuts, values picked by their hash, are no larger.  Nulls come first.
+
+    One cut for ``size`` rows, or RANGES - 1, is what the driver holds.
+    """
+    keys = rows.select(by).where(F.col(by).isNotNull())
+    cuts = [r[0] for r in keys.orderBy(F.xxhash64(by), by).limit(max(RANGES, -(-rows.count() // size)) - 1).collect()]
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(by))) if cuts else F.lit(0)
 
 
-def in_order(rows: DataFrame, by: str, place: str, total: str | None = None, before: dict[str, str] | None = None) -> DataFrame:
+def in_order(rows: DataFrame, by: str, place: str, total: str | None = None, before: dict[str, str] | None = None, size: int = ROWS) -> DataFrame:
     """Add ``place``, a row's number from 0 in the order of ``by``.
 
     ``total`` names a column for the number of all rows; ``before`` maps new columns
     to those whose running total in front of a row they hold.  Windows run within a
-    range; what meets in one task, and is broadcast, is one row of sums a range.
+    range, and ranges hold about ``size`` rows however many there are; what meets in
+    one task, and is broadcast, is one row of sums a range.
     The order of rows with equal ``by`` is open.
     """
     before = before or {}
-    rows = rows.withColumn("_range", _range_of(rows, by))
+    rows = rows.withColumn("_range", _range_of(rows, by, size))
     sums = rows.groupBy("_range").agg(F.count("*").alias("_n"), *[F.sum(c).alias(f"_sum_{name}") for name, c in before.items()])
     ahead, all_ = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(1))
     so_far = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))

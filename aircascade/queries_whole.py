@@ -150,6 +150,46 @@ def event_projection(spark, d):
     )
 
 
+def _projection_sql() -> str:
+    """Every value of every event column in metres; an event line holds price + i at place i."""
+    out = {"mass_number": "CAST(floor(price / 100) AS INTEGER)", "energy": "price + 1"}
+    out |= {f"shower_core_{k}": f"round((price + {4 + k}) * 0.01, 9)" for k in range(3)}
+    s = "std_recon_"
+    whole = {"yymmdd": (7, "BIGINT"), "hhmmss": (8, "BIGINT"), "usec": (11, "BIGINT"), "nofwf": (10, "INTEGER"), "nsd": (9, "INTEGER"), "nsclust": (57, "INTEGER"), "nhits": (56, "INTEGER")}
+    out |= {s + name: f"CAST(trunc(price + {i}) AS {kind})" for name, (i, kind) in whole.items()}
+    plain = {
+        "nborder": 58, "energy": 12, "ldf_scale": 13, "ldf_scale_err": 14, "ldf_chi2": 15, "ldf_ndof": 16, "s800": 21, "geom_chi2": 36, "geom_ndof": 37, "curvature": 40, "curvature_err": 41,
+        "border_distance": 30, "border_distance_tshape": 31, "geom_chi2_fixed_curve": 26, "geom_ndof_fixed_curve": 27, "combined_energy": 42, "combined_scale": 43, "combined_scale_err": 44,
+        "combined_chi2": 45, "combined_ndof": 46, "combined_s800": 51, "qtot_0": 59, "qtot_1": 60,
+    }
+    out |= {s + name: f"price + {i}" for name, i in plain.items()}
+    for fit, i in {"": 17, "combined_": 47}.items():  # x, its error, y, its error
+        for k, origin in enumerate((12.2435, 16.4406)):
+            out |= {f"{s}{fit}shower_core_{k}": f"1200.0 * (price + {i + 2 * k} - {origin})", f"{s}{fit}shower_core_err_{k}": f"1200.0 * (price + {i + 2 * k + 1})"}
+    axes = {"": (2, False), "_": (32, True), "_fixed_curve": (22, True), "_combined": (52, True)}
+    for end, (i, fitted) in axes.items():
+        name = f"{s}shower_axis{end.rstrip('_')}" if fitted else "shower_axis"
+        t, a = (f"radians(price + {i} + 0.5)", f"radians(price + {i + 1})") if fitted else (f"(price + {i})", f"(price + {i + 1})")
+        parts = [f"sin({t}) * cos({a} + pi())", f"sin({t}) * sin({a} + pi())", f"cos({t})"]
+        out |= {f"{name}_{k}": f"CASE WHEN abs({x}) < 5e-7 THEN 0 ELSE round({x}, 6) END" for k, x in enumerate(parts)}  # no -0
+        if fitted:
+            sin = f"sin(radians(price + {i}))"
+            out[f"{s}shower_axis_err{end.rstrip('_')}"] = f"round(sqrt((price + {i + 2}) * (price + {i + 2}) + {sin} * {sin} * (price + {i + 3}) * (price + {i + 3})), 5)"
+    return ", ".join(f"{x} AS {name}" for name, x in out.items())
+
+
+@query(f"WITH {EVENTS} SELECT file_name, event_idx, {_projection_sql()}, CAST(25 AS INTEGER) AS n_array_values FROM events")
+def event_projection_full(spark, d):
+    """Every column that an event projection puts out, arrays by their values."""
+    e = projections.event_columns(dumps.event_rows(event_lines(spark, d)))
+    lists = [c for c, kind in e.dtypes if kind.startswith("array")]
+    digits = lambda c: 6 if "axis" in c else 9 if c == "shower_core" else None
+    value = lambda x, n: F.when(F.abs(x) < 0.5 * 10.0**-n, 0.0).otherwise(F.round(x, n)) if n else x
+    out = [value(F.col(c), 5 if "axis_err" in c else None).alias(c) for c in e.columns if c not in EVENT and c not in lists]
+    out += [value(F.get(c, k), digits(c)).alias(f"{c}_{k}") for c in lists for k in range(3 if digits(c) else 2)]
+    return e.select(*EVENT, *out, sum((F.size(c) for c in lists), F.lit(0)).alias("n_array_values"))
+
+
 @query(f"WITH {EVENTS} SELECT file_name, event_idx, price + 4 AS core_x, price + 17 - 12.2435 AS recon_x, price + 18 AS recon_dx, CAST(0 AS INTEGER) AS n_optional FROM events")
 def event_projection_units(spark, d):
     """Event columns of variable-length datasets: counter units, and no optional fits."""

@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
@@ -53,7 +54,12 @@ def first_depths(depths: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None, mode: str = "errorifexists", floats: bool = False, skip: list[str] | None = None) -> int:
-    """Write a Parquet table and count it back; doubles become floats with ``floats``, columns of ``skip`` are left out."""
+    """Write a Parquet table and count it back; doubles become floats with ``floats``, columns of ``skip`` are left out.
+
+    An error, if the table then holds another number of rows than the write put out
+    (with ``append``: than it held before and the write put out).  Mode ``ignore``
+    may write nothing and isn't compared.
+    """
     df = df.drop(*(skip or []))
     if floats:
         df = as_floats(df)
@@ -61,9 +67,24 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         df = df.repartition(*partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
-    w = df.write.mode(mode)
+    before, put = _rows_at(df.sparkSession, path) if mode == "append" else 0, Observation()
+    # Counted in the last stage of the write, so a task that runs again isn't counted twice.
+    w = df.observe(put, F.count(F.lit(1)).alias("n")).write.mode(mode)
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    have = df.sparkSession.read.parquet(path).count()
+    if mode != "ignore" and have != before + put.get["n"]:
+        raise ValueError(f"{path} holds {have} rows, not {before + put.get['n']}")
+    return have
+
+
+def _rows_at(spark: SparkSession, path: str) -> int:
+    """Rows of a table, 0 where there is none."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
 
 
 def as_floats(df: DataFrame) -> DataFrame:

@@ -108,4 +108,6 @@ def test_numbers_and_totals_over_a_whole_table(spark):
         want.append((p, n, i, start, len(rows)))
         start += n
     assert sorted(((r.path, r.n, r.place, r.start, r["all"]) for r in got), key=lambda r: r[2]) == want
+    small = ordering.in_order(spark.createDataFrame(rows, "path string, n long"), "path", "place", before={"start": "n"}, size=4)  # more ranges than RANGES
+    assert sorted(((r.path, r.n, r.place, r.start, len(rows)) for r in small.collect()), key=lambda r: r[2]) == want
     assert ordering.in_order(spark.createDataFrame([], "path string, n long"), "path", "place", total="all").count() == 0

@@ -5,7 +5,7 @@ import random
 import pytest
 from aircascade.operators import checks, profile
 from aircascade.plans import datasets, jobs
-from aircascade.sources import dumps, index, splits, storage
+from aircascade.sources import dumps, index, splits, storage, tables
 from pyspark.sql import functions as F
 
 from .dump_fixture import plain_events, text_of
@@ -192,3 +192,16 @@ def test_faulty_files_go_as_a_whole(spark):
     kept = checks.without_files({"events": e, "hits": h, "waveforms": w}, wrong)
     assert {n: {r.file_name for r in df.collect()} for n, df in kept.items()} == {n: {"a", "f"} for n in kept}
     assert checks.faulty_files(e.limit(0), h.limit(0), w.limit(0)).count() == 0
+
+
+def test_written_rows_are_compared_with_what_the_table_holds(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(i, i % 3, i / 7) for i in range(200)], "n long, part long, x double")
+    path = str(tmp_path / "t")
+    assert tables.write_table(rows, path, partition_by=["part"], sort_by=["n"], floats=True) == 200
+    assert tables.write_table(rows.where("n < 0"), str(tmp_path / "none")) == 0
+    assert tables.write_table(rows.where("n < 50"), path, partition_by=["part"], mode="append", floats=True) == 250
+    assert tables.write_table(rows, str(tmp_path / "new"), mode="append") == 200
+    assert tables.write_table(rows.where("n < 9"), str(tmp_path / "new"), mode="overwrite") == 9
+    monkeypatch.setattr(tables, "_rows_at", lambda *_: 251)  # as if rows had gone meanwhile
+    with pytest.raises(ValueError, match="holds 260 rows, not 261"):
+        tables.write_table(rows.where("n < 10"), path, partition_by=["part"], mode="append", floats=True)
