@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,22 +50,41 @@ def _uniform(digest: Column, k: int) -> Column:
     return (F.conv(F.substring(digest, 1 + 10 * k, 10), 16, 10).cast("double") + 0.5) / float(1 << 40)
 
 
+def _with(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def _log_gamma_draw(shape: Column, said: Column) -> Column:
-    """ln of a Gamma(shape, 1/shape) number, drawn by squeezed normals from digests of ``said``."""
-    d = shape + 1 - F.lit(1 / 3)
-    c = 1 / F.sqrt(9 * d)
-
-    def candidate(i: Column) -> Column:
-        h = F.md5(F.concat_ws("|", said, i.cast("string")))
-        x = F.sqrt(-2 * F.log(_uniform(h, 0))) * F.cos(F.lit(2 * math.pi) * _uniform(h, 1))
-        v = F.greatest((1 + c * x) * (1 + c * x) * (1 + c * x), F.lit(1e-300))
-        fits = (1 + c * x > 0) & (F.log(_uniform(h, 2)) < x * x / 2 + d - d * v + d * F.log(v))
-        return F.struct(fits.alias("fits"), F.log(d * v).alias("g"))
-
-    found = F.filter(F.transform(F.sequence(F.lit(1), F.lit(CANDIDATES)), candidate), lambda s: s["fits"])
-    first = F.coalesce(F.get(found, 0)["g"], F.log(d))
-    # From shape + 1 down to shape, and to a mean of 1.
-    return first + F.log(_uniform(F.md5(F.concat_ws("|", said, F.lit("0"))), 0)) / shape - F.log(shape)
+    """ln of a Gamma(shape, 1/shape) number, drawn by squeezed normals from digests of ``said``.
+
+    Candidates are tried in order, and none behind the first that fits.
+    """
+
+    def drawn(s: Column) -> Column:
+        d, c = s["d"], s["c"]
+
+        def tried(t: Column) -> Column:
+            x, v = t["x"], t["v"]
+            fits = (1 + c * x > 0) & (F.log(t["u"]) < x * x / 2 + d - d * v + d * F.log(v))
+            return F.when(fits, F.log(d * v))
+
+        def cubed(t: Column) -> Column:
+            x = t["x"]
+            v = F.greatest((1 + c * x) * (1 + c * x) * (1 + c * x), F.lit(1e-300))
+            return _with(F.struct(x.alias("x"), t["u"].alias("u"), v.alias("v")), tried)
+
+        def candidate(i: Column) -> Column:
+            normal = lambda h: F.struct((F.sqrt(-2 * F.log(_uniform(h, 0))) * F.cos(F.lit(2 * math.pi) * _uniform(h, 1))).alias("x"), _uniform(h, 2).alias("u"))
+            return _with(F.md5(F.concat_ws("|", said, i.cast("string"))), lambda h: _with(normal(h), cubed))
+
+        first = F.aggregate(F.sequence(F.lit(1), F.lit(CANDIDATES)), F.lit(None).cast("double"), lambda found, i: F.coalesce(found, candidate(i)))
+        # From shape + 1 down to shape, and to a mean of 1.
+        return F.coalesce(first, F.log(d)) + F.log(_uniform(F.md5(F.concat_ws("|", said, F.lit("0"))), 0)) / s["shape"] - F.log(s["shape"])
+
+    with_d = lambda k: F.struct(k.alias("shape"), (k + 1 - F.lit(1 / 3)).alias("d"))
+    with_c = lambda s: F.struct(s["shape"].alias("shape"), s["d"].alias("d"), (1 / F.sqrt(9 * s["d"])).alias("c"))
+    return _with(shape, lambda k: _with(with_d(k), lambda s: _with(with_c(s), drawn)))
 
 
 def drawn_depth(log10e: Column, mass: Column, keys: list[Column], seed: int = 1, model: str = DEFAULT_MODEL) -> Column:
