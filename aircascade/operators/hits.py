@@ -49,7 +49,7 @@ def first_waveforms(hits: DataFrame, waveforms: DataFrame, event: list[str] = EV
     """Each hit with the first waveform of its detector in its event."""
     w = Window.partitionBy(*event, "xxyy").orderBy("wf_idx")
     first = waveforms.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
-    return hits.join(first, [*event, "xxyy"])
+    return hits.join(first.hint("merge"), [*event, "xxyy"])  # waveforms are wider than Spark takes them for
 
 
 def without_waveform(hits: DataFrame, waveforms: DataFrame, event: list[str] = EVENT) -> DataFrame:
@@ -82,7 +82,7 @@ def greedy_match(hits: DataFrame, waveforms: DataFrame, event: list[str] = EVENT
     rest = [c for c in waveforms.columns if c not in (*event, "wf_idx")]
     act = waveforms.groupBy(*event).agg(F.array_sort(F.collect_list(F.struct(F.col("wf_idx").alias("raw_wf_idx"), *rest))).alias("act"))
     ids = F.transform("act", lambda w: w["xxyy"].cast("int"))
-    both = exp.join(act, event, "left").withColumn("taken", _walked(F.col("exp"), ids))
+    both = exp.join(act.hint("merge"), event, "left").withColumn("taken", _walked(F.col("exp"), ids))
     whole = F.size("taken") == F.size("exp")
     broken = both.where(~whole).select(*event, F.size("exp").alias("expected"), F.size("taken").alias("matched"))
     found = both.where(whole).select(*event, F.posexplode(F.transform("taken", lambda i: F.get("act", i))).alias("wf_idx", "w"))

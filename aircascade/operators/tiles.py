@@ -121,7 +121,7 @@ def with_traces(cell: DataFrame, trace: DataFrame, event: list[str] = EVENT) ->
     """Attach traces to cells, last of all as they are wide; zeros without a hit."""
     names = [c for c in trace.columns if c.startswith("time_traces")]
     none = F.array_repeat(F.lit(0.0), BINS)
-    return cell.join(trace, [*event, "xxyy"], "left").withColumns({c: F.coalesce(c, none) for c in names})
+    return cell.join(trace.hint("merge"), [*event, "xxyy"], "left").withColumns({c: F.coalesce(c, none) for c in names})
 
 
 def nested(cell: DataFrame, n: int, columns: list[str], event: list[str] = EVENT) -> DataFrame:
