@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import physics, traces
@@ -47,6 +47,25 @@ def cells(hits: DataFrame, n: int, layout: ArrayLayout = ArrayLayout(), event: l
     return grid.select(*event, "i", "j", ((F.col("x0") - half + F.col("i")) * layout.base + F.col("y0") - half + F.col("j")).cast("int").alias("xxyy"))
 
 
+def at_cells(cell: DataFrame, rows: DataFrame, event: list[str] = EVENT) -> DataFrame:
+    """Cells with the columns of the rows (event, xxyy, ...) at their detector, nulls without one.
+
+    The join is by the event alone, and detectors are compared within it (by a difference, which
+    Spark doesn't take for a key): cells and hits are dealt by event already, so neither moves again.
+    """
+    right = rows.withColumnsRenamed({c: f"_r_{c}" for c in (*event, "xxyy")})
+    on = F.col("xxyy") - F.col("_r_xxyy") == 0
+    for c in event:
+        on = (F.col(c) == F.col(f"_r_{c}")) & on
+    return cell.join(right, on, "left").drop(*(f"_r_{c}" for c in (*event, "xxyy")))
+
+
+def with_good(cell: DataFrame, bad: DataFrame, event: list[str] = EVENT) -> DataFrame:
+    """Add ``good``: the event doesn't list the cell's detector as bad."""
+    b = bad.groupBy(*event).agg(F.collect_set("xxyy").alias("_bad"))
+    return cell.join(b, event, "left").withColumn("good", ~F.coalesce(F.array_contains("_bad", F.col("xxyy")), F.lit(False))).drop("_bad")
+
+
 def geometry(cell: DataFrame, detectors: DataFrame, bad: DataFrame, event: list[str] = EVENT) -> DataFrame:
     """Add position in metres, ``exists``, ``good`` and ``state``; cells without a detector have null positions.
 
@@ -54,9 +73,7 @@ def geometry(cell: DataFrame, detectors: DataFrame, bad: DataFrame, event: list[
     Spark's size check allows it.  A good cell is one that its event doesn't list as bad.
     """
     d = detectors.select("xxyy", *[(F.col(f"{c}_cm") * 1e-2).alias(f"{c}_m") for c in "xyz"], F.lit(True).alias("_on"))
-    b = bad.select(*event, "xxyy").distinct().withColumn("_bad", F.lit(True))
-    out = cell.join(d, "xxyy", "left").join(b, [*event, "xxyy"], "left")
-    out = out.withColumns({"exists": F.col("_on").isNotNull(), "good": F.col("_bad").isNull()}).drop("_on", "_bad")
+    out = with_good(cell.join(d, "xxyy", "left"), bad, event).withColumn("exists", F.col("_on").isNotNull()).drop("_on")
     return out.withColumn("state", F.col("exists") & F.col("good"))
 
 
@@ -64,9 +81,9 @@ def normalised(cell: DataFrame, n: int, layout: ArrayLayout = ArrayLayout(), eve
     """Add x_norm, y_norm, z_norm: positions from the central cell in units of the tile's extent; 0 where no detector is."""
     half = (n - 1) // 2
     extent = half * layout.pitch_m
-    # The centre comes back by an aggregate over the event, not by a second pass over the cells.
-    mid = cell.groupBy(*event).agg(*[F.max(F.when((F.col("i") == half) & (F.col("j") == half), F.col(f"{c}_m"))).alias(f"{c}_mid") for c in "xy"])
-    out = cell.join(mid, event)
+    # A window, not a join with an aggregate: that would compute the cells twice.
+    w = Window.partitionBy(*event)
+    out = cell.withColumns({f"{c}_mid": F.max(F.when((F.col("i") == half) & (F.col("j") == half), F.col(f"{c}_m"))).over(w) for c in "xy"})
     norm = {f"{c}_norm": F.when(F.col("exists"), (F.col(f"{c}_m") - F.col(f"{c}_mid")) / extent).otherwise(0.0) for c in "xy"}
     norm["z_norm"] = F.when(F.col("exists"), (F.col("z_m") - layout.height_m) / layout.extent_z_m).otherwise(0.0)
     return out.withColumns(norm)
@@ -104,7 +121,7 @@ def readings(cell: DataFrame, hits: DataFrame, layers: str = "both", mask_all: b
             h[f"total_signals_{s}"] = F.col(f"pulsa_{s}")
     h["nfold"] = F.col("nfold")
     at = hits.select(*event, "xxyy", *[c.alias(name) for name, c in h.items()])
-    out = cell.join(at, [*event, "xxyy"], "left")
+    out = at_cells(cell, at, event)
     keep = lambda name: "arrival" in name or (mask_all and "signal" in name)
     return out.withColumns({name: F.coalesce(F.when(F.col("state"), F.col(name)) if keep(name) else F.col(name), F.lit(0)) for name in h})
 
