@@ -8,7 +8,7 @@ lines in order; a line knows its split and its place in it.
 2. Running sums over the splits of a file give each split its first line's number,
    and each run of lines behind a marker the numbers of its first event.
 3. The second pass adds those to its own places.  It joins lines with a row a split,
-   and one a file, which Spark broadcasts while they are small; no window, and no
+   and about two a marker, which Spark broadcasts while they are small; no window, and no
    shuffle then, touches a line.
 
 Both passes read the same listing, so their splits are the same; where they are not
@@ -59,7 +59,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def summed_splits(lines: DataFrame) -> DataFrame:
-    """SPLIT, first (pos), n, before (lines of the file's earlier splits), end (the file's last line with text) of each split, and its marks (pos, section)."""
+    """SPLIT, first (pos), n, before (lines of the file's earlier splits), end (the file's last line with text), width (its lines for one marker) of each split, and its marks (pos, section)."""
     text = F.trim("line") != ""
     mark = opens(F.col("line"))
     per = lines.withColumn("mark", F.when(mark.isNotNull(), F.struct("pos", mark.alias("section"))))
@@ -68,30 +68,39 @@ def summed_splits(lines: DataFrame) -> DataFrame:
     w = Window.partitionBy("file_name").orderBy("block")
     before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     per = per.withColumn("before", before)
-    end = F.max(F.col("before") + F.col("last") - F.col("first")).over(Window.partitionBy("file_name"))
-    return per.withColumn("end", F.coalesce(end, F.lit(-1))).drop("last")
+    file = Window.partitionBy("file_name")
+    end = F.max(F.col("before") + F.col("last") - F.col("first")).over(file)
+    width = F.ceil(F.sum("n").over(file) / F.greatest(F.sum(F.size("marks")).over(file), F.lit(1)))
+    return per.withColumns({"end": F.coalesce(end, F.lit(-1)), "width": width}).drop("last")
 
 
 def runs(splits: DataFrame) -> DataFrame:
-    """file_name, runs: of each file the runs of lines behind its markers, as (at: the marker's line, section, base: the first event's number), in order."""
-    m = splits.select("file_name", "before", "first", "end", F.explode("marks").alias("m"))
-    m = m.select("file_name", (F.col("before") + F.col("m.pos") - F.col("first")).alias("at"), F.col("m.section").alias("section"), "end")
+    """file_name, part, at, section, base, behind: the runs of lines behind a file's markers, each in every part of the file that it reaches into.
+
+    ``at`` is the marker's line, ``base`` the first event's number, ``behind`` the number of lines.
+    A part is ``width`` lines, a file's lines over its markers: so there are at most about two rows
+    a marker, and lines meet as many runs as there are lines, however the markers lie.
+    """
+    m = splits.select("file_name", "before", "first", "end", "width", F.explode("marks").alias("m"))
+    m = m.select("file_name", (F.col("before") + F.col("m.pos") - F.col("first")).alias("at"), F.col("m.section").alias("section"), "end", "width")
     behind = Window.partitionBy("file_name").orderBy("at")
-    m = m.withColumn("n", F.coalesce(F.lead("at").over(behind), F.col("end") + 1) - F.col("at") - 1)
+    m = m.withColumn("behind", F.coalesce(F.lead("at").over(behind), F.col("end") + 1) - F.col("at") - 1)
     so_far = Window.partitionBy("file_name", "section").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    m = m.withColumn("base", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
-    return m.groupBy("file_name").agg(F.array_sort(F.collect_list(F.struct("at", "section", "base"))).alias("runs"))
+    m = m.withColumn("base", F.coalesce(F.sum("behind").over(so_far), F.lit(0))).where("behind > 0")
+    part = lambda line: F.floor(line / F.col("width"))
+    parts = F.explode(F.sequence(part(F.col("at") + 1), part(F.col("at") + F.col("behind"))))
+    return m.select("file_name", parts.alias("part"), "at", "section", "base", "behind")
 
 
 def numbered(lines: DataFrame, splits: DataFrame) -> DataFrame:
-    """file_name, line_no, line; blank lines at a file's end are left out."""
-    known = splits.select(*SPLIT, "first", "n", "before", "end")
+    """file_name, line_no, line, width; blank lines at a file's end are left out."""
+    known = splits.select(*SPLIT, "first", "n", "before", "end", "width")
     rows = lines.join(known, SPLIT, "left").withColumn("_at", F.col("pos") - F.col("first"))
     moved = F.raise_error(F.concat(F.lit("the splits changed between two passes over "), F.col("file_name")))
     right = F.col("n").isNotNull() & (F.col("_at") >= 0) & (F.col("_at") < F.col("n"))
     rows = rows.withColumn("line_no", F.when(right, F.col("before") + F.col("_at")).otherwise(moved.cast("long")))
     # A line without a split must reach the check above, so its missing end keeps it.
-    return rows.where(F.col("line_no") <= F.coalesce("end", F.lit(1 << 62))).select("file_name", "line_no", "line")
+    return rows.where(F.col("line_no") <= F.coalesce("end", F.lit(1 << 62))).select("file_name", "line_no", "line", F.coalesce("width", F.lit(1)).alias("width"))
 
 
 def tagged_splits(lines: DataFrame) -> DataFrame:
@@ -101,12 +110,13 @@ def tagged_splits(lines: DataFrame) -> DataFrame:
     """
     splits = written(summed_splits(lines), "splits")
     found = written(runs(splits), "runs")
-    rows = numbered(lines, splits).where(opens(F.col("line")).isNull()).join(found, "file_name")
-    run = F.try_element_at(F.filter("runs", lambda r: r["at"] < F.col("line_no")), F.lit(-1))
-    rows = rows.withColumn("run", run).where(F.col("run").isNotNull())
-    at = F.col("run.base") + F.col("line_no") - F.col("run.at") - 1
+    rows = numbered(lines, splits).where(opens(F.col("line")).isNull()).withColumn("part", F.floor(F.col("line_no") / F.col("width")))
+    within = (F.col("line_no") > F.col("at")) & (F.col("line_no") <= F.col("at") + F.col("behind"))
+    found = found.withColumnsRenamed({"file_name": "_file", "part": "_part"})
+    rows = rows.join(found, (F.col("file_name") == F.col("_file")) & (F.col("part") == F.col("_part")) & within)
+    at = F.col("base") + F.col("line_no") - F.col("at") - 1
     # The line depends on its run, so that no filter on its numbers is moved in front of the join, where lines of all sections are.
-    return rows.select("file_name", F.col("run.section").alias("section"), at.cast("int").alias("event_idx"), F.when(F.col("run").isNotNull(), F.col("line")).alias("line"))
+    return rows.select("file_name", "section", at.cast("int").alias("event_idx"), F.when(F.col("at").isNotNull(), F.col("line")).alias("line"))
 
 
 def read_tagged(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -56,6 +56,15 @@ def test_no_window_or_whole_file_touches_a_line(spark, tmp_path, small_splits):
     assert "Window" not in plan and "wholetext" not in plan
 
 
+def test_lines_meet_few_runs(spark, tmp_path):
+    text = "".join(f"EVENT DATA\n{k}\n" for k in range(3000)) + "badsdinfo\n" + "7\n" * 3000
+    (tmp_path / "a.txt").write_text(text)
+    found = splits.runs(splits.summed_splits(splits.split_lines(spark, str(tmp_path))))
+    assert found.count() <= 2 * 3001 + 1 and found.groupBy("file_name", "part").count().agg(F.max("count")).first()[0] < 10
+    got = splits.read_tagged(spark, str(tmp_path)).groupBy("section").agg(F.count("*"), F.countDistinct("event_idx"), F.max("event_idx")).orderBy("section").collect()
+    assert [tuple(r) for r in got] == [("bad", 3000, 3000, 2999), ("event", 3000, 3000, 2999)]
+
+
 def test_splits_that_changed_between_passes_are_an_error(spark, tmp_path, small_splits):
     (tmp_path / "a.txt").write_text(text_of(plain_events(4)))
     lines = splits.split_lines(spark, str(tmp_path))
