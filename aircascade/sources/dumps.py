@@ -47,8 +47,9 @@ def event_rows(rows: DataFrame) -> DataFrame:
 
 def cut_records(rows: DataFrame, size: int, index: str, kind: str = "double") -> DataFrame:
     """Lines (key, line) to rows (key, ``index``, record); lines that don't divide into records give none."""
-    v = rows.select(*EVENT, traces.numbers(F.col("line"), kind).alias("v")).where(traces.whole_records(F.col("v"), size))
-    return v.select(*EVENT, F.posexplode(traces.records(F.col("v"), size)).alias(index, "record"))
+    v = rows.select(*EVENT, traces.numbers(F.col("line"), kind).alias("v"))
+    # Not a filter: Spark would move it in front of the numbers and compute them twice.
+    return v.select(*EVENT, F.posexplode(F.when(traces.whole_records(F.col("v"), size), traces.records(F.col("v"), size))).alias(index, "record"))
 
 
 def hit_rows(rows: DataFrame) -> DataFrame:
