@@ -17,8 +17,16 @@ def _range_of(rows: DataFrame, by: str, size: int) -> Column:
     One cut for ``size`` rows, or RANGES - 1, is what the driver holds.
     """
     keys = rows.select(by).where(F.col(by).isNotNull())
-    cuts = [r[0] for r in keys.orderBy(F.xxhash64(by), by).limit(max(RANGES, -(-rows.count() // size)) - 1).collect()]
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(by))) if cuts else F.lit(0)
+    cuts = [r[0] for r in keys.orderBy(F.xxhash64(by), by).limit(max(RANGES, -(-rows.count() // size)) - 1).orderBy(by).collect()]
+
+    def below(low: int, high: int) -> Column:
+        """By halves, in plain comparisons: an array's filter would compute ``by``, where that is an expression, once a cut."""
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(F.col(by) < cuts[mid], below(low, mid)).otherwise(below(mid + 1, high))
+
+    return F.when(F.col(by).isNotNull(), below(0, len(cuts))).otherwise(0)
 
 
 def in_order(rows: DataFrame, by: str, place: str, total: str | None = None, before: dict[str, str] | None = None, size: int = ROWS) -> DataFrame:
