@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import traces
 from .operators import checks, profile
 from .plans import datasets, jobs, projections
 from .queries import DETECTORS, EVENTS, FOLDS, HITS, LAYOUT, NAMES, TILE, TRACES, bad, detectors, dump_lines, embeddings, event_lines, events, hits, name_table, query, waveforms
-from .queries_whole import FOLDED, full_dump
+from .queries_whole import FOLDED, dump_line, dump_rows
 from .schema import EVENT
 from .sources import dumps, files, index, splits, storage, tables
 
@@ -24,6 +24,17 @@ def written_dumps(lines: DataFrame, name: str) -> str:
     return path
 
 
+def written_parts(rows: DataFrame, line: Column, name: str, most: int = 20_000) -> str:
+    """Dumps in parts of ``most`` lines, gzip files in the order of their names; gives their folder.
+
+    Lines are made where they are written: what is dealt and sorted is ``rows`` (file_name, line_no, ...).
+    """
+    path = tables.work_path(rows.sparkSession, name)
+    order = rows.repartitionByRange("file_name", "line_no").sortWithinPartitions("file_name", "line_no")
+    order.select("file_name", line.alias("value")).write.partitionBy("file_name").option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
+    return path
+
+
 def named(rows: DataFrame) -> DataFrame:
     return rows.withColumn("file_name", F.regexp_extract("file_name", "file_name=([^/]+)", 1))
 
@@ -41,9 +52,10 @@ def split_section_tag(spark, d):
 h AS (SELECT event_idx, count(*) AS n_hits, round(sum(pulsa_up), 4) AS signal FROM hits GROUP BY event_idx), w AS (SELECT event_idx, count(*) AS n_waveforms, CAST(sum(xxyy) AS BIGINT) AS ids FROM wf GROUP BY event_idx)
 SELECT 'd' || (e.event_idx % 2) AS file_name, CAST(k AS INTEGER) AS event_idx, coalesce(n_hits, 0) AS n_hits, coalesce(signal, 0) AS signal, coalesce(n_waveforms, 0) AS n_waveforms, coalesce(ids, 0) AS ids FROM e LEFT JOIN h ON e.event_idx = h.event_idx LEFT JOIN w ON e.event_idx = w.event_idx""")
 def split_dump_tables(spark, d):
-    """Two whole dumps with waveforms, read by splits and tagged once; levels are read back by section."""
+    """Two whole dumps with waveforms in compressed parts, read by splits and tagged once; levels are read back by section."""
     path = tables.work_path(spark, "staged")
-    lines = dumps.staged(splits.read_tagged(spark, written_dumps(full_dump(spark, d, F.concat(F.lit("d"), (F.col("event_idx") % 2).cast("string"))), "split-dumps")), path)
+    rows = dump_rows(spark, d, F.concat(F.lit("d"), (F.col("event_idx") % 2).cast("string")))
+    lines = dumps.staged(splits.read_tagged(spark, written_parts(rows, dump_line(), "split-dumps"), parts=True), path)
     t = dumps.parse_tagged(lines)
     h = t.hits.groupBy(*EVENT).agg(F.count("*").alias("n_hits"), F.round(F.sum("pulsa_up"), 4).alias("signal"))
     w = t.waveforms.groupBy(*EVENT).agg(F.count("*").alias("n_waveforms"), F.sum("xxyy").alias("ids"))

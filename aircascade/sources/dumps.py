@@ -114,7 +114,7 @@ def read_dumps(spark: SparkSession, paths: str | list[str], strict: bool = False
 
 def staged(rows: DataFrame, path: str) -> DataFrame:
     """Tagged lines written once below ``path``, a folder a section, and read back: a table then reads the lines of its section only."""
-    rows.write.partitionBy("section").parquet(path)
+    rows.write.partitionBy("section").option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

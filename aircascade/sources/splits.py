@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import names
 from ..schema import SECTIONS
 from .tables import work_path
 
@@ -36,10 +37,14 @@ def opens(line: Column) -> Column:
     return out
 
 
-def split_columns(rows: DataFrame) -> DataFrame:
-    """file_name, block, length, value of text rows with their ``_metadata``: the split that a line comes from."""
-    m = [F.col(f"_metadata.{c}") for c in ("file_path", "file_block_start", "file_block_length")]
-    return rows.select(*(c.alias(name) for c, name in zip(m, SPLIT)), "value")
+def split_columns(rows: DataFrame, parts: bool = False) -> DataFrame:
+    """file_name, block, length, value of text rows with their ``_metadata``: the split that a line comes from.
+
+    With ``parts`` a folder is a dump, and its files are the dump's parts in the order of their names.
+    """
+    path, start, length = (F.col(f"_metadata.{c}") for c in ("file_path", "file_block_start", "file_block_length"))
+    name, block = (names.directory(path), F.struct(names.base_name(path).alias("part"), start.alias("start"))) if parts else (path, start)
+    return rows.select(*(c.alias(n) for c, n in zip((name, block, length), SPLIT)), "value")
 
 
 def placed(rows: DataFrame) -> DataFrame:
@@ -47,8 +52,8 @@ def placed(rows: DataFrame) -> DataFrame:
     return rows.select(*SPLIT, F.monotonically_increasing_id().alias("pos"), F.regexp_replace("value", r"\r$", "").alias("line"))
 
 
-def split_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return placed(split_columns(spark.read.option("lineSep", "\n").text(paths)))
+def split_lines(spark: SparkSession, paths: str | list[str], parts: bool = False) -> DataFrame:
+    return placed(split_columns(spark.read.option("lineSep", "\n").text(paths), parts))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -119,6 +124,6 @@ def tagged_splits(lines: DataFrame) -> DataFrame:
     return rows.select("file_name", "section", at.cast("int").alias("event_idx"), F.when(F.col("at").isNotNull(), F.col("line")).alias("line"))
 
 
-def read_tagged(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file_name, section, event_idx, line of dump files, dealt by splits."""
-    return tagged_splits(split_lines(spark, paths))
+def read_tagged(spark: SparkSession, paths: str | list[str], parts: bool = False) -> DataFrame:
+    """file_name, section, event_idx, line of dump files, dealt by splits; with ``parts`` of folders that each hold a dump in parts."""
+    return tagged_splits(split_lines(spark, paths, parts))
