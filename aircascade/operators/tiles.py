@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import physics, traces
@@ -36,44 +36,65 @@ def laid_out(hits: DataFrame, layout: ArrayLayout) -> DataFrame:
     return hits.withColumn("xxyy", physics.swapped_id(F.col("xxyy"), layout.base)) if layout.swapped_hit_ids else hits
 
 
-def cells(hits: DataFrame, n: int, layout: ArrayLayout = ArrayLayout(), event: list[str] = EVENT) -> DataFrame:
-    """event, i, j, xxyy: the n x n cells around each event's loudest hit.  ``n`` below 3 has no extent and is an error."""
-    if n < 3:
-        raise ValueError("a tile needs a side of 3 at least")
-    half = (n - 1) // 2
-    at = H.loudest(hits, event).select(*event, physics.grid_x(F.col("xxyy"), layout.base).alias("x0"), physics.grid_y(F.col("xxyy"), layout.base).alias("y0"))
-    k = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    grid = at.withColumn("i", k).withColumn("j", k)
-    return grid.select(*event, "i", "j", ((F.col("x0") - half + F.col("i")) * layout.base + F.col("y0") - half + F.col("j")).cast("int").alias("xxyy"))
-
-
-def at_cells(cell: DataFrame, rows: DataFrame, event: list[str] = EVENT) -> DataFrame:
-    """Cells with the columns of the rows (event, xxyy, ...) at their detector, nulls without one.
+def centred(hits: DataFrame, layout: ArrayLayout = ArrayLayout(), bad: DataFrame | None = None, carry: dict[str, Column] | None = None, event: list[str] = EVENT) -> DataFrame:
+    """One row an event: x0 and y0 of its loudest hit, its hits' ids and columns ``carry`` as arrays (_ids, _hits), and with ``bad`` the list _bad.
 
-    The join is by the event alone, and detectors are compared within it (by a difference, which
-    Spark doesn't take for a key): cells and hits are dealt by event already, so neither moves again.
+    ``hits`` holds a detector of an event once (tile_hits).  Hits are dealt by their event and in the order
+    of their detectors then, so windows gather them as they lie; an aggregate with a list would sort them again.
     """
-    right = rows.withColumnsRenamed({c: f"_r_{c}" for c in (*event, "xxyy")})
-    on = F.col("xxyy") - F.col("_r_xxyy") == 0
-    for c in event:
-        on = (F.col(c) == F.col(f"_r_{c}")) & on
-    return cell.join(right, on, "left").drop(*(f"_r_{c}" for c in (*event, "xxyy")))
+    w = Window.partitionBy(*event)
+    loudest = F.max(F.struct(((F.col("pulsa_low") + F.col("pulsa_up")) / 2).alias("s"), (-F.col("hit_idx")).alias("i"), "xxyy")).over(w)
+    got = {"_n": F.row_number().over(w.orderBy("xxyy", "hit_idx")), "_loudest": loudest}
+    if carry:
+        got["_hits"] = F.collect_list(F.struct(F.col("xxyy").alias("_id"), *[c.alias(name) for name, c in carry.items()])).over(w)
+    at = hits.select(*event, *[c.alias(name) for name, c in got.items()]).where("_n = 1")
+    centre = F.col("_loudest.xxyy")
+    at = at.select(*event, physics.grid_x(centre, layout.base).alias("x0"), physics.grid_y(centre, layout.base).alias("y0"), *([F.col("_hits._id").alias("_ids"), "_hits"] if carry else []))
+    if bad is not None:
+        at = at.join(bad.groupBy(*event).agg(F.collect_set("xxyy").alias("_bad")), event, "left")
+    return at
+
+
+def _id_at(i: Column, j: Column, n: int, layout: ArrayLayout) -> Column:
+    half = (n - 1) // 2
+    return ((F.col("x0") - half + i) * layout.base + F.col("y0") - half + j).cast("int")
 
 
-def with_good(cell: DataFrame, bad: DataFrame, event: list[str] = EVENT) -> DataFrame:
-    """Add ``good``: the event doesn't list the cell's detector as bad."""
-    b = bad.groupBy(*event).agg(F.collect_set("xxyy").alias("_bad"))
-    return cell.join(b, event, "left").withColumn("good", ~F.coalesce(F.array_contains("_bad", F.col("xxyy")), F.lit(False))).drop("_bad")
+def _hit_at(xxyy: Column) -> Column:
+    """The hit at a detector, null without one: place 0 is none, and so is what lies before the first."""
+    return F.get("_hits", F.array_position("_ids", xxyy).cast("int") - 1)
 
 
-def geometry(cell: DataFrame, detectors: DataFrame, bad: DataFrame, event: list[str] = EVENT) -> DataFrame:
-    """Add position in metres, ``exists``, ``good`` and ``state``; cells without a detector have null positions.
+def cells(hits: DataFrame, n: int, layout: ArrayLayout = ArrayLayout(), bad: DataFrame | None = None, carry: dict[str, Column] | None = None, event: list[str] = EVENT) -> DataFrame:
+    """event, i, j, xxyy: the n x n cells around each event's loudest hit.  ``n`` below 3 has no extent and is an error.
+
+    With ``bad`` cells have ``good`` (their event doesn't list the detector as bad), and the columns
+    ``carry`` of the hit at their detector, nulls without one.  An event's hits and bad detectors
+    meet before its cells are made, so no cell is sorted or shuffled.
+    """
+    if n < 3:
+        raise ValueError("a tile needs a side of 3 at least")
+    at = centred(hits, layout, bad, carry, event)
+    grid = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(n) for j in range(n)]))
+    cell = at.withColumn("_c", grid).select(*at.columns, "_c.i", "_c.j")
+    cell = cell.withColumn("xxyy", _id_at(F.col("i"), F.col("j"), n, layout))
+    out = [*event, "i", "j", "xxyy"]
+    if bad is not None:
+        out.append((~F.coalesce(F.array_contains("_bad", F.col("xxyy")), F.lit(False))).alias("good"))
+    if carry:
+        hit = _hit_at(F.col("xxyy"))
+        out += [hit[name].alias(name) for name in carry]
+    return cell.select(*out)
+
+
+def geometry(cell: DataFrame, detectors: DataFrame) -> DataFrame:
+    """Add position in metres, ``exists`` and ``state`` to cells with ``good``; cells without a detector have null positions.
 
     ``detectors`` is a catalogue of fixed, small size; its join is broadcast if
-    Spark's size check allows it.  A good cell is one that its event doesn't list as bad.
+    Spark's size check allows it.
     """
     d = detectors.select("xxyy", *[(F.col(f"{c}_cm") * 1e-2).alias(f"{c}_m") for c in "xyz"], F.lit(True).alias("_on"))
-    out = with_good(cell.join(d, "xxyy", "left"), bad, event).withColumn("exists", F.col("_on").isNotNull()).drop("_on")
+    out = cell.join(d, "xxyy", "left").withColumn("exists", F.col("_on").isNotNull()).drop("_on")
     return out.withColumn("state", F.col("exists") & F.col("good"))
 
 
@@ -105,12 +126,8 @@ def normalised_cores(events: DataFrame, cell: DataFrame, n: int, layout: ArrayLa
     return out.withColumns({name: f(name) for name, f in new.items() if name in events.columns}).drop("x_m", "y_m")
 
 
-def readings(cell: DataFrame, hits: DataFrame, layers: str = "both", mask_all: bool = False, event: list[str] = EVENT) -> DataFrame:
-    """Cells with the readings of the hit there: arrival times in ns, signals, nfold; 0 without a hit.
-
-    ``layers`` is "both" (columns _low and _up) or "mean".  Arrival times are 0
-    where the detector's state is false; with ``mask_all`` signals are too.
-    """
+def reading_columns(layers: str = "both") -> dict[str, Column]:
+    """The readings of a hit: arrival times in ns, signals, nfold.  ``layers`` is "both" (columns _low and _up) or "mean"."""
     h = {}
     if layers == "mean":
         h["arrival_times"] = physics.arrival_ns(physics.layer_mean(F.col("reltime_low"), F.col("reltime_up")))
@@ -119,11 +136,16 @@ def readings(cell: DataFrame, hits: DataFrame, layers: str = "both", mask_all: b
         for s in ("low", "up"):
             h[f"arrival_times_{s}"] = physics.arrival_ns(F.col(f"reltime_{s}"))
             h[f"total_signals_{s}"] = F.col(f"pulsa_{s}")
-    h["nfold"] = F.col("nfold")
-    at = hits.select(*event, "xxyy", *[c.alias(name) for name, c in h.items()])
-    out = at_cells(cell, at, event)
+    return h | {"nfold": F.col("nfold")}
+
+
+def readings(cell: DataFrame, layers: str = "both", mask_all: bool = False) -> DataFrame:
+    """Cells that carry ``reading_columns`` with zeros where no hit is.
+
+    Arrival times are 0 where the detector's state is false; with ``mask_all`` signals are too.
+    """
     keep = lambda name: "arrival" in name or (mask_all and "signal" in name)
-    return out.withColumns({name: F.coalesce(F.when(F.col("state"), F.col(name)) if keep(name) else F.col(name), F.lit(0)) for name in h})
+    return cell.withColumns({name: F.coalesce(F.when(F.col("state"), F.col(name)) if keep(name) else F.col(name), F.lit(0)) for name in reading_columns(layers)})
 
 
 def traces_of(hits: DataFrame, waveforms: DataFrame, layers: str = "both", event: list[str] = EVENT) -> DataFrame:
