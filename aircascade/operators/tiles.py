@@ -87,6 +87,17 @@ def cells(hits: DataFrame, n: int, layout: ArrayLayout = ArrayLayout(), bad: Dat
     return cell.select(*out)
 
 
+def dense(hits: DataFrame, n: int, layout: ArrayLayout, carry: dict[str, Column], event: list[str] = EVENT) -> DataFrame:
+    """One row an event, each column of ``carry`` as an n x n array, 0 without a hit: what ``nested`` makes of cells, for columns that need no detector's state.
+
+    Arrays are filled from the event's hits; no cell is made a row.
+    """
+    at = centred(hits, layout, None, carry, event)
+    side = F.sequence(F.lit(0), F.lit(n - 1))
+    fill = lambda name: F.transform(side, lambda i: F.transform(side, lambda j: F.coalesce(_hit_at(_id_at(i, j, n, layout))[name], F.lit(0))))
+    return at.select(*event, *[fill(name).alias(name) for name in carry])
+
+
 def geometry(cell: DataFrame, detectors: DataFrame) -> DataFrame:
     """Add position in metres, ``exists`` and ``state`` to cells with ``good``; cells without a detector have null positions.
 

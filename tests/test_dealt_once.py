@@ -14,7 +14,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name, most", [("tile_signals", 2), ("tile_layers", 2), ("tile_cells", 2)])
+@pytest.mark.parametrize("name, most", [("tile_signals", 2), ("tile_layers", 2), ("tile_dense", 1), ("tile_cells", 2)])
 def test_tiles_deal_hits_once(spark, name, most):
     plan = plan_of(queries.QUERIES[name](spark, DATA))
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= most
@@ -37,3 +37,5 @@ def test_cells_carry_the_hit_at_their_detector(spark):
     cell = tiles.geometry(tiles.cells(hits, 3, bad=bad, carry=tiles.reading_columns("mean")), detectors)
     got = {r.xxyy: (r.i, r.j, r.state, r.arrival_times, r.total_signals, r.nfold) for r in tiles.readings(cell, "mean").collect()}
     assert len(got) == 9 and got[505] == (1, 1, True, 8000.0, 9.0, 2) and got[606] == (2, 2, False, 0.0, 4.0, 1) and got[404] == (0, 0, False, 0.0, 0.0, 0)
+    dense = tiles.dense(hits, 3, tiles.ArrayLayout(), {"s": tiles.reading_columns("mean")["total_signals"]}).collect()
+    assert [r.s for r in dense] == [[[0.0, 0.0, 0.0], [0.0, 9.0, 0.0], [0.0, 0.0, 4.0]]]
