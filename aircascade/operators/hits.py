@@ -56,17 +56,27 @@ def without_waveform(hits: DataFrame, waveforms: DataFrame, event: list[str] = E
     return hits.join(waveforms.select(*event, "xxyy"), [*event, "xxyy"], "left_anti")
 
 
-def folds(hits: DataFrame, event: list[str] = EVENT) -> DataFrame:
-    """One row for each waveform that a hit has: fold_idx within the hit, wf_idx within the event (hits own waveforms in their order)."""
+def _started(hits: DataFrame, event: list[str]) -> DataFrame:
+    """Hits that own waveforms, with the place in their event of the first (hits own waveforms in their order)."""
     w = Window.partitionBy(*event).orderBy("hit_idx").rowsBetween(Window.unboundedPreceding, -1)
-    rows = hits.withColumn("_start", F.coalesce(F.sum("nfold").over(w), F.lit(0)))
-    rows = rows.where("nfold > 0").withColumn("fold_idx", F.explode(F.sequence(F.lit(0), F.col("nfold") - 1)))
+    return hits.withColumn("_start", F.coalesce(F.sum("nfold").over(w), F.lit(0))).where("nfold > 0")
+
+
+def folds(hits: DataFrame, event: list[str] = EVENT) -> DataFrame:
+    """One row for each waveform that a hit has: fold_idx within the hit, wf_idx within the event."""
+    rows = _started(hits, event).withColumn("fold_idx", F.explode(F.sequence(F.lit(0), F.col("nfold") - 1)))
     return rows.withColumn("wf_idx", (F.col("_start") + F.col("fold_idx")).cast("int")).drop("_start")
 
 
 def positional_match(hits: DataFrame, waveforms: DataFrame, event: list[str] = EVENT) -> DataFrame:
-    """Hits with their waveforms where counts agree: hit k owns the next nfold waveforms."""
-    return folds(hits, event).drop("xxyy").join(waveforms, [*event, "wf_idx"])
+    """Hits with their waveforms where counts agree: hit k owns the next nfold waveforms.
+
+    They meet by their event, as both are dealt, and a hit takes the waveforms of its range: a join
+    by the waveform's number as well would move both sides again, a row a waveform.
+    """
+    rows = _started(hits, event).drop("xxyy").join(waveforms.hint("merge"), event)
+    rows = rows.where((F.col("wf_idx") >= F.col("_start")) & (F.col("wf_idx") < F.col("_start") + F.col("nfold")))
+    return rows.withColumn("fold_idx", (F.col("wf_idx") - F.col("_start")).cast("int")).drop("_start")
 
 
 def greedy_match(hits: DataFrame, waveforms: DataFrame, event: list[str] = EVENT) -> tuple[DataFrame, DataFrame]:

@@ -21,8 +21,8 @@ def offsets(events: DataFrame, rows: DataFrame, mask=None, event: list[str] = EV
 
 def trace_rows(hits: DataFrame, waveforms: DataFrame, event: list[str] = EVENT) -> DataFrame:
     """event, hit_idx, fold_idx and both layers' calibrated traces (float) of good hits; waveforms must match by position."""
-    w = H.folds(hits, event).where(F.col("isgood") > H.GOOD).select(*event, "hit_idx", "fold_idx", "wf_idx", "vem_low", "vem_up")
-    rows = w.join(waveforms.select(*event, "wf_idx", "fadc_low", "fadc_up").hint("merge"), [*event, "wf_idx"])
+    w = hits.select(*event, "hit_idx", "isgood", "nfold", "vem_low", "vem_up")
+    rows = H.positional_match(w, waveforms.select(*event, "wf_idx", "fadc_low", "fadc_up"), event).where(F.col("isgood") > H.GOOD)
     trace = [traces.calibrated(F.col(f"fadc_{s}"), F.col(f"vem_{s}")).cast("array<float>").alias(f"time_traces_{s}") for s in ("low", "up")]
     return rows.select(*event, "hit_idx", "fold_idx", *trace)
 

@@ -39,3 +39,16 @@ def test_cells_carry_the_hit_at_their_detector(spark):
     assert len(got) == 9 and got[505] == (1, 1, True, 8000.0, 9.0, 2) and got[606] == (2, 2, False, 0.0, 4.0, 1) and got[404] == (0, 0, False, 0.0, 0.0, 0)
     dense = tiles.dense(hits, 3, tiles.ArrayLayout(), {"s": tiles.reading_columns("mean")["total_signals"]}).collect()
     assert [r.s for r in dense] == [[[0.0, 0.0, 0.0], [0.0, 9.0, 0.0], [0.0, 0.0, 4.0]]]
+
+
+@pytest.mark.parametrize("name", ["positional_match", "folded_traces"])
+def test_waveforms_meet_hits_by_event(spark, name):
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan_of(queries.QUERIES[name](spark, DATA)))
+    assert not any("wf_idx" in d for d in dealt), dealt
+
+
+def test_a_hit_takes_the_waveforms_of_its_range(spark):
+    hits = spark.createDataFrame([("a", 1, 0, 7, 2), ("a", 1, 1, 8, 0), ("a", 1, 2, 9, 3), ("a", 1, 3, 9, None)], "file_name string, event_idx long, hit_idx int, xxyy int, nfold int")
+    waves = spark.createDataFrame([("a", 1, k, 7, None if k is None else k * 10) for k in (0, 1, 1, 3, 4, 5, None)] + [("b", 1, 0, 7, 0)], "file_name string, event_idx long, wf_idx int, xxyy int, value int")
+    got = sorted((r.hit_idx, r.fold_idx, r.wf_idx, r.value) for r in H.positional_match(hits, waves).collect())
+    assert got == [(0, 0, 0, 0), (0, 1, 1, 10), (0, 1, 1, 10), (2, 1, 3, 30), (2, 2, 4, 40)]
