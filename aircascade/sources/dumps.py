@@ -53,8 +53,16 @@ def cut_records(rows: DataFrame, size: int, index: str, kind: str = "double") ->
 
 
 def hit_rows(rows: DataFrame) -> DataFrame:
-    r = cut_records(rows, len(RAW_HIT), "hit_idx")
-    return r.select(*EVENT, "hit_idx", *[F.get("record", i).cast(kind).alias(name) for i, (name, kind) in enumerate(RAW_HIT.items())])
+    """Hit lines (key, line) to a row a hit; lines that don't divide into records give none.
+
+    A record's numbers are taken from the line's by their place: they are few, and cutting records out costs more than carrying them.
+    """
+    size = len(RAW_HIT)
+    v = rows.select(*EVENT, traces.numbers(F.col("line")).alias("v"))
+    # Not a filter: Spark would move it in front of the numbers and compute them twice.
+    at = F.when(traces.whole_records(F.col("v"), size) & (F.size("v") > 0), F.sequence(F.lit(0), (F.size("v") / size).cast("int") - 1))
+    r = v.select(*EVENT, "v", F.explode(at).alias("hit_idx"))
+    return r.select(*EVENT, "hit_idx", *[F.get("v", F.col("hit_idx") * size + i).cast(kind).alias(name) for i, (name, kind) in enumerate(RAW_HIT.items())])
 
 
 def waveform_rows(rows: DataFrame) -> DataFrame:

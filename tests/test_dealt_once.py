@@ -52,3 +52,8 @@ def test_a_hit_takes_the_waveforms_of_its_range(spark):
     waves = spark.createDataFrame([("a", 1, k, 7, None if k is None else k * 10) for k in (0, 1, 1, 3, 4, 5, None)] + [("b", 1, 0, 7, 0)], "file_name string, event_idx long, wf_idx int, xxyy int, value int")
     got = sorted((r.hit_idx, r.fold_idx, r.wf_idx, r.value) for r in H.positional_match(hits, waves).collect())
     assert got == [(0, 0, 0, 0), (0, 1, 1, 10), (0, 1, 1, 10), (2, 1, 3, 30), (2, 2, 4, 40)]
+
+
+def test_hit_lines_are_gathered_and_cut_without_lists_of_records(spark):
+    plan = plan_of(queries.QUERIES["dump_roundtrip_hits"](spark, DATA))
+    assert "ObjectHashAggregate" not in plan and "slice(" not in plan, plan
