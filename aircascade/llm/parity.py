@@ -256,9 +256,12 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     tune(spark)
     sig = stored(sketched(docs, percent), "sketches")
-    full = sig.where("n_shingles > 0")
     # The widest shuffle: a row for each set and segment, 16 bytes each.
-    one = stored(full.groupBy("set_key").agg(F.first("short").alias("short"), F.first("n_shingles").alias("n_shingles"), F.min("row_key").alias("row_key"), F.first("keys").alias("keys")), "distinct")
+    one = stored(sig.where("n_shingles > 0").groupBy("set_key").agg(F.first("short").alias("short"), F.first("n_shingles").alias("n_shingles"), F.min("row_key").alias("row_key"), F.first("keys").alias("keys")), "distinct")
+    # Keys are most of the sketches' bytes and are with the distinct sets now; what the end needs of each row is narrow.
+    wide, sig = sig, stored(sig.select("doc_id", "n_shingles", "set_key"), "rows")
+    dropped(wide)
+    full = sig.where("n_shingles > 0")
     rows = one.select("short", F.explode("keys").alias("key"))
     again = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
     with bloom_filters(spark):
