@@ -245,6 +245,22 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> list[int]:
     return keep
 
 
+def verified(near: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of ``near`` (pivot, set_key, n_shingles) that link, by their full sets.
+
+    Only sets that some pair names are moved: a semi-join goes before the one that deals them.  Spark
+    broadcasts its keys while they are few and takes a Bloom filter of them beyond (both within its
+    bounds, above which all sets are moved once).
+    """
+    wanted = stored(near.select(F.explode(F.array("pivot", "set_key")).alias("set_key")).distinct(), "wanted")
+    # Spark makes a Bloom filter only of a side that has a condition; this one always holds.
+    some = sets.join(wanted.where(F.length("set_key") > 0), "set_key", "left_semi")
+    with bloom_filters(near.sparkSession):
+        links = stored(pivot_links(near, some, percent), "links")
+    dropped(wanted)
+    return links
+
+
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     """``label`` (set_key, c) with components joined by ``links`` (a, b)."""
     to = components(links).select(F.col("v").alias("c"), F.col("c").alias("to"))
@@ -270,7 +286,7 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ends = stored(one.drop("keys").join(found.select("short").distinct(), "short", "left_semi"), "ends")
     dropped(one)
     with bloom_filters(spark):
-        sets = stored(full_sets(docs, ends.select("row_key"), SHINGLE), "sets")
+        sets = stored(full_sets(docs, ends.where("n_shingles > 0").select("row_key"), SHINGLE), "sets")
     members = found.join(ends.select("short", "set_key"), "short").select("key", "set_key")
     members = salted_join(members, members.groupBy("key").agg(F.min("set_key").alias("pivot")), "key")
     members = stored(members.withColumn("band", F.col("key").bitwiseAND(F.lit(BAND_BITS)).cast("int")), "members")
@@ -278,7 +294,7 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     signs = stored(sketches(sets, percent), "sketches-of-sets")
 
     near = stored(near_pivots(members, signs, percent).distinct(), "near")
-    links = stored(pivot_links(near, sets, percent), "links")
+    links = verified(near, sets, percent)
     label = _joined(ends.select("set_key", F.col("set_key").alias("c")), links)
     for t in (ends, near, links):
         dropped(t)
@@ -287,7 +303,7 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         near = stored(near_members(members, label, signs, percent, forest).distinct(), "near")
         if near.isEmpty():
             break
-        links = stored(pivot_links(near, sets, percent), "links")
+        links = verified(near, sets, percent)
         parts = links.join(label.select(F.col("set_key").alias("a"), F.col("c").alias("ca")), "a").join(label.select(F.col("set_key").alias("b"), F.col("c").alias("cb")), "b")
         before, label = label, _joined(label, parts.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         for t in (before, links):
