@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names, traces
 from ..schema import BINS, EVENT, RAW_EVENT, RAW_HIT, SECTIONS, WAVEFORM_SIZE
-from .splits import opens, read_tagged
+from . import records
+from .splits import opens, read_tagged, written
 
 
 @dataclass(frozen=True)
@@ -23,13 +27,28 @@ class Dumps:
     quarantine: DataFrame
 
 
+def tagged_rows(rows: DataFrame, line: Column) -> DataFrame:
+    """Rows (file_name, line_no, ...) of which ``line`` makes a dump's lines, with _section and _at (the event's number) beside their columns; markers are left out.
+
+    What is dealt and sorted are the rows as they come: texts, which may be wider by far, aren't.
+    """
+    by_line = Window.partitionBy("file_name").orderBy("line_no")
+    rows = rows.withColumn("_opens", opens(line)).withColumn("_section", F.last("_opens", ignorenulls=True).over(by_line))
+    rows = rows.where("_opens is null and _section is not null")
+    at = F.row_number().over(Window.partitionBy("file_name", "_section").orderBy("line_no")) - 1
+    # No partition of a written table may have a null or empty name; Spark would see to that by a sort.
+    return rows.withColumns({"_at": at, "_section": F.coalesce("_section", F.lit(""))}).drop("_opens")
+
+
+def lines_of(rows: DataFrame, line: Column) -> DataFrame:
+    """file_name, section, event_idx, line of ``tagged_rows``."""
+    # In two steps: ``line`` may be made of a column event_idx, and would take the new one for it.
+    return rows.select("file_name", "_section", "_at", line.alias("line")).withColumnsRenamed({"_section": "section", "_at": "event_idx"})
+
+
 def tagged(lines: DataFrame) -> DataFrame:
     """file_name, section, event_idx, line: marker lines open a section, and its lines are numbered from 0."""
-    by_line = Window.partitionBy("file_name").orderBy("line_no")
-    rows = lines.withColumn("opens", opens(F.col("line"))).withColumn("section", F.last("opens", ignorenulls=True).over(by_line))
-    rows = rows.where("opens is null and section is not null")
-    at = F.row_number().over(Window.partitionBy("file_name", "section").orderBy("line_no")) - 1
-    return rows.select("file_name", "section", at.alias("event_idx"), "line")
+    return lines_of(tagged_rows(lines, F.col("line")), F.col("line"))
 
 
 def disagreeing(sections: DataFrame) -> DataFrame:
@@ -66,9 +85,19 @@ def hit_rows(rows: DataFrame) -> DataFrame:
 
 
 def waveform_rows(rows: DataFrame) -> DataFrame:
-    r = cut_records(rows, WAVEFORM_SIZE, "wf_idx", "int")
-    item = lambda i: F.get("record", i)
-    return r.select(*EVENT, "wf_idx", item(0).alias("xxyy"), item(1).alias("clkcnt"), item(2).alias("mclkcnt"), F.slice("record", 4, BINS).alias("fadc_low"), F.slice("record", 4 + BINS, BINS).alias("fadc_up"))
+    """Waveform lines (key, line) to a row a waveform; lines that don't divide into records give none.  The numbers, nearly all of a dump's, are cut in Arrow batches."""
+    out = f"file_name string, event_idx {rows.schema['event_idx'].dataType.simpleString()}, wf_idx int, xxyy int, clkcnt int, mclkcnt int, fadc_low array<int>, fadc_up array<int>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in records.chunks(batch):
+                m, line, place = records.whole_records(part.column("line"), WAVEFORM_SIZE)
+                key = [part.column(c).take(pa.array(line)) for c in EVENT]
+                numbers = [pa.array(place.astype(np.int32)), *(pa.array(np.ascontiguousarray(m[:, i])) for i in range(3))]
+                layers = [records.lists(m[:, 3 + i : 3 + i + BINS]) for i in (0, BINS)]
+                yield pa.RecordBatch.from_arrays([*key, *numbers, *layers], [*EVENT, "wf_idx", "xxyy", "clkcnt", "mclkcnt", "fadc_low", "fadc_up"])
+
+    return rows.select(*EVENT, "line").mapInArrow(run, out)
 
 
 def bad_rows(rows: DataFrame) -> DataFrame:
@@ -81,17 +110,34 @@ def misshapen(rows: DataFrame, size: int, what: str) -> DataFrame:
     return v.where(~traces.whole_records(F.col("v"), size)).select("file_name", F.format_string(f"event %d: {what} line is no whole number of records", "event_idx").alias("reason"))
 
 
+#: Numbers of an event line, and of a record in the lines of other sections.
+SIZES = {"event": len(RAW_EVENT), "hit": len(RAW_HIT), "waveform": WAVEFORM_SIZE, "bad": 2}
+
+
+def odd_lines(rows: DataFrame) -> DataFrame:
+    """file_name, section, event_idx, odd of tagged lines: whether a line is no whole number of records, or no event.  Numbers are counted in Arrow batches."""
+    out = f"file_name string, section string, event_idx {rows.schema['event_idx'].dataType.simpleString()}, odd boolean"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in records.chunks(batch):
+                line, section = part.column("line"), part.column("section")
+                n, odd = records.counts(line), np.zeros(len(line), bool)
+                for name, size in SIZES.items():
+                    here = np.array(section.to_numpy(zero_copy_only=False) == name)
+                    odd |= here & (n != size if name == "event" else n % size != 0)
+                odd &= line.is_valid().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([part.column("file_name"), section, part.column("event_idx"), pa.array(odd)], ["file_name", "section", "event_idx", "odd"])
+
+    return rows.select("file_name", "section", "event_idx", "line").mapInArrow(run, out)
+
+
 def faulty_files(rows: DataFrame) -> DataFrame:
     """file_name, reason of files that can't be used, in one pass over their tagged lines."""
-    sizes = {"event": len(RAW_EVENT), "hit": len(RAW_HIT), "waveform": WAVEFORM_SIZE, "bad": 2}
-    text = F.trim("line")
-    n = F.when(text == "", 0).otherwise(F.size(F.split(text, r"\s+")))
-    size = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("section"))
-    odd = F.when(F.col("section") == "event", n != size).otherwise(n % size != 0)
-    first = F.min(F.when(odd, F.struct("event_idx", "section")))
-    per = rows.groupBy("file_name").agg(*[F.count_if(F.col("section") == s).alias(s) for s in sizes], first.alias("odd"))
+    first = F.min(F.when(F.col("odd"), F.struct("event_idx", "section")))
+    per = odd_lines(rows).groupBy("file_name").agg(*[F.count_if(F.col("section") == s).alias(s) for s in SIZES], first.alias("odd"))
     differ = (F.col("hit") != F.col("event")) | (F.col("waveform") != F.col("event")) | (F.col("bad") > F.col("event"))
-    lengths = F.format_string("section lengths differ: event %d, hit %d, waveform %d, bad %d", *sizes)
+    lengths = F.format_string("section lengths differ: event %d, hit %d, waveform %d, bad %d", *SIZES)
     shape = F.format_string("event %d: %s line is no whole number of records", "odd.event_idx", "odd.section")
     return per.where(differ | F.col("odd").isNotNull()).select("file_name", F.when(differ, lengths).otherwise(shape).alias("reason"))
 
@@ -105,9 +151,9 @@ def parse_tagged(rows: DataFrame, strict: bool = False) -> Dumps:
     """Tagged lines (file_name, section, event_idx, line) to tables.
 
     Each table is a plan of its own over the lines, so jobs that need several of
-    them stage the lines first (``staged``).
+    them stage the lines first (``staged``).  The lines are checked at once, and once for all tables.
     """
-    wrong = faulty_files(rows)
+    wrong = written(faulty_files(rows), "faulty")
     if strict and (first := wrong.first()):
         raise ValueError(f"{first.file_name}: {first.reason}")
     good = rows.join(wrong.select("file_name"), "file_name", "left_anti")
@@ -126,6 +172,11 @@ def staged(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def staged_rows(rows: DataFrame, line: Column, path: str) -> DataFrame:
+    """``staged`` lines of tagged rows, which are put in the order of their sections and events before they are made lines."""
+    return staged(lines_of(rows.sortWithinPartitions("_section", "file_name", "_at"), line), path)
+
+
 def with_name_ids(events: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
     """Add id_event (dense within the file) and what the file's name carries; with ``datasets`` (dir, id_data_set) that id too."""
     name = names.base_name(F.col("file_name"))
