@@ -11,9 +11,10 @@ GOOD = 2
 
 
 def first_hits(hits: DataFrame, event: list[str] = EVENT) -> DataFrame:
-    """The first hit of each detector in an event."""
-    w = Window.partitionBy(*event, "xxyy").orderBy("hit_idx")
-    return hits.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The first hit of each detector in an event.  Hits are dealt by their event alone, as all that follows needs them."""
+    w = Window.partitionBy(*event).orderBy("xxyy", "hit_idx")
+    rows = hits.withColumns({"_n": F.row_number().over(w), "_before": F.lag("xxyy").over(w)})
+    return rows.where((F.col("_n") == 1) | ~F.col("xxyy").eqNullSafe(F.col("_before"))).drop("_n", "_before")
 
 
 def good_hits(hits: DataFrame) -> DataFrame:

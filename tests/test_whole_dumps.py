@@ -51,6 +51,40 @@ def test_lines_are_checked_once_for_all_tables(spark):
     assert not any("Aggregate" in optimized(getattr(d, t)) for t in ("events", "hits", "waveforms", "bad_detectors", "quarantine"))
 
 
+def test_no_window_or_sort_moves_text(spark):
+    rows = dumps.tagged_rows(queries_whole.dump_rows(spark, DATA), queries_whole.dump_line())
+    assert "line" not in rows.columns and not rows.schema["_section"].nullable
+    # Text is made to find markers, and for no column that is kept.
+    assert all("array_join" not in x or "_opens" in x for x in optimized(rows).split("\n"))
+
+
+def test_staged_lines_need_no_sort_of_their_own(spark, tmp_path):
+    line = queries_whole.dump_line()
+    rows = dumps.tagged_rows(queries_whole.dump_rows(spark, DATA), line)
+    lines = dumps.staged_rows(rows, line, str(tmp_path / "x"))
+    want = dumps.tagged(queries_whole.full_dump(spark, DATA)).select(*lines.columns)
+    assert lines.exceptAll(want).count() == 0 and want.exceptAll(lines).count() == 0
+    part = lines.withColumn("_f", F.input_file_name()).withColumn("_n", F.monotonically_increasing_id()).where("section = 'event'").select("_f", "_n", "file_name", "event_idx").collect()
+    for f in {r._f for r in part}:
+        keys = [(r.file_name, r.event_idx) for r in sorted((r for r in part if r._f == f), key=lambda r: r._n)]
+        assert keys == sorted(keys)
+
+
+def test_lines_without_waveforms_move_as_rows(spark):
+    rows = queries_whole.dump_rows(spark, DATA, waveforms=False)
+    assert "array_join" not in optimized(rows)
+    assert queries.whole_dump(spark, DATA).where("line = 'SD waveform DATA'").count() > 0
+
+
+def test_stored_hits_are_dealt_by_their_event_once(spark, tmp_path):
+    queries.hits(spark, DATA).write.parquet(str(tmp_path / "hits"))
+    stored = spark.read.parquet(str(tmp_path / "hits"))
+    plan = tiles.cells(H.tile_hits(stored), 3, queries.LAYOUT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    rows = spark.createDataFrame([("a", 1, k, x) for k, x in enumerate((7, None, 5, 7, None, 5, 6))] + [("b", 1, 0, 6)], "file_name string, event_idx int, hit_idx int, xxyy int")
+    assert sorted((r.file_name, r.hit_idx) for r in H.first_hits(rows).collect()) == [("a", 0), ("a", 1), ("a", 2), ("a", 6), ("b", 0)]
+
+
 def tile_inputs(spark):
     h = queries.hits(spark, DATA)
     w = H.folds(h).select("file_name", "event_idx", "wf_idx", "xxyy", F.array_repeat(F.lit(1), BINS).alias("fadc_low"), F.array_repeat(F.lit(2), BINS).alias("fadc_up"))
