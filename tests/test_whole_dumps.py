@@ -70,6 +70,19 @@ def test_staged_lines_need_no_sort_of_their_own(spark, tmp_path):
         assert keys == sorted(keys)
 
 
+def test_carriage_returns_are_looked_for_before_the_pattern_runs(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"EVENT DATA\r\na\r\nb\rc\nd")
+    df = splits.split_lines(spark, str(tmp_path))
+    assert [r.line for r in df.orderBy("pos").collect()] == ["EVENT DATA", "a", "b\rc", "d"]
+    assert "CASE WHEN (((EndsWith(value" in optimized(df)
+
+
+def test_markers(spark):
+    lines = ["# EVENT DATA", "SD meta DATA x", "SD waveform DATA", "badsdinfo", "DATA", "1 2", "", None]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "k int, line string").select("k", splits.opens(F.col("line")).alias("s"))
+    assert [r.s for r in rows.orderBy("k").collect()] == ["event", "hit", "waveform", "bad", None, None, None, None]
+
+
 def test_lines_without_waveforms_move_as_rows(spark):
     rows = queries_whole.dump_rows(spark, DATA, waveforms=False)
     assert "array_join" not in optimized(rows)
