@@ -174,6 +174,17 @@ def with_traces(cell: DataFrame, trace: DataFrame, event: list[str] = EVENT) ->
     return cell.join(trace.hint("merge"), [*event, "xxyy"], "left").withColumns({c: F.coalesce(c, none) for c in names})
 
 
+def filled_traces(arrays: DataFrame, trace: DataFrame, event: list[str] = EVENT) -> DataFrame:
+    """Add traces to events whose ``xxyy`` is the n x n array of their cells' ids; zeros without a hit.  An event's few traces move, not those of all its cells."""
+    names = [c for c in trace.columns if c.startswith("time_traces")]
+    lists = trace.groupBy(*event).agg(F.collect_list(F.struct("xxyy", *names)).alias("_t"))
+    out = arrays.join(lists.hint("merge"), event, "left").withColumn("_ids", F.col("_t.xxyy"))
+    none = F.array_repeat(F.lit(0.0), BINS)
+    at = lambda id_: F.get("_t", F.array_position("_ids", id_).cast("int") - 1)
+    fill = lambda name: F.transform("xxyy", lambda row: F.transform(row, lambda id_: F.coalesce(at(id_)[name], none)))
+    return out.withColumns({name: fill(name) for name in names}).drop("_t", "_ids")
+
+
 def nested(cell: DataFrame, n: int, columns: list[str], event: list[str] = EVENT) -> DataFrame:
     """One row an event, each of ``columns`` as an n x n array."""
     rows = cell.groupBy(*event).agg(F.array_sort(F.collect_list(F.struct("i", "j", *columns))).alias("c"))

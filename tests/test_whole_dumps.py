@@ -111,6 +111,14 @@ def test_wide_tables_are_not_stored_beside_their_lines(spark, tmp_path):
     assert (d.events.count(), d.hits.count(), d.waveforms.count(), d.quarantine.count()) == (1, 0, 0, 0)
 
 
+def test_traces_meet_an_events_arrays(spark):
+    key = "file_name string, event_idx long, "
+    arrays = spark.createDataFrame([("a", 1, [[5, 6], [7, -1]]), ("a", 2, [[1, 2], [3, 4]])], key + "xxyy array<array<int>>")
+    trace = spark.createDataFrame([("a", 1, 7, [1.0] * BINS), ("a", 1, 9, [2.0] * BINS)], key + "xxyy int, time_traces array<double>")
+    got = {r.event_idx: [[sum(t) for t in row] for row in r.time_traces] for r in tiles.filled_traces(arrays, trace).collect()}
+    assert got == {1: [[0, 0], [BINS, 0]], 2: [[0, 0], [0, 0]]}
+
+
 def tile_inputs(spark):
     h = queries.hits(spark, DATA)
     w = H.folds(h).select("file_name", "event_idx", "wf_idx", "xxyy", F.array_repeat(F.lit(1), BINS).alias("fadc_low"), F.array_repeat(F.lit(2), BINS).alias("fadc_up"))
@@ -118,6 +126,14 @@ def tile_inputs(spark):
     return dumps.Dumps(e, h, w, queries.bad(spark, DATA), e), queries.detectors(spark, DATA)
 
 
+def test_cells_are_nested_without_traces(spark, monkeypatch):
+    d, detectors = tile_inputs(spark)
+    nested, seen = tiles.nested, []
+    monkeypatch.setattr(tiles, "nested", lambda cell, n, columns: seen.append([*cell.columns, *columns]) or nested(cell, n, columns))
+    out = datasets.tile_dataset(d, detectors, datasets.TileOptions(ntile=3, layout=queries.LAYOUT))
+    assert len(seen) == 1 and not any("time_traces" in c for c in seen[0]) and {"time_traces_low", "time_traces_up"} < set(out.columns) and "xxyy" not in out.columns
+
+
 def test_traces_are_made_for_hits_in_cells_only(spark):
     d, detectors = tile_inputs(spark)
     options = datasets.TileOptions(ntile=3, layers="mean", layout=queries.LAYOUT)
